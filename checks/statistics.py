@@ -13,7 +13,7 @@ from riskloom.functions import calendar, scores as fs
 from riskloom.operators import encoding, lookup, moments, ordering, quality, velocity
 from riskloom.plans import enrich, features
 from riskloom.schema import txn_schema
-from riskloom.session import shared_folder
+from riskloom.session import shared_folder, stage
 from riskloom.sources import profiles, tables
 
 
@@ -317,7 +317,7 @@ def entity_profile(spark, sf_dir):
 )
 def profile_join(spark, sf_dir):
     rows = txn(spark, sf_dir)
-    profile = enrich.fit_entities(known(rows), COLS)
+    profile = stage(enrich.fit_entities(known(rows), COLS), "profile")
     joined = velocity.join_profile(rows.select("pos", "cc_num"), profile, "cc_num")
     return rounded_profile(joined.drop("cc_num"))
 
@@ -396,7 +396,7 @@ def code_sql(source: str, column: str) -> str:
     b.sql("SELECT value, code FROM txn_nulls_state_codes", code_sql("txn_nulls", "state")),
 )
 def label_codes(spark, sf_dir):
-    return encoding.label_codes(txn_nulls(spark, sf_dir), "state", ["pos"])
+    return encoding.label_codes(txn_nulls(spark, sf_dir), "state", "pos")
 
 
 @query(
@@ -422,7 +422,7 @@ def value_counts(spark, sf_dir):
 )
 def label_lookup(spark, sf_dir):
     rows = txn(spark, sf_dir)
-    codes = encoding.code_map(known(rows), ["category", "state"], [], ["pos"])
+    codes = encoding.code_map(known(rows), ["category", "state"], [], "pos")
     labels = {"category": "category", "state": "state"}
     return encoding.apply_codes(rows.select("pos", *labels), codes, labels, {})
 
@@ -443,7 +443,7 @@ def label_lookup(spark, sf_dir):
 def freq_lookup(spark, sf_dir):
     rows = txn(spark, sf_dir)
     names = ["merchant", "job", "cc_num"]
-    codes = encoding.code_map(known(rows), [], names, ["pos"])
+    codes = encoding.code_map(known(rows), [], names, "pos")
     found = encoding.apply_codes(
         rows.select("pos", *names), codes, {}, {n: f"{n}_freq" for n in names}
     )

@@ -178,11 +178,13 @@ class BoostedTrees(Estimator):
             "_weight", F.when(F.col("_label") == 1, weight).otherwise(1.0)
         )
         train = data.where(F.col("_split") == "train")
-        rounds = min(s.first_rounds, s.max_rounds)
+        rounds, scored, curve = min(s.first_rounds, s.max_rounds), 0, None
         while True:
             booster = self._trainer(rounds).fit(train)
             model = BoostedTreesModel(s, booster, fill, weight, rounds, rounds - 1, None)
-            curve = stage(model.training_curve(data, "_label", "_split"), "curve")
+            # earlier rounds are the same trees, already scored
+            more = stage(model.training_curve(data, "_label", "_split", scored), "curve")
+            curve, scored = more if curve is None else curve.unionByName(more), rounds
             stop = early_stop(curve, s.patience).first()
             if stop["stopped"] or rounds >= s.max_rounds:
                 break
@@ -240,8 +242,8 @@ class BoostedTreesModel(Model):
             "rawPrediction", "probability", "prediction"
         )
 
-    def staged_margins(self, assembled: DataFrame) -> DataFrame:
-        """Add ``_margins``: the margin after each round, one array per row."""
+    def staged_margins(self, assembled: DataFrame, first: int = 0) -> DataFrame:
+        """Add ``_margins``: the margin after each round from ``first`` on, one array per row."""
         values = self._leaf_values()
 
         @F.pandas_udf("array<double>")
@@ -249,14 +251,18 @@ class BoostedTreesModel(Model):
             index = np.stack(leaves.to_numpy()).astype(np.int64)
             table = values.value
             steps = table[np.arange(table.shape[0]), index]
-            return pd.Series(list(np.cumsum(steps, axis=1)))
+            return pd.Series(list(np.cumsum(steps, axis=1)[:, first:]))
 
         return self._leaves(assembled).withColumn("_margins", cumulate("_leaf"))
 
-    def training_curve(self, assembled: DataFrame, label: str, split: str) -> DataFrame:
-        margins = self.staged_margins(assembled).select(
-            label, split, F.posexplode("_margins").alias("round", "_margin")
+    def training_curve(
+        self, assembled: DataFrame, label: str, split: str, first: int = 0
+    ) -> DataFrame:
+        """AUC and log-loss of both splits for every round from ``first`` on."""
+        margins = self.staged_margins(assembled, first).select(
+            label, split, F.posexplode("_margins").alias("_place", "_margin")
         )
+        margins = margins.withColumn("round", F.col("_place") + first)
         return grouped_curve(margins, label, "_margin", split, "round")
 
     def _transform(self, df: DataFrame) -> DataFrame:

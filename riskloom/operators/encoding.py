@@ -15,52 +15,59 @@ UNSEEN_FREQ = 0
 
 
 def label_codes(
-    df: DataFrame, column: str, order_by: Sequence[str], one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, column: str, order_by: str, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
-    """Rows ``(value, code)``: codes 0..k-1 in order of first appearance; null takes a code."""
+    """Rows ``(value, code)``: codes 0..k-1 in order of first appearance; null takes a code.
+
+    Values that appear first at the same ``order_by`` follow their own order.
+    """
     firsts = df.groupBy(F.col(column).cast("string").alias("value")).agg(
-        F.min(F.struct(*order_by)).alias("_first")
+        F.min(order_by).alias("_first")
     )
-    return global_position(firsts, ["_first"], "code", one_task_rows).select("value", "code")
+    firsts = stage(firsts, "codes")
+    return global_position(firsts, ["_first", "value"], "code", one_task_rows).select("value", "code")
 
 
 def code_map(
-    df: DataFrame, label_columns: Sequence[str], freq_columns: Sequence[str], order_by: Sequence[str]
+    df: DataFrame,
+    label_columns: Sequence[str],
+    freq_columns: Sequence[str],
+    order_by: str,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Rows ``(column, value, code, freq)`` for all coded columns, counted in one scan.
 
-    ``code`` is null for frequency-only columns; the frequency of null is 0.
+    ``code`` is null for frequency-only columns; the frequency of null is 0.  Both aggregates
+    have fixed width, so map tasks hash and never sort.
     """
     names = list(dict.fromkeys([*label_columns, *freq_columns]))
+    is_label = F.col("column").isin(*label_columns)
     cells = F.array(
         *[F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value")) for n in names]
     )
-    # the order matters to label columns only; dropping it elsewhere keeps the shuffle narrow
-    first = F.min(F.when(F.col("column").isin(*label_columns), F.struct(*order_by)))
     firsts = (
-        df.select(F.explode(cells).alias("_cell"), *order_by)
-        .select("_cell.*", *order_by)
+        df.select(F.explode(cells).alias("_cell"), F.col(order_by).alias("_order"))
+        .select("_cell.*", "_order")
         .groupBy("column", "value")
-        .agg(F.count("*").alias("_rows"), first.alias("_first"))
+        .agg(F.count("*").alias("_rows"), F.min(F.when(is_label, F.col("_order"))).alias("_first"))
     )
     firsts = stage(firsts, "codes")
-    freq = F.when(F.col("value").isNull(), 0).otherwise(F.col("_rows"))
-    coded = firsts.where(F.col("column").isin(*label_columns))
-    if coded.count() <= ONE_TASK_ROWS:
-        ranked = coded.withColumn(
-            "code", F.row_number().over(Window.partitionBy("column").orderBy("_first")).cast("long") - 1
-        )
+    coded = firsts.where(is_label)
+    if coded.count() <= one_task_rows:
+        in_order = Window.partitionBy("column").orderBy("_first", "value")
+        ranked = coded.withColumn("code", F.row_number().over(in_order).cast("long") - 1)
     else:
         parts = [
-            global_position(coded.where(F.col("column") == name), ["_first"], "code")
+            global_position(
+                coded.where(F.col("column") == name), ["_first", "value"], "code", one_task_rows
+            )
             for name in label_columns
         ]
         ranked = parts[0]
         for part in parts[1:]:
             ranked = ranked.unionByName(part)
-    counted = firsts.where(~F.col("column").isin(*label_columns)).withColumn(
-        "code", F.lit(None).cast("long")
-    )
+    counted = firsts.where(~is_label).withColumn("code", F.lit(None).cast("long"))
+    freq = F.when(F.col("value").isNull(), 0).otherwise(F.col("_rows"))
     return ranked.unionByName(counted).select("column", "value", "code", freq.alias("freq"))
 
 

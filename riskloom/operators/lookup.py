@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 1 / 256
-SPREAD = 1024
+MIN_SPREAD = 1024
 BROADCAST_ROWS = 200_000
 
 
@@ -46,8 +46,9 @@ def spread_lookup(
         hot = dim.join(F.broadcast(hot_keys(counts, on, "_rows", share)), on, "left_semi")
     hot = hot.select(*on, payload.alias("_hot"))
     rest = dim.select(*on, F.lit(0).alias("_salt"), payload.alias("_rest"))
-    # a salt from the task and the row spreads even exact copies, and a retried task repeats it
-    salt = 1 + F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id() * 31, F.lit(SPREAD))
+    # a salt from the task spreads even exact copies, needs no column, and a retried task repeats it
+    spread = max(MIN_SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = 1 + F.pmod(F.spark_partition_id(), F.lit(spread))
     joined = (
         df.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt).cast("int"))

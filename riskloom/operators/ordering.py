@@ -15,7 +15,8 @@ ONE_TASK_ROWS = 200_000
 DIRECT_ROWS = 10_000
 EXACT_AGG_ROWS = 1_000_000
 ACCURACY = 10_000
-BUCKETS = 512
+BUCKET_ROWS = 1_000_000
+BUCKETS = (8, 4096)
 PIVOTS = 32
 ROW_BITS = 33
 
@@ -32,10 +33,12 @@ def global_position(
     its first part), sorted within partitions and written once; the position is the row's index
     in its partition plus the row counts of the partitions before it.
     """
-    if df.count() <= one_task_rows:
+    rows = df.count()
+    if rows <= one_task_rows:
         # bounded by the check above
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order_by)).cast("long") - 1)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(partitions, math.ceil(rows / BUCKET_ROWS))
     local = F.monotonically_increasing_id()
     ordered = (
         df.repartitionByRange(partitions, *order_by)
@@ -226,15 +229,22 @@ def split_cuts(
     total = df.count()
     ranks = [int(total * f) for f in fractions]
     inner = [r for r in ranks if r < total]
+    if not inner:
+        return [None] * len(ranks)
     times = select_ranks(df, [(time, r, total) for r in inner], direct_rows)
+    moments = [_literal(found, kind) for found in times]
+    around = []
+    for moment in moments:
+        at = F.col(time) == moment
+        around += [F.count_if(F.col(time) < moment), F.count_if(at), F.min(F.when(at, F.col(key)))]
+    around = df.agg(*[c.alias(f"a{i}") for i, c in enumerate(around)]).first()
     cuts: list[tuple[object, object] | None] = []
-    for rank, found in zip(inner, times):
-        moment = _literal(found, kind)
-        before, ties = df.agg(
-            F.count_if(F.col(time) < moment), F.count_if(F.col(time) == moment)
-        ).first()
-        at_moment = df.where(F.col(time) == moment)
-        cuts.append((found, select_ranks(at_moment, [(key, rank - before, ties)], direct_rows)[0]))
+    for i, (rank, found) in enumerate(zip(inner, times)):
+        before, ties, edge = around[3 * i : 3 * i + 3]
+        if rank > before:
+            at_moment = df.where(F.col(time) == moments[i])
+            edge = select_ranks(at_moment, [(key, rank - before, ties)], direct_rows)[0]
+        cuts.append((found, edge))
     return cuts + [None] * (len(ranks) - len(inner))
 
 
@@ -305,13 +315,16 @@ def running_totals(
     buckets are even; sums run within a bucket and start at the total of the buckets before it.
     """
     group = list(group)
-    number = F.col(key).cast("double")
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    rows, cuts = df.agg(F.count("*"), F.percentile_approx(number, steps, ACCURACY)).first()
     running = lambda w: {out: F.sum(name).over(w) for out, name in sums.items()}
+    rows = df.count()
     if rows <= one_task_rows:
         within = Window.partitionBy(*group).orderBy(key)
         return df.withColumns(running(within.rowsBetween(Window.unboundedPreceding, 0)))
+    number = F.col(key).cast("double")
+    buckets = min(BUCKETS[1], max(BUCKETS[0], math.ceil(rows / BUCKET_ROWS)))
+    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(_number, array({steps}), {ACCURACY})")
+    cuts = df.select(number.alias("_number")).agg(sketch).first()[0]
     edges = [-math.inf, *sorted(set(cuts)), math.inf]
     bucketed = (
         Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket")
@@ -319,7 +332,7 @@ def running_totals(
         .drop("_number")
     )
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most BUCKETS rows per group
+    # a row per bucket and group
     starts = bucketed.groupBy(*group, "_bucket").agg(
         *[F.sum(name).alias(f"_total_{out}") for out, name in sums.items()]
     )

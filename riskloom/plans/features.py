@@ -9,14 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.calendar import age_years, time_parts, weekend_night
 from riskloom.functions.scores import amount_log, anomaly_weighted, binary_code
 from riskloom.operators.encoding import apply_codes, code_map
-from riskloom.operators.quality import (
-    dedup_key,
-    dedup_rows,
-    impute_median,
-    impute_mode,
-)
+from riskloom.operators.quality import dedup_key, impute_median, impute_mode
 from riskloom.plans.enrich import measured
-from riskloom.schema import TxnColumns, require_columns, string_columns
+from riskloom.schema import TxnColumns, numeric_columns, require_columns, string_columns
 from riskloom.session import stage
 
 ANOMALY = "if_anomaly_score"
@@ -25,19 +20,20 @@ NOT_FEATURES = ("global_amt_zscore",)
 
 
 def clean(df: DataFrame, cols: TxnColumns) -> DataFrame:
-    """Impute nulls, then drop repeated rows and repeated keys, keeping the first."""
+    """Impute nulls, then drop repeated rows and repeated keys, keeping the first.
+
+    A repeated row also repeats its key, so one pass over the keys drops both.
+    """
     # a missing id or label is not a measurement to fill in
     keep = {cols.row_id, cols.key, cols.entity, cols.label}
-    numbers = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float", "integer", "long")]
-    df = impute_median(df, [n for n in numbers if n not in keep])
+    df = impute_median(df, [n for n in numeric_columns(df) if n not in keep])
     df = impute_mode(df, [n for n in string_columns(df) if n not in keep])
-    df = dedup_rows(df, cols.row_id)
     return dedup_key(df, [cols.key], [cols.row_id])
 
 
 def fit_codes(df: DataFrame, cols: TxnColumns) -> DataFrame:
     """One code map for all coded columns, in order of time."""
-    return code_map(df, cols.label_coded, cols.freq_coded, [cols.time, cols.key])
+    return code_map(df, cols.label_coded, cols.freq_coded, cols.time)
 
 
 def reference_time(df: DataFrame, cols: TxnColumns) -> Column:
