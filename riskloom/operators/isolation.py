@@ -160,7 +160,8 @@ class IsolationForest(Estimator):
         )
         model = IsolationForestModel(s, nodes, tree_rows, depth, offset=0.0)
         scored = model.transform(sample)
-        model.offset = exact_quantiles(scored, {s.output: [s.contamination]})[s.output][0]
+        cut = exact_quantiles(scored, {s.output: [s.contamination]}, most_rows=rows)
+        model.offset = cut[s.output][0]
         return model
 
 

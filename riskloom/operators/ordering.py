@@ -177,16 +177,23 @@ def select_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, probabilities: dict[str, Sequence[float]], exact_agg_rows: int = EXACT_AGG_ROWS
+    df: DataFrame,
+    probabilities: dict[str, Sequence[float]],
+    exact_agg_rows: int = EXACT_AGG_ROWS,
+    most_rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of numeric columns.
 
     Up to a bounded row count the built-in exact aggregate does it in one job; beyond that the
-    two order statistics around each quantile are selected.
+    two order statistics around each quantile are selected.  ``most_rows`` is a known bound on
+    the rows and saves counting them.
     """
     columns = list(probabilities)
     numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    rows = numbers.agg(*[F.count(f"x{i}") for i in range(len(columns))]).first()
+    if most_rows is not None and most_rows <= exact_agg_rows:
+        rows = [most_rows]
+    else:
+        rows = numbers.agg(*[F.count(f"x{i}") for i in range(len(columns))]).first()
     if max(rows) <= exact_agg_rows:
         found = numbers.agg(
             *[

@@ -57,11 +57,19 @@ def velocity_profile(counts: DataFrame, entity: str, out: str = COUNT) -> DataFr
     )
 
 
-def entity_profile(df: DataFrame, entity: str, time: str, amount: str, distance: str) -> DataFrame:
+def entity_profile(
+    df: DataFrame,
+    entity: str,
+    time: str,
+    amount: str,
+    distance: str,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Mean and sample deviation of amount, distance and daily count per entity.
 
     Reads the table twice with few columns instead of joining the counts back to the rows:
-    both aggregations shrink to keys in the map tasks.  A null deviation (one row) becomes 1.
+    both aggregations shrink to keys in the map tasks.  ``counts`` are the daily counts if they
+    are stored already.  A null deviation (one row) becomes 1.
     """
     amounts = df.groupBy(entity).agg(
         F.avg(amount).alias("user_mean_amt"),
@@ -69,7 +77,8 @@ def entity_profile(df: DataFrame, entity: str, time: str, amount: str, distance:
         F.avg(distance).alias("user_mean_dist"),
         F.stddev_samp(distance).alias("user_std_dist"),
     )
-    velocity = velocity_profile(daily_count(df, entity, time), entity)
+    counts = daily_count(df, entity, time) if counts is None else counts
+    velocity = velocity_profile(counts, entity)
     profile = amounts.join(velocity, entity, "left")
     return fill_defaults(profile, dict.fromkeys(PROFILE_STDS, 1.0)).select(entity, *PROFILE_COLUMNS)
 
@@ -92,12 +101,15 @@ def with_entity_state(
     entity: str,
     time: str,
     unseen: dict[str, float] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Daily count and entity profile in a single join of the rows.
 
-    The profile is joined to the (entity, day) counts first, so the rows shuffle once.
+    The profile is joined to the (entity, day) counts first, so the rows shuffle once, or not at
+    all where Spark finds the counts small enough to broadcast.
     """
-    counts = daily_count(df, entity, time, "_day").join(profile, entity, "left")
+    counts = daily_count(df, entity, time) if counts is None else counts
+    counts = counts.withColumnRenamed("date", "_day").join(profile, entity, "left")
     counts = fill_defaults(counts, unseen_defaults() if unseen is None else unseen)
     dated = df.withColumn("_day", F.to_date(time))
     values = [COUNT, *PROFILE_COLUMNS]

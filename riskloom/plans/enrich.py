@@ -12,6 +12,7 @@ from riskloom.operators.moments import center_and_inverse, mean_cov
 from riskloom.operators.ordering import exact_quantiles
 from riskloom.operators.velocity import (
     COUNT,
+    daily_count,
     drop_profile,
     entity_profile,
     user_zscores,
@@ -32,15 +33,21 @@ def measured(df: DataFrame, cols: TxnColumns) -> DataFrame:
     return with_distance(df, cols.lat, cols.lon, cols.merch_lat, cols.merch_lon, DISTANCE)
 
 
-def fit_entities(df: DataFrame, cols: TxnColumns) -> DataFrame:
-    return entity_profile(measured(df, cols), cols.entity, cols.time, cols.amount, DISTANCE)
+def fit_entities(df: DataFrame, cols: TxnColumns, counts: DataFrame | None = None) -> DataFrame:
+    rows = measured(df, cols)
+    return entity_profile(rows, cols.entity, cols.time, cols.amount, DISTANCE, counts)
 
 
 def entity_scores(
-    df: DataFrame, cols: TxnColumns, entities: DataFrame, unseen: dict[str, float] | None = None
+    df: DataFrame,
+    cols: TxnColumns,
+    entities: DataFrame,
+    unseen: dict[str, float] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add distance, daily count of this table and z-scores against the entity profiles."""
-    joined = with_entity_state(measured(df, cols), entities, cols.entity, cols.time, unseen)
+    rows = measured(df, cols)
+    joined = with_entity_state(rows, entities, cols.entity, cols.time, unseen, counts)
     return drop_profile(user_zscores(joined, cols.amount, DISTANCE))
 
 
@@ -83,12 +90,16 @@ def fit_stage1(
 ) -> tuple[GlobalProfile, DataFrame, DataFrame]:
     """Statistics fitted on the rows in ``scope`` (all by default).
 
-    Returns the global profile, the entity profiles, and all rows with their entity scores.  The
-    last two are read several times, so each is written once.
+    Returns the global profile, the entity profiles, and all rows with their entity scores.
+    Counts, profiles and rows are read several times, so each is written once.
     """
-    inside = df if scope is None else df.where(scope)
-    entities = stage(fit_entities(inside, cols), "entities")
-    core = stage(entity_scores(df, cols, entities), "core")
+    counts = stage(daily_count(df, cols.entity, cols.time), "counts")
+    if scope is None:
+        fitted = fit_entities(df, cols, counts)
+    else:
+        fitted = fit_entities(df.where(scope), cols)
+    entities = stage(fitted, "entities")
+    core = stage(entity_scores(df, cols, entities, counts=counts), "core")
     return fit_global(core if scope is None else core.where(scope), cols), entities, core
 
 

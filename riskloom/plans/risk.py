@@ -55,15 +55,18 @@ class RiskEstimator(Estimator):
     def _fit(self, df: DataFrame) -> RiskModel:
         cols = self.settings.cols
         split = time_split(df, cols.time, cols.key)
-        scope = F.lit(True) if self.settings.fit_scope == "all" else F.col("split") == "train"
+        scope = None if self.settings.fit_scope == "all" else F.col("split") == "train"
         overall, entities, core = fit_stage1(split, cols, scope)
         enriched = global_scores(core, cols, overall)
 
+        def fitted_on(rows: DataFrame) -> DataFrame:
+            return rows if scope is None else rows.where(scope)
+
         forest_settings = ForestSettings(forest_features(cols), cols.key, **self.settings.forest)
-        forest = IsolationForest(forest_settings).fit(enriched.where(scope))
+        forest = IsolationForest(forest_settings).fit(fitted_on(enriched))
         enriched = stage(forest.transform(enriched), "enriched")
 
-        codes = stage(fit_codes(core.where(scope), cols), "code-map")
+        codes = stage(fit_codes(fitted_on(core), cols), "code-map")
         built = build_features(enriched, cols, codes)
         features = tuple(feature_names(built, cols, ["split"]))
         booster = BoostedTrees(BoostSettings(features, cols.label, **self.settings.boost)).fit(built)
