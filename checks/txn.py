@@ -73,7 +73,7 @@ def known(df: DataFrame) -> DataFrame:
     """Rows of the past, before one state, category and merchant joined."""
     return df.where(
         (F.col("trans_date_trans_time") < F.lit(FIT_BEFORE).cast("timestamp_ntz"))
-        & (F.col("state") != "CHINA")
+        & (F.col("state") != "NATION_10")
         & (F.col("category") != "signup")
         & (F.col("merchant") != "m13")
     )
@@ -140,7 +140,7 @@ txn_nulls AS (
 ),
 known AS (
   SELECT * FROM txn
-  WHERE trans_date_trans_time < TIMESTAMP '{FIT_BEFORE}' AND state <> 'CHINA'
+  WHERE trans_date_trans_time < TIMESTAMP '{FIT_BEFORE}' AND state <> 'NATION_10'
     AND category <> 'signup' AND merchant <> 'm13'
 ),
 scores AS (
