@@ -212,6 +212,17 @@ def metrics_report(spark, sf_dir):
     return rounded(ev.metrics_report(flagged(spark, sf_dir), "y_true", "y_prob", "y_pred"))
 
 
+@query(
+    "log_loss",
+    b.sql(
+        """SELECT y_true, round(avg(CASE WHEN y_true = 1 THEN -ln(greatest(y_prob, 1e-15))
+        ELSE -ln(1 - y_prob) END), 6) AS logloss FROM scores GROUP BY y_true"""
+    ),
+)
+def log_loss(spark, sf_dir):
+    return rounded(ev.log_loss(b.scores(spark, sf_dir), "y_true", "y_prob", ["y_true"]))
+
+
 @query("predictions_table", b.sql("SELECT y_true, y_prob FROM scores"))
 def predictions_table(spark, sf_dir):
     path = scratch(spark, "predictions")

@@ -30,6 +30,14 @@ def null_profile(spark, sf_dir):
     return quality.null_profile(documents.join(table(spark, sf_dir, "labels"), "doc_id", "left"))
 
 
+@query(
+    "null_total",
+    b.sql("SELECT count(*) * 2 - count(amt) - count(state) AS nulls FROM txn_nulls"),
+)
+def null_total(spark, sf_dir):
+    return quality.null_total(txn_nulls(spark, sf_dir))
+
+
 @query(
     "impute_median",
     b.sql("SELECT pos, coalesce(amt, (SELECT median(amt) FROM txn_nulls)) AS amt FROM txn_nulls"),
@@ -61,6 +69,12 @@ def time_order(spark, sf_dir):
     return ordering.global_position(events, ["ts", "event_id"], "place")
 
 
+@query("head_n", "SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 3")
+def head_n(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return ordering.head_n(events, ["ts", "event_id"], 3)
+
+
 SPLIT_SQL = b.sql(
     """SELECT pos, is_fraud, CASE WHEN place < CAST(floor(n * CAST(0.70 AS DOUBLE)) AS BIGINT) THEN 'train'
       WHEN place < CAST(floor(n * CAST(0.85 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split

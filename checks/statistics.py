@@ -32,6 +32,15 @@ def scan_typed(spark, sf_dir):
     return tables.read_csv(spark, path, schema)
 
 
+@query("scan_drop_index", b.sql("SELECT * EXCLUDE (pos) FROM txn"))
+def scan_drop_index(spark, sf_dir):
+    """The first column is a row number, not data."""
+    path = scratch(spark, "csv")
+    schema = txn_schema(COLS)
+    tables.write_table(txn(spark, sf_dir).select(*schema.fieldNames()), path, "csv")
+    return tables.read_csv(spark, path, schema, drop=[COLS.row_id])
+
+
 @query(
     "write_table",
     "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type",

@@ -151,6 +151,9 @@ class IsolationForest(Estimator):
             # let about twice the needed rows through before ranking
             admitted = math.ceil(ADMIT_PARTS * 2 * tree_rows / rows)
             dealt = dealt.where(F.pmod(F.col("place"), F.lit(ADMIT_PARTS)) < admitted)
+        # few rows but much work per tree: an explicit partition count is not coalesced
+        workers = min(s.trees, 2 * df.sparkSession.sparkContext.defaultParallelism)
+        dealt = dealt.repartition(workers, "tree")
         order = Window.partitionBy("tree").orderBy("place", s.key)
         dealt = dealt.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= tree_rows)
         builder = _tree_builder(s.features, depth, s.seed)

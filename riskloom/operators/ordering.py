@@ -14,9 +14,12 @@ from riskloom.session import stage
 ONE_TASK_ROWS = 200_000
 DIRECT_ROWS = 10_000
 EXACT_AGG_ROWS = 1_000_000
-ACCURACY = 10_000
+MOST_BINS = 32_768
+FEW_RANGES = 8
 BUCKET_ROWS = 1_000_000
 BUCKETS = (8, 4096)
+SAMPLES_PER_BUCKET = 50
+HASH_PARTS = 1_000_000_000
 PIVOTS = 32
 ROW_BITS = 33
 
@@ -75,105 +78,162 @@ def _literal(value: object, kind: T.DataType) -> Column:
 
 @dataclass
 class _Target:
-    """Search for the value at 0-based ``rank`` among the rows of ``column`` inside an open range."""
+    """Search for the value at 0-based ``rank`` among the ``rows`` rows of a range of ``column``."""
 
     column: str
     kind: T.DataType
     rank: int
     rows: int
-    low: object = None
-    high: object = None
+    low: object
+    high: object
+    above_low: bool = False
+    below_high: bool = False
+    by_bins: bool = True
     value: object = None
     done: bool = False
 
+    def range(self) -> tuple:
+        return self.column, self.low, self.high, self.above_low, self.below_high
+
     def inside(self) -> Column:
-        condition = F.col(self.column).isNotNull()
-        if self.low is not None:
-            condition &= F.col(self.column) > _literal(self.low, self.kind)
-        if self.high is not None:
-            condition &= F.col(self.column) < _literal(self.high, self.kind)
-        return condition
-
-    def counts(self, value: object) -> list[Column]:
-        column, pivot = F.col(self.column), _literal(value, self.kind)
-        return [F.count_if(self.inside() & (column < pivot)), F.count_if(self.inside() & (column == pivot))]
-
-
-def _sketchable(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def _pivot_columns(target: _Target, by_sketch: bool) -> list[Column]:
-    """Aggregates that give a few values of the open range near the wanted rank."""
-    value = F.when(target.inside(), F.col(target.column))
-    if by_sketch and _sketchable(target.kind):
-        share = (target.rank + 0.5) / target.rows
-        return [
-            F.percentile_approx(value, min(1.0, max(0.0, share + shift)), ACCURACY)
-            for shift in (-2 / ACCURACY, 2 / ACCURACY)
+        column = F.col(self.column)
+        low, high = _literal(self.low, self.kind), _literal(self.high, self.kind)
+        over = column > low if self.above_low else column >= low
+        return over & (column < high if self.below_high else column <= high)
+
+    def bin(self, bins: int) -> Column:
+        """Index of an equal-width bin of the range; it never falls as the value grows."""
+        x = _number(F.col(self.column), self.kind)
+        low = _number(_literal(self.low, self.kind), self.kind)
+        high = _number(_literal(self.high, self.kind), self.kind)
+        place = F.floor(F.try_divide(x - low, high - low) * bins)
+        place = F.when(place >= bins, bins - 1).otherwise(place)
+        return F.coalesce(place, F.lit(0)).cast("int")
+
+    def narrow(self, below: int, rows: int, low: object, high: object) -> None:
+        """Keep one bin; values bunched in one bin are next split by pivots."""
+        self.by_bins = 2 * rows <= self.rows
+        self.rank, self.rows, self.low, self.high = self.rank - below, rows, low, high
+        self.above_low = self.below_high = False
+        if low == high:
+            self.value, self.done = low, True
+
+
+def _number(value: Column, kind: T.DataType) -> Column | None:
+    """A double that never falls as the value grows, or None for types without one."""
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        days = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("double")
+        if isinstance(kind, T.DateType):
+            return days
+        # fields of the local time, which no time zone can reorder
+        return days * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    return None
+
+
+def _histograms(df: DataFrame, targets: list[_Target]) -> dict[tuple, list]:
+    """Exact (count, min, max) per bin of every distinct open range, from one aggregation."""
+    ranges = list({t.range(): t for t in targets}.values())
+    bins = MOST_BINS // len(ranges) if len(ranges) > FEW_RANGES else MOST_BINS // FEW_RANGES
+    cells = F.array(
+        *[
+            F.when(
+                t.inside(),
+                F.struct(F.lit(i).alias("range"), t.bin(bins).alias("bin"), F.col(t.column).alias("x")),
+            )
+            for i, t in enumerate(ranges)
         ]
-    # any orderable type: the values with the smallest hashes under several seeds
-    key = target.column
-    return [
-        F.min_by(value, F.when(target.inside(), F.xxhash64(F.col(key), F.lit(seed))))
+    )
+    counted = (
+        df.select(F.explode(cells).alias("_cell"))
+        .where(F.col("_cell").isNotNull())
+        .select("_cell.*")
+        .groupBy("range", "bin")
+        .agg(F.count("*").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+    )
+    found: dict[tuple, list] = {t.range(): [] for t in ranges}
+    # at most MOST_BINS rows
+    for row in sorted(counted.collect(), key=lambda r: (r["range"], r["bin"])):
+        found[ranges[row["range"]].range()].append((row["rows"], row["low"], row["high"]))
+    return found
+
+
+def _narrow_by_bins(df: DataFrame, targets: list[_Target]) -> None:
+    found = _histograms(df, targets)
+    for target in targets:
+        below = 0
+        for rows, low, high in found[target.range()]:
+            if target.rank < below + rows:
+                target.narrow(below, rows, low, high)
+                break
+            below += rows
+
+
+def _narrow_by_pivots(df: DataFrame, target: _Target) -> None:
+    """For types without a number, or values too close for one: pivots picked by hash."""
+    column, kind, inside = F.col(target.column), target.kind, target.inside()
+    picks = [
+        F.min_by(column, F.when(inside, F.xxhash64(column, F.lit(seed)))).alias(f"p{seed}")
         for seed in range(PIVOTS)
     ]
+    pivots = sorted(set(df.where(inside).agg(*picks).first()))
+    counts = []
+    for i, value in enumerate(pivots):
+        pivot = _literal(value, kind)
+        counts += [F.count_if(column < pivot).alias(f"b{i}"), F.count_if(column == pivot).alias(f"e{i}")]
+    counts = df.where(inside).agg(*counts).first()
+    start, end = 0, target.rows
+    for value, below, equal in zip(pivots, counts[::2], counts[1::2]):
+        if below + equal <= target.rank:
+            target.low, target.above_low, start = value, True, below + equal
+        elif below <= target.rank:
+            target.value, target.done = value, True
+        elif below < end:
+            target.high, target.below_high, end = value, True, below
+    target.rank, target.rows = target.rank - start, end - start
+    target.by_bins = _number(column, kind) is not None
+
+
+def extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Non-null rows, minimum and maximum of every column, from one aggregation."""
+    parts = []
+    for i, c in enumerate(columns):
+        parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
+    row = df.agg(*parts).first()
+    return {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
 
 
 def select_ranks(
-    df: DataFrame, wanted: Sequence[tuple[str, int, int]], direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    wanted: Sequence[tuple[str, int]],
+    direct_rows: int = DIRECT_ROWS,
+    known: dict[str, tuple] | None = None,
 ) -> list[object]:
-    """Values at given ranks: ``wanted`` lists (column, 0-based rank, non-null rows).
+    """Values at given 0-based ranks: ``wanted`` lists (column, rank), nulls not ranked.
 
-    Each round narrows every open range by pivots and exact counts, one aggregation each, until
-    the rank falls on a pivot or few rows remain.  Rows are never shuffled or collected.
+    Each round counts the open ranges by bins and keeps the bin that holds the rank, until the
+    bin has one value or few rows.  Rows are never shuffled or collected, only bin counts are.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    targets = [_Target(column, kinds[column], rank, rows) for column, rank, rows in wanted]
-    by_sketch = True
+    known = extents(df, list(dict.fromkeys(c for c, _ in wanted))) if known is None else known
+    targets = [_Target(c, kinds[c], rank, *known[c]) for c, rank in wanted]
+    for target in targets:
+        target.by_bins = _number(F.col(target.column), target.kind) is not None
+        target.done, target.value = target.low == target.high, target.low
     while True:
-        open_targets = [t for t in targets if not t.done]
-        for target in [t for t in open_targets if t.rows <= direct_rows]:
-            row = (
-                df.where(target.inside())
-                .select(target.column)
-                .orderBy(target.column)
-                .offset(target.rank)
-                .limit(1)
-                .first()
-            )
-            target.value, target.done = row[0], True
-        open_targets = [t for t in targets if not t.done]
-        if not open_targets:
+        for target in [t for t in targets if not t.done and t.rows <= direct_rows]:
+            few = df.where(target.inside()).select(target.column).orderBy(target.column)
+            target.value, target.done = few.offset(target.rank).limit(1).first()[0], True
+        waiting = [t for t in targets if not t.done]
+        if not waiting:
             return [t.value for t in targets]
-        asked = [_pivot_columns(t, by_sketch) for t in open_targets]
-        flat = [c.alias(f"p{i}") for i, c in enumerate(c for group in asked for c in group)]
-        answers = iter(df.agg(*flat).first())
-        pivots = [sorted({next(answers) for _ in group} - {None}) for group in asked]
-        counts = []
-        for target, values in zip(open_targets, pivots):
-            for value in values:
-                counts += target.counts(value)
-        answers = iter(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first())
-        progress = False
-        for target, values in zip(open_targets, pivots):
-            low, low_rows, high, high_rows = target.low, 0, target.high, target.rows
-            for value in values:
-                below, equal = next(answers), next(answers)
-                if below + equal <= target.rank and below + equal > low_rows:
-                    low, low_rows = value, below + equal
-                elif below <= target.rank < below + equal:
-                    target.value, target.done = value, True
-                elif below > target.rank and below < high_rows:
-                    high, high_rows = value, below
-            if not target.done:
-                progress = progress or high_rows - low_rows < target.rows
-                target.low, target.high = low, high
-                target.rank, target.rows = target.rank - low_rows, high_rows - low_rows
-            else:
-                progress = True
-        # sketches round very long integers; the hashed pivots always lie inside the range
-        by_sketch = progress
+        for kind in {t.kind for t in waiting if t.by_bins}:
+            _narrow_by_bins(df, [t for t in waiting if t.by_bins and t.kind == kind])
+        for target in [t for t in waiting if not t.by_bins and not t.done]:
+            _narrow_by_pivots(df, target)
 
 
 def exact_quantiles(
@@ -190,29 +250,29 @@ def exact_quantiles(
     """
     columns = list(probabilities)
     numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    if most_rows is not None and most_rows <= exact_agg_rows:
-        rows = [most_rows]
-    else:
-        rows = numbers.agg(*[F.count(f"x{i}") for i in range(len(columns))]).first()
-    if max(rows) <= exact_agg_rows:
+    names = [f"x{i}" for i in range(len(columns))]
+    known = None
+    if most_rows is None or most_rows > exact_agg_rows:
+        known = extents(numbers, names)
+        most_rows = max(rows for rows, _, _ in known.values())
+    if most_rows <= exact_agg_rows:
         found = numbers.agg(
             *[
-                F.percentile(f"x{i}", F.array(*[F.lit(float(p)) for p in probabilities[c]]))
-                for i, c in enumerate(columns)
+                F.percentile(x, F.array(*[F.lit(float(p)) for p in probabilities[c]]))
+                for x, c in zip(names, columns)
             ]
         ).first()
         return {c: list(found[i] or [None] * len(probabilities[c])) for i, c in enumerate(columns)}
     wanted, places = [], []
-    for i, column in enumerate(columns):
-        for p in probabilities[column]:
-            if rows[i] == 0:
-                continue
-            at = p * (rows[i] - 1)
-            places.append((column, p, at - math.floor(at)))
-            wanted += [(f"x{i}", math.floor(at), rows[i]), (f"x{i}", math.ceil(at), rows[i])]
-    values = select_ranks(numbers, wanted)
+    for x, column in zip(names, columns):
+        rows = known[x][0]
+        for p in probabilities[column] if rows else []:
+            at = p * (rows - 1)
+            places.append((column, at - math.floor(at)))
+            wanted += [(x, math.floor(at)), (x, math.ceil(at))]
+    values = select_ranks(numbers, wanted, known=known)
     result: dict[str, list[float | None]] = {c: [] for c in columns}
-    for k, (column, _, share) in enumerate(places):
+    for k, (column, share) in enumerate(places):
         below, above = values[2 * k], values[2 * k + 1]
         result[column].append(below + (above - below) * share)
     return {c: v or [None] * len(probabilities[c]) for c, v in result.items()}
@@ -238,19 +298,19 @@ def split_cuts(
     inner = [r for r in ranks if r < total]
     if not inner:
         return [None] * len(ranks)
-    times = select_ranks(df, [(time, r, total) for r in inner], direct_rows)
+    times = select_ranks(df, [(time, r) for r in inner], direct_rows)
     moments = [_literal(found, kind) for found in times]
     around = []
     for moment in moments:
         at = F.col(time) == moment
-        around += [F.count_if(F.col(time) < moment), F.count_if(at), F.min(F.when(at, F.col(key)))]
+        around += [F.count_if(F.col(time) < moment), F.min(F.when(at, F.col(key)))]
     around = df.agg(*[c.alias(f"a{i}") for i, c in enumerate(around)]).first()
     cuts: list[tuple[object, object] | None] = []
     for i, (rank, found) in enumerate(zip(inner, times)):
-        before, ties, edge = around[3 * i : 3 * i + 3]
+        before, edge = around[2 * i : 2 * i + 2]
         if rank > before:
             at_moment = df.where(F.col(time) == moments[i])
-            edge = select_ranks(at_moment, [(key, rank - before, ties)], direct_rows)[0]
+            edge = select_ranks(at_moment, [(key, rank - before)], direct_rows)[0]
         cuts.append((found, edge))
     return cuts + [None] * (len(ranks) - len(inner))
 
@@ -318,8 +378,8 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums in ascending order of a numeric key, unique within ``group``.
 
-    ``df`` should be a stored table.  Rows fall into buckets cut at quantiles of the key, so the
-    buckets are even; sums run within a bucket and start at the total of the buckets before it.
+    ``df`` should be a stored table.  Rows fall into buckets cut at sampled keys, so the buckets
+    are even; sums run within a bucket and start at the total of the buckets before it.
     """
     group = list(group)
     running = lambda w: {out: F.sum(name).over(w) for out, name in sums.items()}
@@ -329,10 +389,12 @@ def running_totals(
         return df.withColumns(running(within.rowsBetween(Window.unboundedPreceding, 0)))
     number = F.col(key).cast("double")
     buckets = min(BUCKETS[1], max(BUCKETS[0], math.ceil(rows / BUCKET_ROWS)))
-    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(_number, array({steps}), {ACCURACY})")
-    cuts = df.select(number.alias("_number")).agg(sketch).first()[0]
-    edges = [-math.inf, *sorted(set(cuts)), math.inf]
+    share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
+    picked = F.pmod(F.xxhash64(*group, key), F.lit(HASH_PARTS)) < int(share * HASH_PARTS)
+    # a bounded share of the keys only places the cuts; the sums read every row
+    sample = sorted(r[0] for r in df.where(picked).select(number.alias("x")).collect())
+    cuts = {sample[i * len(sample) // buckets] for i in range(1, buckets) if sample}
+    edges = [-math.inf, *sorted(cuts), math.inf]
     bucketed = (
         Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket")
         .transform(df.withColumn("_number", number))

@@ -41,6 +41,11 @@ def null_profile(df: DataFrame, only_with_nulls: bool = True) -> DataFrame:
     return rows.where(F.col("nulls") > 0) if only_with_nulls else rows
 
 
+def null_total(df: DataFrame) -> DataFrame:
+    """One row: null cells of the whole table."""
+    return null_profile(df).agg(F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"))
+
+
 def columns_with_nulls(df: DataFrame, names: Sequence[str]) -> list[str]:
     if not names:
         return []

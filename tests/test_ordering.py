@@ -67,16 +67,28 @@ def test_quantiles_beyond_the_exact_aggregate(tied):
 
 def test_rank_selection_narrows_exactly(tied):
     ranks = [0, 1, 999, 1000, 1500, 2998, 2999]
-    found = ordering.select_ranks(tied, [("x", r, 3000) for r in ranks], direct_rows=5)
+    found = ordering.select_ranks(tied, [("x", r) for r in ranks], direct_rows=5)
     x = sorted(r[0] for r in tied.select("x").collect())
     assert found == [x[r] for r in ranks]
-    texts = ordering.select_ranks(tied, [("key", r, 3000) for r in ranks], direct_rows=5)
+    texts = ordering.select_ranks(tied, [("key", r) for r in ranks], direct_rows=5)
     assert texts == [f"k{r:05d}" for r in ranks]
 
 
+def test_rank_selection_over_wide_values(spark):
+    """Magnitudes far apart, and many rows within one second."""
+    wide = spark.range(3000).select(F.pow(F.lit(10.0), (F.col("id") % 300) - 150).alias("v"), "id")
+    want = sorted(10.0 ** (i % 300 - 150) for i in range(3000))
+    found = ordering.select_ranks(wide, [("v", 5), ("v", 1500), ("v", 2990)], direct_rows=3)
+    assert np.allclose(found, [want[5], want[1500], want[2990]])
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(microseconds=i),) for i in range(1000)]
+    close = spark.createDataFrame(rows, "t timestamp_ntz")
+    assert ordering.select_ranks(close, [("t", 321)], direct_rows=3) == [rows[321][0]]
+
+
 def test_rank_selection_in_very_long_integers(spark):
     df = spark.range(2000).select((F.col("id") + F.lit(2**60)).alias("v"))
-    assert ordering.select_ranks(df, [("v", 777, 2000)], direct_rows=5) == [2**60 + 777]
+    assert ordering.select_ranks(df, [("v", 777)], direct_rows=5) == [2**60 + 777]
 
 
 def test_quantile_of_empty_and_null_columns(spark):
