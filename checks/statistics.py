@@ -302,7 +302,7 @@ def rounded_profile(df):
 @query(
     "entity_profile",
     b.sql(
-        f"SELECT cc_num, {PROFILE_SQL} FROM txn_profile",
+        f"SELECT cc_num, {PROFILE_SQL}, entity_rows FROM txn_profile",
         b.distance("txn"),
         b.daily("txn"),
         b.profile("txn"),
@@ -462,7 +462,7 @@ def freq_lookup(spark, sf_dir):
 @query(
     "profile_store",
     b.sql(
-        f"""SELECT cc_num, {PROFILE_SQL}, freq, round(ma, 6) AS mean_amt, round(sb, 6) AS std_dist
+        f"""SELECT cc_num, {PROFILE_SQL}, entity_rows, freq, round(ma, 6) AS mean_amt, round(sb, 6) AS std_dist
         FROM known_profile p JOIN known_cc_num_codes c ON p.cc_num = c.value CROSS JOIN mahal_m""",
         b.distance("known"),
         b.daily("known"),

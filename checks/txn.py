@@ -173,7 +173,7 @@ def profile(source: str) -> str:
   SELECT cc_num, avg(amt) AS user_mean_amt, coalesce(stddev_samp(amt), 1) AS user_std_amt,
     avg(distance_km) AS user_mean_dist, coalesce(stddev_samp(distance_km), 1) AS user_std_dist,
     avg(daily_txn_count) AS user_mean_velocity,
-    coalesce(stddev_samp(daily_txn_count), 1) AS user_std_velocity
+    coalesce(stddev_samp(daily_txn_count), 1) AS user_std_velocity, count(*) AS entity_rows
   FROM {source}_daily GROUP BY cc_num)"""
 
 

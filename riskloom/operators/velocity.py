@@ -22,6 +22,9 @@ PROFILE_COLUMNS = (
 )
 
 
+PROFILE_ROWS = "entity_rows"
+
+
 def daily_count(
     df: DataFrame, entity: str, time: str, day: str = "date", out: str = COUNT
 ) -> DataFrame:
@@ -65,7 +68,7 @@ def entity_profile(
     distance: str,
     counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean and sample deviation of amount, distance and daily count per entity.
+    """Mean and sample deviation of amount, distance and daily count per entity, and its rows.
 
     Reads the table twice with few columns instead of joining the counts back to the rows:
     both aggregations shrink to keys in the map tasks.  ``counts`` are the daily counts if they
@@ -76,11 +79,14 @@ def entity_profile(
         F.stddev_samp(amount).alias("user_std_amt"),
         F.avg(distance).alias("user_mean_dist"),
         F.stddev_samp(distance).alias("user_std_dist"),
+        F.count("*").alias(PROFILE_ROWS),
     )
     counts = daily_count(df, entity, time) if counts is None else counts
     velocity = velocity_profile(counts, entity)
     profile = amounts.join(velocity, entity, "left")
-    return fill_defaults(profile, dict.fromkeys(PROFILE_STDS, 1.0)).select(entity, *PROFILE_COLUMNS)
+    return fill_defaults(profile, dict.fromkeys(PROFILE_STDS, 1.0)).select(
+        entity, *PROFILE_COLUMNS, PROFILE_ROWS
+    )
 
 
 def unseen_defaults(mean: float = 0.0, std: float = 1.0) -> dict[str, float]:
@@ -102,17 +108,21 @@ def with_entity_state(
     time: str,
     unseen: dict[str, float] | None = None,
     counts: DataFrame | None = None,
+    rows_as: str | None = None,
 ) -> DataFrame:
     """Daily count and entity profile in a single join of the rows.
 
-    The profile is joined to the (entity, day) counts first, so the rows shuffle once, or not at
+    ``rows_as`` names a further column for the frequency of the entity (unseen 0).  The profile is joined to the (entity, day) counts first, so the rows shuffle once, or not at
     all where Spark finds the counts small enough to broadcast.
     """
     counts = daily_count(df, entity, time) if counts is None else counts
     counts = counts.withColumnRenamed("date", "_day").join(profile, entity, "left")
     counts = fill_defaults(counts, unseen_defaults() if unseen is None else unseen)
-    dated = df.withColumn("_day", F.to_date(time))
     values = [COUNT, *PROFILE_COLUMNS]
+    if rows_as:
+        counts = counts.withColumn(rows_as, F.coalesce(PROFILE_ROWS, F.lit(0)))
+        values.append(rows_as)
+    dated = df.withColumn("_day", F.to_date(time))
     return spread_lookup(dated, counts, [entity, "_day"], values, weight=COUNT).drop("_day")
 
 

@@ -44,10 +44,11 @@ def entity_scores(
     entities: DataFrame,
     unseen: dict[str, float] | None = None,
     counts: DataFrame | None = None,
+    rows_as: str | None = None,
 ) -> DataFrame:
     """Add distance, daily count of this table and z-scores against the entity profiles."""
     rows = measured(df, cols)
-    joined = with_entity_state(rows, entities, cols.entity, cols.time, unseen, counts)
+    joined = with_entity_state(rows, entities, cols.entity, cols.time, unseen, counts, rows_as)
     return drop_profile(user_zscores(joined, cols.amount, DISTANCE))
 
 
@@ -86,7 +87,7 @@ def fit_global(df: DataFrame, cols: TxnColumns) -> GlobalProfile:
 
 
 def fit_stage1(
-    df: DataFrame, cols: TxnColumns, scope: Column | None = None
+    df: DataFrame, cols: TxnColumns, scope: Column | None = None, rows_as: str | None = None
 ) -> tuple[GlobalProfile, DataFrame, DataFrame]:
     """Statistics fitted on the rows in ``scope`` (all by default).
 
@@ -99,7 +100,7 @@ def fit_stage1(
     else:
         fitted = fit_entities(df.where(scope), cols)
     entities = stage(fitted, "entities")
-    core = stage(entity_scores(df, cols, entities, counts=counts), "core")
+    core = stage(entity_scores(df, cols, entities, None, counts, rows_as), "core")
     return fit_global(core if scope is None else core.where(scope), cols), entities, core
 
 
@@ -124,6 +125,7 @@ def stage1_score(
     overall: GlobalProfile,
     entities: DataFrame,
     unseen: dict[str, float] | None = None,
+    rows_as: str | None = None,
 ) -> DataFrame:
     """Score a batch with saved statistics; daily counts are those of the batch."""
-    return global_scores(entity_scores(df, cols, entities, unseen), cols, overall)
+    return global_scores(entity_scores(df, cols, entities, unseen, None, rows_as), cols, overall)

@@ -31,9 +31,10 @@ def clean(df: DataFrame, cols: TxnColumns) -> DataFrame:
     return dedup_key(df, [cols.key], [cols.row_id])
 
 
-def fit_codes(df: DataFrame, cols: TxnColumns) -> DataFrame:
-    """One code map for all coded columns, in order of time."""
-    return code_map(df, cols.label_coded, cols.freq_coded, cols.time)
+def fit_codes(df: DataFrame, cols: TxnColumns, skip: Sequence[str] = ()) -> DataFrame:
+    """One code map for the coded columns not in ``skip``, in order of time."""
+    freqs = [c for c in cols.freq_coded if c not in skip]
+    return code_map(df, cols.label_coded, freqs, cols.time)
 
 
 def reference_time(df: DataFrame, cols: TxnColumns) -> Column:
@@ -49,7 +50,10 @@ def build_features(
     reference: Column | None = None,
     gender_default: int | None = 0,
 ) -> DataFrame:
-    """Add time, age, amount and coded features; codes replace the label columns."""
+    """Add time, age, amount and coded features; codes replace the label columns.
+
+    A frequency column that is there already is not looked up again.
+    """
     reference = reference_time(df, cols) if reference is None else reference
     time = F.col(cols.time)
     df = measured(df, cols).withColumns(
@@ -66,6 +70,7 @@ def build_features(
         df = df.withColumn("anomaly_weighted_amt", weighted)
     labels = {c: c for c in cols.label_coded if c in df.columns}
     freqs = {c: f"{c}_freq" for c in cols.freq_coded if c in df.columns}
+    freqs = {c: out for c, out in freqs.items() if out not in df.columns}
     return apply_codes(df, codes, labels, freqs, sizes)
 
 

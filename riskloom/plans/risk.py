@@ -37,6 +37,10 @@ def forest_features(cols: TxnColumns) -> tuple[str, ...]:
     )
 
 
+def entity_freq(cols: TxnColumns) -> str | None:
+    return f"{cols.entity}_freq" if cols.entity in cols.freq_coded else None
+
+
 @dataclass(frozen=True)
 class RiskSettings:
     """``fit_scope`` 'all' fits the statistics on every row, 'train' on the train split only."""
@@ -56,7 +60,8 @@ class RiskEstimator(Estimator):
         cols = self.settings.cols
         split = time_split(df, cols.time, cols.key)
         scope = None if self.settings.fit_scope == "all" else F.col("split") == "train"
-        overall, entities, core = fit_stage1(split, cols, scope)
+        # the entity's frequency comes with its profile and needs no join of its own
+        overall, entities, core = fit_stage1(split, cols, scope, entity_freq(cols))
         enriched = global_scores(core, cols, overall)
 
         def fitted_on(rows: DataFrame) -> DataFrame:
@@ -66,7 +71,7 @@ class RiskEstimator(Estimator):
         forest = IsolationForest(forest_settings).fit(fitted_on(enriched))
         enriched = stage(forest.transform(enriched), "enriched")
 
-        codes = stage(fit_codes(fitted_on(core), cols), "code-map")
+        codes = stage(fit_codes(fitted_on(core), cols, [cols.entity]), "code-map")
         built = build_features(enriched, cols, codes)
         features = tuple(feature_names(built, cols, ["split"]))
         booster = BoostedTrees(BoostSettings(features, cols.label, **self.settings.boost)).fit(built)
@@ -99,7 +104,8 @@ class RiskModel(Model):
         self._sizes: dict[str, int] | None = None
 
     def statistics(self, df: DataFrame) -> DataFrame:
-        return stage1_score(df, self.cols, self.profiles.overall, self.profiles.entities)
+        profiles, freq = self.profiles, entity_freq(self.cols)
+        return stage1_score(df, self.cols, profiles.overall, profiles.entities, None, freq)
 
     def anomalies(self, df: DataFrame) -> DataFrame:
         return self.forest.transform(df)
