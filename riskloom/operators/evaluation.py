@@ -118,7 +118,8 @@ def score_curve(
     are stored once; every metric below reads this table.
     """
     group = list(group)
-    scored = df.where(F.col(score).isNotNull()).groupBy(*group, F.col(score).alias("threshold"))
+    usable = F.col(score).isNotNull() & ~F.isnan(score)
+    scored = df.where(usable).groupBy(*group, F.col(score).alias("threshold"))
     counts = stage(
         scored.agg(
             F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
@@ -126,19 +127,14 @@ def score_curve(
         "scores",
     )
     upto = running_totals(
-        counts, "threshold", {"_pos": "pos", "_neg": "neg"}, group, one_task_rows
+        counts,
+        "threshold",
+        {"_pos": "pos", "_neg": "neg"},
+        group,
+        one_task_rows,
+        {"p": "pos", "n": "neg"},
     )
-    totals = counts.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    if group:
-        joined = upto.join(totals, group)
-    else:
-        joined = upto.withColumns(
-            {
-                name: totals.select(name).scalar()
-                for name in ("p", "n")
-            }
-        )
-    return joined.select(
+    return upto.select(
         *group,
         "threshold",
         "pos",

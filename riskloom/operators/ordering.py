@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from riskloom.session import stage
 
 ONE_TASK_ROWS = 200_000
-DIRECT_ROWS = 10_000
+DIRECT_ROWS = 5_000
 EXACT_AGG_ROWS = 1_000_000
 MOST_BINS = 32_768
 FEW_RANGES = 8
@@ -197,13 +198,28 @@ def _narrow_by_pivots(df: DataFrame, target: _Target) -> None:
     target.by_bins = _number(column, kind) is not None
 
 
+def _read_few(df: DataFrame, targets: list[_Target]) -> None:
+    """Finish ranges that hold few rows, with one read per column."""
+    for column in {t.column for t in targets}:
+        mine = [t for t in targets if t.column == column]
+        inside = mine[0].inside()
+        for target in mine[1:]:
+            inside = inside | target.inside()
+        # bounded by the rows allowed per range
+        values = sorted(row[0] for row in df.where(inside).select(column).collect())
+        for target in mine:
+            before = bisect_right if target.above_low else bisect_left
+            target.value, target.done = values[before(values, target.low) + target.rank], True
+
+
 def extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    """Non-null rows, minimum and maximum of every column, from one aggregation."""
+    """Non-null rows, minimum and maximum of every column, and all rows as ``*``, in one job."""
     parts = []
     for i, c in enumerate(columns):
         parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
-    row = df.agg(*parts).first()
-    return {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
+    row = df.agg(*parts, F.count("*").alias("all")).first()
+    found = {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
+    return {**found, "*": (row["all"], None, None)}
 
 
 def select_ranks(
@@ -224,9 +240,7 @@ def select_ranks(
         target.by_bins = _number(F.col(target.column), target.kind) is not None
         target.done, target.value = target.low == target.high, target.low
     while True:
-        for target in [t for t in targets if not t.done and t.rows <= direct_rows]:
-            few = df.where(target.inside()).select(target.column).orderBy(target.column)
-            target.value, target.done = few.offset(target.rank).limit(1).first()[0], True
+        _read_few(df, [t for t in targets if not t.done and t.rows <= direct_rows])
         waiting = [t for t in targets if not t.done]
         if not waiting:
             return [t.value for t in targets]
@@ -254,7 +268,7 @@ def exact_quantiles(
     known = None
     if most_rows is None or most_rows > exact_agg_rows:
         known = extents(numbers, names)
-        most_rows = max(rows for rows, _, _ in known.values())
+        most_rows = known["*"][0]
     if most_rows <= exact_agg_rows:
         found = numbers.agg(
             *[
@@ -293,12 +307,15 @@ def split_cuts(
 ) -> list[tuple[object, object] | None]:
     """The (time, key) found at position ``int(n * f)`` for every fraction; None past the end."""
     kind = df.schema[time].dataType
-    total = df.count()
+    known = extents(df, [time])
+    total = known["*"][0]
+    if known[time][0] < total:
+        raise ValueError(f"{time} has nulls")
     ranks = [int(total * f) for f in fractions]
     inner = [r for r in ranks if r < total]
     if not inner:
         return [None] * len(ranks)
-    times = select_ranks(df, [(time, r) for r in inner], direct_rows)
+    times = select_ranks(df, [(time, r) for r in inner], direct_rows, known)
     moments = [_literal(found, kind) for found in times]
     around = []
     for moment in moments:
@@ -352,18 +369,18 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, margin: float = 1.
     Rows are ordered by a hash of (key, seed).  A cut on the hash lets only slightly more than
     ``n`` rows reach the final sort; the smallest ``n`` hashes always lie under a wide enough cut.
     """
+    total = df.count()
+    if n >= total:
+        return df
     rank = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
     hashed = df.withColumn("_rank", rank)
-    total = df.count()
-    wanted = min(n, total)
-    share = margin * wanted / max(total, 1)
-    kept = hashed
+    share, kept = margin * n / total, hashed
     while share < 1:
         kept = hashed.where(F.col("_rank") < f"{int(share * 16**8):08x}")
-        if kept.count() >= wanted:
+        if kept.count() >= n:
             break
         share, kept = share * 2, hashed
-    return kept.orderBy("_rank", key).limit(wanted).drop("_rank")
+    return kept.orderBy("_rank", key).limit(n).drop("_rank")
 
 
 # --- prefix sums -----------------------------------------------------------------------------
@@ -375,18 +392,27 @@ def running_totals(
     sums: dict[str, str],
     group: Sequence[str] = (),
     one_task_rows: int = ONE_TASK_ROWS,
+    wholes: dict[str, str] | None = None,
 ) -> DataFrame:
     """Inclusive running sums in ascending order of a numeric key, unique within ``group``.
 
+    ``sums`` and ``wholes`` map new columns to summed ones; wholes are sums of the whole group.
+
     ``df`` should be a stored table.  Rows fall into buckets cut at sampled keys, so the buckets
     are even; sums run within a bucket and start at the total of the buckets before it.
     """
-    group = list(group)
-    running = lambda w: {out: F.sum(name).over(w) for out, name in sums.items()}
+    group, wholes = list(group), wholes or {}
+    upto = (Window.unboundedPreceding, 0)
     rows = df.count()
     if rows <= one_task_rows:
-        within = Window.partitionBy(*group).orderBy(key)
-        return df.withColumns(running(within.rowsBetween(Window.unboundedPreceding, 0)))
+        in_order = Window.partitionBy(*group).orderBy(key).rowsBetween(*upto)
+        whole = Window.partitionBy(*group)
+        return df.withColumns(
+            {
+                **{out: F.sum(name).over(in_order) for out, name in sums.items()},
+                **{out: F.sum(name).over(whole) for out, name in wholes.items()},
+            }
+        )
     number = F.col(key).cast("double")
     buckets = min(BUCKETS[1], max(BUCKETS[0], math.ceil(rows / BUCKET_ROWS)))
     share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
@@ -400,22 +426,24 @@ def running_totals(
         .transform(df.withColumn("_number", number))
         .drop("_number")
     )
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # a row per bucket and group
-    starts = bucketed.groupBy(*group, "_bucket").agg(
-        *[F.sum(name).alias(f"_total_{out}") for out, name in sums.items()]
-    )
+    names = list(dict.fromkeys([*sums.values(), *wholes.values()]))
+    starts = bucketed.groupBy(*group, "_bucket").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select(
         *group,
         "_bucket",
         *[
-            F.coalesce(F.sum(f"_total_{out}").over(before), F.lit(0)).alias(f"_start_{out}")
-            for out in sums
+            F.coalesce(F.sum(f"_in_{name}").over(before), F.lit(0)).alias(f"_before_{out}")
+            for out, name in sums.items()
         ],
+        *[F.sum(f"_in_{name}").over(whole).alias(out) for out, name in wholes.items()],
     )
-    within = Window.partitionBy(*group, "_bucket").orderBy(key)
-    local = bucketed.withColumns(running(within.rowsBetween(Window.unboundedPreceding, 0)))
+    in_order = Window.partitionBy(*group, "_bucket").orderBy(key).rowsBetween(*upto)
+    local = bucketed.withColumns({out: F.sum(name).over(in_order) for out, name in sums.items()})
     return local.join(starts, [*group, "_bucket"]).select(
         *df.columns,
-        *[(F.col(out) + F.col(f"_start_{out}")).alias(out) for out in sums],
+        *[(F.col(out) + F.col(f"_before_{out}")).alias(out) for out in sums],
+        *wholes,
     )

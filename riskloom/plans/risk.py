@@ -16,7 +16,7 @@ from riskloom.operators.isolation import ForestSettings, IsolationForest, Isolat
 from riskloom.operators.ordering import time_split
 from riskloom.plans.enrich import fit_stage1, global_scores, stage1_score
 from riskloom.plans.features import build_features, feature_names, fit_codes, reference_time
-from riskloom.schema import TxnColumns
+from riskloom.schema import TxnColumns, nan_to_null
 from riskloom.session import stage
 from riskloom.sources.profiles import Profiles
 
@@ -58,7 +58,7 @@ class RiskEstimator(Estimator):
 
     def _fit(self, df: DataFrame) -> RiskModel:
         cols = self.settings.cols
-        split = time_split(df, cols.time, cols.key)
+        split = time_split(nan_to_null(df), cols.time, cols.key)
         scope = None if self.settings.fit_scope == "all" else F.col("split") == "train"
         # the entity's frequency comes with its profile and needs no join of its own
         overall, entities, core = fit_stage1(split, cols, scope, entity_freq(cols))
@@ -128,6 +128,7 @@ class RiskModel(Model):
         )
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        df = nan_to_null(df)
         # the age reference reads one column of the raw batch, not the scored plan
         reference = reference_time(df, self.cols)
         return self.predictions(self.anomalies(self.statistics(df)), reference)
