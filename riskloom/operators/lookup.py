@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 1 / 256
-MIN_SPREAD = 1024
 BROADCAST_ROWS = 200_000
 
 
@@ -40,19 +39,26 @@ def spread_lookup(
     payload = F.struct(*values)
     if weight:
         total = dim.agg(F.sum(weight)).scalar()
-        hot = dim.where(F.col(weight) > share * total)
+        hot = dim.where(F.col(weight) > share * total).select(*on, payload.alias("_hot"))
     else:
         counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
-        hot = dim.join(F.broadcast(hot_keys(counts, on, "_rows", share)), on, "left_semi")
-    hot = hot.select(*on, payload.alias("_hot"))
-    rest = dim.select(*on, F.lit(0).alias("_salt"), payload.alias("_rest"))
-    # a salt from the task spreads even exact copies, needs no column, and a retried task repeats it
-    spread = max(MIN_SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salt = 1 + F.pmod(F.spark_partition_id(), F.lit(spread))
+        keys = hot_keys(counts, on, "_rows", share)
+        found = dim.join(F.broadcast(keys), on, "left_semi").select(*on, payload.alias("_hot"))
+        # a hot key that the keyed table lacks is settled as well
+        hot = keys.join(F.broadcast(found), on, "left")
+    hot = hot.withColumn("_settled", F.lit(True))
+    # A key's own slot is a hash of the key.  Rows that have their value already, or can match
+    # nothing, take a slot of their task instead, so they spread and a retried task repeats it.
+    # Should two slots coincide, the keys still decide the match.
+    slot = F.xxhash64(*on)
+    rest = dim.select(*on, slot.alias("_slot"), payload.alias("_rest"))
+    settled = F.col("_settled").isNotNull()
+    for key in on:
+        settled = settled | F.col(key).isNull()
     joined = (
         df.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(salt).cast("int"))
-        .join(rest, [*on, "_salt"], "left")
+        .withColumn("_slot", F.when(settled, F.xxhash64(*on, F.spark_partition_id())).otherwise(slot))
+        .join(rest, [*on, "_slot"], "left")
         .withColumn("_value", F.coalesce("_hot", "_rest"))
     )
     return joined.select(*df.columns, *[F.col(f"_value.{name}").alias(name) for name in values])

@@ -66,6 +66,31 @@ def test_lookup_without_weights_keeps_unmatched_rows(spark, cards, adaptive):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("hot", ["a hot key", "null keys", "an unseen key"])
+def test_hot_rows_do_not_share_a_shuffle_partition(spark, hot):
+    """Two thirds of the rows have one key; with plain hashing one partition would hold them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(None if hot == "null keys" else -1)
+        df = spark.range(0, 60_000, 1, 64).withColumn("key", key.cast("bigint"))
+        counts = df.where("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+        weight = "n"
+        if hot == "an unseen key":
+            counts, weight = counts.where("key >= 0"), None
+        found = lookup.spread_lookup(df, counts, ["key"], ["n"], weight)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 60_000 and max(sizes) < 60_000 / 5
+        unmatched = 0 if hot == "a hot key" else 40_000
+        assert found.agg(F.max("n")).first()[0] == (1 if unmatched else 40_000)
+        assert found.where("n is null").count() == unmatched
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_unseen_entities_get_defaults(cards):
     profile = velocity.entity_profile(cards.where("card < 20"), "card", "t", "amt", "dist")
     joined = velocity.join_profile(cards, profile, "card")
