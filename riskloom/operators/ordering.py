@@ -31,22 +31,23 @@ ROW_BITS = 33
 def global_position(
     df: DataFrame, order_by: Sequence[str], out: str = "pos", one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
-    """Dense 0-based position in the order of ``order_by``, which must be unique together.
+    """Dense 0-based position in the order of ``order_by``, unique together, nulls last.
 
     Rows are range partitioned (a composite unique key splits evenly however many rows share
     its first part), sorted within partitions and written once; the position is the row's index
     in its partition plus the row counts of the partitions before it.
     """
+    in_order = [F.col(c).asc_nulls_last() for c in order_by]
     rows = df.count()
     if rows <= one_task_rows:
         # bounded by the check above
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order_by)).cast("long") - 1)
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*in_order)).cast("long") - 1)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partitions = max(partitions, math.ceil(rows / BUCKET_ROWS))
     local = F.monotonically_increasing_id()
     ordered = (
-        df.repartitionByRange(partitions, *order_by)
-        .sortWithinPartitions(*order_by)
+        df.repartitionByRange(partitions, *in_order)
+        .sortWithinPartitions(*in_order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_index", local.bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
     )
@@ -308,35 +309,40 @@ def split_cuts(
     """The (time, key) found at position ``int(n * f)`` for every fraction; None past the end."""
     kind = df.schema[time].dataType
     known = extents(df, [time])
-    total = known["*"][0]
-    if known[time][0] < total:
-        raise ValueError(f"{time} has nulls")
+    total, timed = known["*"][0], known[time][0]
     ranks = [int(total * f) for f in fractions]
-    inner = [r for r in ranks if r < total]
-    if not inner:
-        return [None] * len(ranks)
-    times = select_ranks(df, [(time, r) for r in inner], direct_rows, known)
-    moments = [_literal(found, kind) for found in times]
-    around = []
-    for moment in moments:
-        at = F.col(time) == moment
-        around += [F.count_if(F.col(time) < moment), F.min(F.when(at, F.col(key)))]
-    around = df.agg(*[c.alias(f"a{i}") for i, c in enumerate(around)]).first()
+    inner = [r for r in ranks if r < timed]
     cuts: list[tuple[object, object] | None] = []
-    for i, (rank, found) in enumerate(zip(inner, times)):
-        before, edge = around[2 * i : 2 * i + 2]
-        if rank > before:
-            at_moment = df.where(F.col(time) == moments[i])
-            edge = select_ranks(at_moment, [(key, rank - before)], direct_rows)[0]
-        cuts.append((found, edge))
-    return cuts + [None] * (len(ranks) - len(inner))
+    if inner:
+        times = select_ranks(df, [(time, r) for r in inner], direct_rows, known)
+        moments = [_literal(found, kind) for found in times]
+        around = []
+        for moment in moments:
+            at = F.col(time) == moment
+            around += [F.count_if(F.col(time) < moment), F.min(F.when(at, F.col(key)))]
+        around = df.agg(*[c.alias(f"a{i}") for i, c in enumerate(around)]).first()
+        for i, (rank, found) in enumerate(zip(inner, times)):
+            before, edge = around[2 * i : 2 * i + 2]
+            if rank > before:
+                at_moment = df.where(F.col(time) == moments[i])
+                edge = select_ranks(at_moment, [(key, rank - before)], direct_rows)[0]
+            cuts.append((found, edge))
+    # rows without a time come last
+    late = [r for r in ranks if timed <= r < total]
+    if late:
+        untimed = df.where(F.col(time).isNull())
+        edges = select_ranks(untimed, [(key, r - timed) for r in late], direct_rows)
+        cuts += [(None, edge) for edge in edges]
+    return cuts + [None] * (len(ranks) - len(cuts))
 
 
 def _before(df: DataFrame, time: str, key: str, cut: tuple[object, object] | None) -> Column:
     if cut is None:
         return F.lit(True)
-    moment = _literal(cut[0], df.schema[time].dataType)
     edge = _literal(cut[1], df.schema[key].dataType)
+    if cut[0] is None:
+        return F.col(time).isNotNull() | (F.col(key) < edge)
+    moment = _literal(cut[0], df.schema[time].dataType)
     return (F.col(time) < moment) | ((F.col(time) == moment) & (F.col(key) < edge))
 
 

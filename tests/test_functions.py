@@ -93,3 +93,35 @@ def test_column_checks(spark):
     assert dict(narrow_types(df, {"a": "smallint", "z": "int"}).dtypes)["a"] == "smallint"
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         narrow_types(df, {"b": "tinyint"}).collect()
+
+
+def test_shared_folder_comes_from_the_session(spark, monkeypatch):
+    from riskloom import session
+
+    class Conf:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def get(self, name, default=None):
+            return self.folder if name == "spark.checkpoint.dir" else default
+
+    class Context:
+        master, applicationId = "yarn", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        def __init__(self, folder):
+            self.conf, self.sparkContext = Conf(folder), Context()
+
+    assert session.shared_folder(Session("hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session(None))
+
+
+def test_stage_reads_back_the_same_rows(spark):
+    from riskloom.session import stage
+
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0, 0, 5))], "a int, t timestamp_ntz")
+    assert stage(df, "rows").collect() == df.collect()

@@ -50,6 +50,17 @@ def test_small_splits_cut_at_truncated_positions(spark, rows):
     assert [sizes.get(s, 0) for s in ("train", "val", "test")] == [train, val - train, rows - val]
 
 
+@pytest.mark.parametrize("bound", [1, 1000])
+def test_rows_without_time_come_last(spark, bound):
+    rows = [(None, "c"), (None, "a"), (2, "x"), (1, "y"), (None, "b"), (None, "d")]
+    df = spark.createDataFrame(rows, "t int, k string")
+    split = ordering.time_split(df, "t", "k", (0.34, 0.67), direct_rows=bound)
+    parts = {r["k"]: r["split"] for r in split.collect()}
+    assert parts == {"y": "train", "x": "train", "a": "val", "b": "val", "c": "test", "d": "test"}
+    placed = ordering.global_position(df, ["t", "k"], "place", one_task_rows=bound)
+    assert [r["k"] for r in placed.orderBy("place").collect()] == list("yxabcd")
+
+
 def test_split_breaks_ties_by_key(spark):
     df = spark.createDataFrame([(1, k) for k in "dcba"], "t int, k string")
     split = ordering.time_split(df, "t", "k", (0.5,), ("first", "last"))
