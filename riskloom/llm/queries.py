@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import sharding
+from riskloom.llm import minhash, outliers, packing, sharding, tokenfile, warc
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +32,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_minhash")
+def op1_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_warc")
+def op3_warc(spark, sf_dir):
+    files = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = warc.read_archives(files).filter(F.col("gap_reason").isNull())
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_packing")
+def op5_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, window=2048)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op7_token_files")
+def op7_token_files(spark, sf_dir):
+    files = tokenfile.write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+    return tokenfile.read_tokens(files).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark, sf_dir):
+    return outliers.quality_rules(table(spark, sf_dir, "documents"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark, sf_dir):
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=8)
