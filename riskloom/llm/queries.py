@@ -7,9 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import minhash, outliers, packing, sharding, tokenfile, warc
+from riskloom.llm import (
+    embedding,
+    minhash,
+    outliers,
+    packing,
+    pieces,
+    sharding,
+    tokenfile,
+    warc,
+    weaklabel,
+    wrappers,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +49,11 @@ def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_embedding")
+def op2_embedding(spark, sf_dir):
+    return embedding.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_warc")
 def op3_warc(spark, sf_dir):
     files = warc.write_archives(table(spark, sf_dir, "pages"))
@@ -44,6 +61,19 @@ def op3_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op4_pieces")
+def op4_pieces(spark, sf_dir):
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES)
+    restored = pieces.decode(encoded, PIECES)
+    return restored.select(
+        "doc_id",
+        "n_pieces",
+        F.crc32("ids").alias("ids_crc32"),
+        F.octet_length("text").cast("long").alias("text_bytes"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 @query("op5_packing")
 def op5_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, window=2048)
@@ -61,6 +91,17 @@ def op6_quality_rules(spark, sf_dir):
     return outliers.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    return weaklabel.classify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_text")
+def op9_html_text(spark, sf_dir):
+    found = wrappers.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark, sf_dir):
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=8)
