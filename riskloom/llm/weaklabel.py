@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.session import stage
 
 #: Buckets of the hashed features.
-BUCKETS = 512
+BUCKETS = 384
 #: Most documents the scorer is fitted on, those of smallest id hash; everything else is over all.
 FIT_ROWS = 20_000
-#: Tasks that share the sample in the fit.
+#: Tasks that share the sample in the fit, steps of the fit at most, and its ridge per text.
 FIT_PARTS = 8
+NEWTON = 12
+RIDGE = 1e-4
+#: Weight of the prior on the rules' votes, as a share of all texts.
+PRIOR = 0.05
 #: Rounds of expectation-maximisation.
 ROUNDS = 100
 #: A text is rejected when the scorer gives its being good less than this.
@@ -28,6 +31,9 @@ LEAST = 0.5
 #: Ends of the steps into which a statistic is cut for its hashed feature.
 STEPS = (0.0, 0.005, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 
+#: What may stand around a plain word.
+PUNCTUATION = ".,;:!?'\"()[]-"
+
 _SYMBOLS = re.compile(r"[#*$%&|<>{}~^=_\\]")
 _LETTERS = re.compile(r"[^\W\d_]")
 _DIGITS = re.compile(r"\d+")
@@ -46,6 +52,10 @@ class Statistics:
     exclaimed: float
     length: float
     ended: float
+    plain: float
+    lettered: float
+    shouted: float
+    commonest: float
 
 
 def statistics(text: str, words: list[str]) -> Statistics:
@@ -65,6 +75,10 @@ def statistics(text: str, words: list[str]) -> Statistics:
         exclaimed=(text.count("!") + text.count("?")) / n,
         length=sum(map(len, words)) / n,
         ended=sum(map(text.count, (". ", ".\n", "! ", "? "))) / n,
+        plain=sum(w.strip(PUNCTUATION).isalpha() for w in words) / n,
+        lettered=(letters + sum(map(text.count, " \n.,"))) / max(len(text), 1),
+        shouted=sum(len(w) > 2 and w.isupper() for w in words) / n,
+        commonest=max(Counter(words).values(), default=0) / n,
     )
 
 
@@ -81,13 +95,16 @@ def votes(s: Statistics) -> list[int]:
         rule(s.words > 30 and s.distinct < 0.25 * min(1, 400 / s.words), s.distinct > 0.4),
         rule(s.dup_lines > 0.4, s.dup_lines < 0.2),
         rule(s.exclaimed > 0.4, s.exclaimed < 0.15),
-        rule(s.words < 8 or s.length > 14 or s.length < 2, s.words >= 30 and 3 <= s.length <= 10),
+        rule(s.length > 14 or s.length < 2, 3 <= s.length <= 10),
         rule(s.words > 60 and s.ended < 0.005, s.ended > 0.02),
+        rule(s.plain < 0.6, s.plain > 0.85),
+        rule(s.lettered < 0.8, s.lettered > 0.9),
+        rule(s.shouted > 0.3, s.shouted < 0.1),
+        rule(s.words > 30 and s.commonest > 0.3, s.words > 30 and s.commonest < 0.15),
     ]
 
 
-RULES = 8
-NO_VOTE = -1
+RULES = 12
 
 
 def features(text: str, words: list[str], s: Statistics) -> np.ndarray:
@@ -173,17 +190,18 @@ class LabelModel:
 def fit_labels(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
     """Expectation-maximisation over the distinct vote patterns and how many texts have each.
 
-    It starts from the share of good votes per pattern, where one bad vote outweighs three good
-    ones, and keeps a small count for every vote, so no probability is 0.
+    It starts from the number of bad votes: texts with none are likely good, with two or more bad.
+    A prior of ``PRIOR`` of all texts holds that a rule's bad votes seldom fall on good texts, and
+    that a bad text gets any vote from a rule that looks for another fault; without it the classes
+    could drift to whatever splits the votes best.
     """
-    good = (patterns == 1).sum(axis=1)
     bad = (patterns == 0).sum(axis=1)
-    p = (good + 1) / (good + 3 * bad + 2)
-    p = np.where(bad == 0, np.maximum(p, 0.9), np.minimum(p, 0.6))
+    p = np.where(bad == 0, 0.95, np.where(bad == 1, 0.5, 0.05))
+    prior = PRIOR * max(counts.sum(), 1) * np.array([[0.3, 0.3, 0.4], [0.18, 0.01, 0.81]])
     model = None
     for _ in range(ROUNDS):
         weight = np.stack([(1 - p) * counts, p * counts])
-        given = np.full((patterns.shape[1], 2, 3), 0.1)
+        given = np.repeat(prior[None], patterns.shape[1], axis=0)
         for rule in range(patterns.shape[1]):
             for vote in (-1, 0, 1):
                 given[rule, :, vote + 1] += weight[:, patterns[:, rule] == vote].sum(axis=1)
@@ -195,38 +213,48 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
 
 
 def fit_scorer(labelled: DataFrame, fit_rows: int) -> tuple[list[float], float]:
-    """Weights and intercept of a logistic regression to the posteriors of a bounded sample.
+    """Weights and intercept of a ridge logistic regression to the posteriors of a bounded sample.
 
-    Each sampled document stands there twice, as good and as bad, weighted by its posterior.
+    Newton's method: each step sums gradient and curvature (the square of ``BUCKETS`` numbers) per
+    task and solves for the next weights.
     """
-
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dense, label, weight = [], [], []
-            for at, value, p in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                x = np.zeros(BUCKETS)
-                x[at] = value
-                for is_good, w in ((1.0, p), (0.0, 1 - p)):
-                    if w > 0:
-                        dense.append(x)
-                        label.append(is_good)
-                        weight.append(w)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(dense, pa.list_(pa.float64())), pa.array(label, pa.float64()), pa.array(weight, pa.float64())],
-                ["dense", "label", "weight"],
-            )
-
     texts = labelled.filter("not blank")
     sample = texts.orderBy(F.xxhash64("_row"), "pattern").limit(fit_rows)
-    rows = sample.select("at", "value", "weak_label").repartition(FIT_PARTS)
-    rows = stage(rows.mapInArrow(examples, "dense array<double>, label double, weight double"), "weak-examples")
-    rows = rows.select(array_to_vector("dense").alias("features"), "label", "weight")
-    if not rows.take(1):
-        return [0.0] * BUCKETS, 0.0
-    fitted = LogisticRegression(
-        weightCol="weight", regParam=1e-4, maxIter=40, standardization=False
-    ).fit(rows)
-    return [float(x) for x in fitted.coefficientMatrix.toArray()[-1]], float(fitted.interceptVector[-1])
+    sample = stage(sample.select("at", "value", "weak_label").repartition(FIT_PARTS), "weak-sample")
+    size = BUCKETS + 1
+    weights = np.zeros(size)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gradient, curvature, n = np.zeros(size), np.zeros((size, size)), 0
+        for batch in batches:
+            at, value, label = batch.columns
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(at.offsets.to_numpy()))
+            x = np.zeros((batch.num_rows, size))
+            x[rows, at.flatten().to_numpy()] = value.flatten().to_numpy()
+            x[:, -1] = 1
+            p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+            gradient += x.T @ (p - label.to_numpy())
+            curvature += (x * (p * (1 - p))[:, None]).T @ x
+            n += batch.num_rows
+        yield pa.RecordBatch.from_pydict(
+            {"n": [n], "gradient": [gradient], "curvature": [curvature.ravel()]}
+        )
+
+    for _ in range(NEWTON):
+        parts = sample.mapInArrow(sums, "n long, gradient array<double>, curvature array<double>")
+        parts = parts.toArrow()
+        n = sum(parts.column("n").to_pylist())
+        if not n:
+            break
+        gradient = np.sum([x.values.to_numpy() for x in parts.column("gradient")], axis=0)
+        curvature = np.sum([x.values.to_numpy() for x in parts.column("curvature")], axis=0)
+        ridge = np.full(size, RIDGE * n)
+        ridge[-1] = 1e-9 * n
+        step = np.linalg.solve(curvature.reshape(size, size) + np.diag(ridge + 1e-9), gradient + ridge * weights)
+        weights = weights - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return [float(x) for x in weights[:-1]], float(weights[-1])
 
 
 def classify(
