@@ -2,22 +2,75 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-#: Encoded words a worker remembers; more are forgotten at once, which costs time only.
-REMEMBERED = 300_000
+#: Encoded words that a worker remembers; of more, the half first met stays, which are the most
+#: frequent ones.  Forgetting costs time only.
+REMEMBERED = 500_000
 #: Characters of text that are divided into words at a time.
-AT_ONCE = 2_000_000
+AT_ONCE = 500_000
 
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+# Fixed value: the pattern that the library's byte-level pre-tokenizer applies.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+#: A space beside other white space; the rest of white space beyond ASCII.
+_PAIRS = ("  ", *(pair for c in "\t\n\v\f\r" for pair in (f" {c}", f"{c} ")))
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Printable Latin characters, on whose classes, case and composition all Unicode versions agree.
+_LATIN = re.compile("[ -~\n\xa1-\xac\xae-\u012f\u0131-\u017f]*")
+_LETTERS = re.compile("[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]+")
 _encoders: dict[str, WordwiseEncoder] = {}
 
 
+def _shown() -> dict[int, str]:
+    """The characters that stand for bytes: visible Latin-1 for itself, the rest from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = _shown()
+
+
+def _pattern(normalizer: dict | None, divider: dict | None) -> tuple[regex.Pattern | None, bool]:
+    """How the file's pre-tokenizer divides Latin text, and whether it is lower-cased first.
+
+    None for a file that does anything else than normal forms, white space and case to the text,
+    or that divides it by other means than a pattern before the bytes.
+    """
+    steps = (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])
+    kinds = [x["type"] for x in steps]
+    spaces = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    if any(x["type"] not in ("NFC", "Lowercase") and x != spaces for x in steps) or divider is None:
+        return None, False
+    parts = divider.get("pretokenizers", [divider])
+    levels = [x for x in parts if x["type"] == "ByteLevel" and not x["add_prefix_space"]]
+    if parts == levels and len(levels) == 1 and levels[0]["use_regex"]:
+        return regex.compile(BYTE_LEVEL), "Lowercase" in kinds
+    if len(parts) == 2 and parts[1:] == levels and not levels[0]["use_regex"]:
+        cut = parts[0]
+        if cut["type"] == "Split" and cut["behavior"] == "Removed" and cut["invert"]:
+            return regex.compile(cut["pattern"]["Regex"]), "Lowercase" in kinds
+    return None, False
+
+
+def _uneven(text: str) -> bool:
+    """Whether some space does not stand alone between two characters that are no white space."""
+    if text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _PAIRS):
+        return True
+    return not text.isascii() and _WIDE.search(text) is not None
+
+
 def id_type(path: str) -> np.dtype:
     """The narrowest unsigned type that holds the vocabulary's ids."""
     size = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
@@ -37,27 +90,76 @@ class WordwiseEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.type = id_type(path)
+        self.model = self.library.model
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        self.words, self.lower = _pattern(parts.get("normalizer"), parts.get("pre_tokenizer"))
         self.known: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
+        self.kind = "H" if self.type.itemsize == 2 else "I"
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
+    def _merged(self, word: str) -> bytes:
+        """Ids of one word of the pre-tokenizer's, straight from the library's merging."""
+        raw = word.encode("utf-8").decode("latin-1").translate(_SHOWN)
+        ids = array(self.kind, [t.id for t in self.model.tokenize(raw)])
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _learn(self, words: list[str]) -> list[str]:
+        """Put the ids of words, each with its space, among the known; returns the passing ones.
+
+        Latin words are divided by the pre-tokenizer's pattern and go to the merging directly,
+        which saves most of the library's time; others take the whole way.  Only plain words are
+        for keeping, as with what stands around them there are too many.
+        """
+        known, inner, passing, others = self.known, self.inner, [], []
+        for word in words:
+            if self.words is None or not _LATIN.fullmatch(word):
+                others.append(word)
+                continue
+            text = " " + (word.lower() if self.lower else word)
+            if _LETTERS.fullmatch(word):
+                known[word] = self._merged(self.words.findall(text)[0])
+                continue
+            ids = []
+            for x in self.words.findall(text):
+                plain = x[1:] if x[0] == " " else x if self.lower else ""
+                if plain in known:
+                    ids.append(known[plain])
+                elif x in inner:
+                    ids.append(inner[x])
+                else:
+                    ids.append(self._merged(x))
+                    if _LETTERS.fullmatch(plain):
+                        known[plain] = ids[-1]
+                    elif len(inner) < REMEMBERED:
+                        inner[x] = ids[-1]
+            known[word] = b"".join(ids)
+            passing.append(word)
+        known.update(zip(others, self._encode([" " + x for x in others]), strict=True))
+        return passing + others
+
     def _part(self, texts: list[str]) -> list[bytes]:
-        parts = [
-            _CUT.split(t) if _UNEVEN.search(t) else t.split(" ") if t else [] for t in texts
-        ]
+        parts = [[] if not t else _CUT.split(t) if _uneven(t) else t.split(" ") for t in texts]
         wanted: set[str] = set()
         for p in parts:
             wanted.update(p[1:])
         missing = list(wanted.difference(self.known))
         if len(self.known) + len(missing) > REMEMBERED:
-            self.known = {}
-            missing = list(wanted)
-        self.known.update(zip(missing, self._encode([" " + x for x in missing]), strict=True))
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+            missing = list(wanted.difference(self.known))
+        passing = self._learn(missing)
         heads = self._encode([p[0] if p else "" for p in parts])
         known = self.known.__getitem__
-        return [head + b"".join(map(known, p[1:])) for head, p in zip(heads, parts, strict=True)]
+        found = [head + b"".join(map(known, p[1:])) for head, p in zip(heads, parts, strict=True)]
+        for word in passing:
+            del self.known[word]
+        return found
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text in turn; null gives none."""
