@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.prefix import partitions
@@ -449,15 +450,15 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
     has the path to the article's element and the texts that all pages have in the same place, if
     at least ``SUPPORT`` pages of different main text agree.
     """
-    schema = "host string, pages long, distinct_pages long, packed string"
+    schema = "host string, pages long, seen array<string>, packed string"
 
     def emit(held: dict[str, tuple[int, set, Node]]) -> pa.RecordBatch:
-        rows = [(h, n, len(seen), json.dumps(w.packed())) for h, (n, seen, w) in held.items()]
+        rows = [(h, n, sorted(seen), json.dumps(w.packed())) for h, (n, seen, w) in held.items()]
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string())
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-            ["host", "pages", "distinct_pages", "packed"],
+            ["host", "pages", "seen", "packed"],
         )
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,7 +467,7 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
             for i in range(batch.num_rows):
                 host = host_of(batch.column(0)[i].as_py())
                 page = wrapper(parse(batch.column(1)[i].as_py() or ""))
-                own = hash(json.dumps(page.packed()))
+                own = xxhash.xxh3_128_hexdigest(json.dumps(page.packed()))
                 if host in held:
                     n, seen, so_far = held[host]
                     if len(seen) < SUPPORT:
@@ -480,11 +481,11 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
         yield emit(held)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, n, support, so_far = None, 0, 0, None
+        host, n, seen, so_far = None, 0, set(), None
 
         def done():
             path = article_path(so_far)
-            templates = template_texts(so_far, path) if support >= SUPPORT else []
+            templates = template_texts(so_far, path) if len(seen) >= SUPPORT else []
             plan = json.dumps({"path": path, "templates": templates})
             return pa.RecordBatch.from_pydict(
                 {"host": [host], "pages": [n], "expression": [so_far.expression()], "plan": [plan]}
@@ -496,11 +497,12 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
                 if row["host"] != host or so_far is None:
                     if so_far is not None:
                         yield done()
-                    host, n, support, so_far = row["host"], 0, 0, part
+                    host, n, seen, so_far = row["host"], 0, set(), part
                 else:
                     so_far = merge(so_far, part)
                 n += row["pages"]
-                support = max(support, row["distinct_pages"])
+                if len(seen) < SUPPORT:
+                    seen |= set(row["seen"])
         if so_far is not None:
             yield done()
 
