@@ -135,13 +135,13 @@ def sample_n(spark, sf_dir):
 
 
 @query(
-    "duplicate_stats",
+    "repeat_counts",
     """SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows,
     (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
       AS duplicate_keys""",
 )
-def duplicate_stats(spark, sf_dir):
-    return quality.duplicate_stats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+def repeat_counts(spark, sf_dir):
+    return quality.repeat_counts(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("dedup_rows", b.sql("SELECT * FROM txn_nulls"))

@@ -179,7 +179,7 @@ def profile(source: str) -> str:
 
 def profiled(source: str, profile_of: str) -> str:
     """``source`` with profiles, defaults for unseen cards and entity z-scores."""
-    stats = ", ".join(
+    profiled = ", ".join(
         f"coalesce(p.user_{s}_{k}, {d}) AS user_{s}_{k}"
         for k in ("amt", "dist", "velocity")
         for s, d in (("mean", 0), ("std", 1))
@@ -190,7 +190,7 @@ def profiled(source: str, profile_of: str) -> str:
     )
     return f"""{source}_profiled AS (
   SELECT *, {z} FROM (
-    SELECT t.*, {stats} FROM {source}_daily t LEFT JOIN {profile_of}_profile p ON t.cc_num = p.cc_num))"""
+    SELECT t.*, {profiled} FROM {source}_daily t LEFT JOIN {profile_of}_profile p ON t.cc_num = p.cc_num))"""
 
 
 def mahalanobis(source: str, moments_of: str, row: str) -> str:

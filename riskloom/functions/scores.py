@@ -21,21 +21,24 @@ def safe_zscore(value: Column, mean: Column, std: Column) -> Column:
 
 
 def beyond(z: Column, limit: float = Z_LIMIT) -> Column:
-    return F.coalesce(F.abs(z) > limit, F.lit(False))
+    """Whether a score passes the limit; null and NaN do not."""
+    return F.coalesce((F.abs(z) > limit) & ~F.isnan(z), F.lit(False))
 
 
 def outlier_flag(
     zscores: Sequence[Column], distance: Column, cut: Column | float, limit: float = Z_LIMIT
 ) -> Column:
-    """1 if any |z| passes the limit or the distance passes its cut; nulls never flag."""
-    flagged = F.coalesce(distance > cut, F.lit(False))
+    """1 if any |z| passes the limit or the distance passes its cut; null and NaN never flag."""
+    flagged = F.coalesce((distance > cut) & ~F.isnan(distance), F.lit(False))
     for z in zscores:
         flagged = flagged | beyond(z, limit)
     return flagged.cast("int")
 
 
 def threshold_flag(probability: Column, threshold: Column | float) -> Column:
-    return (probability >= threshold).cast("int")
+    """1 from the threshold on; a row without a score, null or NaN, gets 0."""
+    reached = (probability >= threshold) & ~F.isnan(probability)
+    return F.coalesce(reached, F.lit(False)).cast("int")
 
 
 def mahalanobis(

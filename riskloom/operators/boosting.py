@@ -292,6 +292,7 @@ class BoostedTreesModel(Model):
             "weight": self.weight,
             "rounds_used": self.rounds,
             "best_round": self.best_round,
+            "has_curve": self.curve is not None,
         }
         spark.createDataFrame([about]).coalesce(1).write.mode("overwrite").json(f"{path}/about")
         if self.curve is not None:
@@ -302,7 +303,9 @@ class BoostedTreesModel(Model):
         about = spark.read.json(f"{path}/about").first().asDict()
         fill = dict(zip(about.pop("fill_names"), about.pop("fill_values")))
         weight, rounds, best = (about.pop(k) for k in ("weight", "rounds_used", "best_round"))
-        settings = BoostSettings(**{**about, "features": tuple(about["features"])})
         booster = GBTClassificationModel.load(f"{path}/booster")
-        curve = spark.read.parquet(f"{path}/curve")
+        # a model without a curve is stored without one
+        curve = spark.read.parquet(f"{path}/curve") if about.pop("has_curve") else None
+        about["features"] = tuple(about["features"])
+        settings = BoostSettings(**about)
         return BoostedTreesModel(settings, booster, fill, weight, rounds, best, curve)

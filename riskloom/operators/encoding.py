@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskloom.operators.lookup import BROADCAST_ROWS, spread_lookup
-from riskloom.operators.ordering import ONE_TASK_ROWS, global_position
+from riskloom.operators.ordering import global_position
 from riskloom.session import stage
 
 UNSEEN_CODE = -1
 UNSEEN_FREQ = 0
 
 
-def label_codes(
-    df: DataFrame, column: str, order_by: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def label_codes(df: DataFrame, column: str, order_by: str) -> DataFrame:
     """Rows ``(value, code)``: codes 0..k-1 in order of first appearance; null takes a code.
 
     Values that appear first at the same ``order_by`` follow their own order.
@@ -25,7 +23,7 @@ def label_codes(
         F.min(order_by).alias("_first")
     )
     firsts = stage(firsts, "codes")
-    return global_position(firsts, ["_first", "value"], "code", one_task_rows).select("value", "code")
+    return global_position(firsts, ["_first", "value"], "code").select("value", "code")
 
 
 def code_map(
@@ -33,7 +31,6 @@ def code_map(
     label_columns: Sequence[str],
     freq_columns: Sequence[str],
     order_by: str,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Rows ``(column, value, code, freq)`` for all coded columns, counted in one scan.
 
@@ -52,20 +49,12 @@ def code_map(
         .agg(F.count("*").alias("_rows"), F.min(F.when(is_label, F.col("_order"))).alias("_first"))
     )
     firsts = stage(firsts, "codes")
-    coded = firsts.where(is_label)
-    if coded.count() <= one_task_rows:
-        in_order = Window.partitionBy("column").orderBy("_first", "value")
-        ranked = coded.withColumn("code", F.row_number().over(in_order).cast("long") - 1)
-    else:
-        parts = [
-            global_position(
-                coded.where(F.col("column") == name), ["_first", "value"], "code", one_task_rows
-            )
-            for name in label_columns
-        ]
-        ranked = parts[0]
-        for part in parts[1:]:
-            ranked = ranked.unionByName(part)
+    # all label columns are numbered together; a column's codes start at its first position
+    placed = global_position(firsts.where(is_label), ["column", "_first", "value"], "_place")
+    starts = placed.groupBy("column").agg(F.min("_place").alias("_start"))
+    ranked = placed.join(F.broadcast(starts), "column").select(
+        *firsts.columns, (F.col("_place") - F.col("_start")).alias("code")
+    )
     counted = firsts.where(~is_label).withColumn("code", F.lit(None).cast("long"))
     freq = F.when(F.col("value").isNull(), 0).otherwise(F.col("_rows"))
     return ranked.unionByName(counted).select("column", "value", "code", freq.alias("freq"))
@@ -97,13 +86,19 @@ def apply_codes(
         dim = codes.where(F.col("column") == column).select(
             F.coalesce(F.concat(F.lit("="), "value"), F.lit("null")).alias("_value"),
             F.col(kind).alias("_found"),
+            F.col("freq").alias("_weight"),
+            F.col("value").isNull().alias("_always"),
         )
         text = F.col(column).cast("string")
         marked = df.withColumn("_value", F.coalesce(F.concat(F.lit("="), text), F.lit("null")))
         if sizes.get(column, 0) <= broadcast_rows:
-            joined = marked.join(F.broadcast(dim), "_value", "left")
+            joined = marked.join(F.broadcast(dim.select("_value", "_found")), "_value", "left")
         else:
-            joined = spread_lookup(marked, dim, ["_value"], ["_found"])
+            # the map has the counts, so the rows so far are not read to find hot values; null,
+            # whose frequency is 0 by definition, is settled as if hot
+            joined = spread_lookup(
+                marked, dim, ["_value"], ["_found"], weight="_weight", always="_always"
+            )
         found = F.coalesce("_found", F.lit(unseen).cast("long"))
         kept = [c for c in df.columns if c != out]
         df = joined.select(*kept, found.alias(out))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.ordering import ONE_TASK_ROWS, running_totals
+from riskloom.operators.ordering import running_totals
 from riskloom.session import stage
 
 F1_GUARD = 1e-9
@@ -104,13 +104,7 @@ def class_report(counts: DataFrame, names: tuple[str, str] = ("Legit", "Fraud"))
 # --- over all thresholds ---------------------------------------------------------------------
 
 
-def score_curve(
-    df: DataFrame,
-    label: str,
-    score: str,
-    group: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def score_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score with counts at it, at or above it, and in total.
 
     Columns: group, ``threshold, pos, neg, tp, fp, p, n``.  Rows shrink to distinct scores in
@@ -127,12 +121,7 @@ def score_curve(
         "scores",
     )
     upto = running_totals(
-        counts,
-        "threshold",
-        {"_pos": "pos", "_neg": "neg"},
-        group,
-        one_task_rows,
-        {"p": "pos", "n": "neg"},
+        counts, "threshold", {"_pos": "pos", "_neg": "neg"}, group, {"p": "pos", "n": "neg"}
     )
     return upto.select(
         *group,
@@ -209,7 +198,8 @@ def best_f1_threshold(curve: DataFrame, default: float = 0.5) -> DataFrame:
 def eval_summary(curve: DataFrame, threshold: float | None = None) -> DataFrame:
     """AUC, best F1 and its threshold, precision, recall, caught of total, false alarms.
 
-    With ``threshold`` given, the counts are taken at it instead of at the best F1.
+    With ``threshold`` given, the counts are taken at it and ``best_f1`` is the F1 there; above
+    the highest score nothing is caught and nothing is a false alarm.
     """
     auc = roc_auc(curve).scalar()
     if threshold is None:
@@ -217,10 +207,16 @@ def eval_summary(curve: DataFrame, threshold: float | None = None) -> DataFrame:
     else:
         tp, fp = F.col("tp"), F.col("fp")
         at = (
-            curve.where(F.col("threshold") >= threshold)
-            .orderBy("threshold")
-            .limit(1)
-            .select(
+            curve.agg(
+                # the counts belong to the lowest score that reaches the threshold
+                *[
+                    F.coalesce(
+                        F.min_by(c, F.when(F.col("threshold") >= threshold, F.col("threshold"))), F.lit(0)
+                    ).alias(c)
+                    for c in ("tp", "fp")
+                ],
+                F.coalesce(F.max("p"), F.lit(0)).alias("p"),
+            ).select(
                 F.lit(float(threshold)).alias("threshold"),
                 precision(tp, fp).alias("precision"),
                 recall(tp, F.col("p") - tp).alias("recall"),
@@ -250,8 +246,14 @@ def log_loss(df: DataFrame, label: str, probability: str, group: Sequence[str] =
 
 
 def metrics_report(df: DataFrame, label: str, probability: str, predicted: str) -> DataFrame:
-    """The whole report as rows ``(section, metric, class, value)``."""
-    counts = confusion(df, label, predicted)
+    """The whole report as rows ``(section, metric, class, value)``.
+
+    ``rows`` counts all rows.  A row without a prediction counts as predicted 0; rows without a
+    label are in no cell of the confusion, and are counted on a line of their own if there are any.
+    """
+    settled = df.withColumn(predicted, F.coalesce(F.col(predicted), F.lit(0)))
+    counts = confusion(settled, label, predicted)
+    every = df.agg(F.count("*").alias("rows"), F.count_if(F.col(label).isNull()).alias("unlabelled"))
     curve = score_curve(df, label, probability)
     total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
@@ -274,6 +276,8 @@ def metrics_report(df: DataFrame, label: str, probability: str, predicted: str)
         {
             "auc": roc_auc(curve).scalar(),
             "ap": average_precision(curve).scalar(),
+            "rows": every.select("rows").scalar(),
+            "unlabelled": F.nullif(every.select("unlabelled").scalar(), F.lit(0)),
         }
     )
     report = class_report(counts)
@@ -281,7 +285,11 @@ def metrics_report(df: DataFrame, label: str, probability: str, predicted: str)
         rows(
             overall,
             "dataset",
-            {"rows": total, "prevalence_pct": F.try_divide(100.0 * (tp + fn), total)},
+            {
+                "rows": F.col("rows"),
+                "unlabelled": F.col("unlabelled"),
+                "prevalence_pct": F.try_divide(100.0 * (tp + fn), total),
+            },
         ),
         rows(
             overall,

@@ -163,7 +163,7 @@ class IsolationForest(Estimator):
         )
         model = IsolationForestModel(s, nodes, tree_rows, depth, offset=0.0)
         scored = model.transform(sample)
-        cut = exact_quantiles(scored, {s.output: [s.contamination]}, most_rows=rows)
+        cut = exact_quantiles(scored, {s.output: [s.contamination]})
         model.offset = cut[s.output][0]
         return model
 

@@ -12,14 +12,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: A key is hot above this share of the rows, or above what one task should take if that is less;
+#: so there are at most ``1 / LEAST_SHARE`` hot keys to broadcast.
 HOT_SHARE = 1 / 256
+TASK_ROWS = 5_000_000
+LEAST_SHARE = 1e-5
 BROADCAST_ROWS = 200_000
 
 
 def hot_keys(counts: DataFrame, on: Sequence[str], weight: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys whose weight exceeds a share of the total: at most ``1/share`` rows."""
     total = counts.agg(F.sum(weight)).scalar()
-    return counts.where(F.col(weight) > share * total).select(*on)
+    return counts.where(F.col(weight) > _hot_rows(total, share)).select(*on)
+
+
+def _hot_rows(total: Column, share: float) -> Column:
+    return F.greatest(F.least(share * total, F.lit(float(TASK_ROWS))), LEAST_SHARE * total)
 
 
 def spread_lookup(
@@ -29,17 +37,21 @@ def spread_lookup(
     values: Sequence[str],
     weight: str | None = None,
     share: float = HOT_SHARE,
+    always: str | None = None,
 ) -> DataFrame:
     """Left join ``values`` of ``dim`` (unique on ``on``) to ``df``.
 
     ``weight`` names a column of ``dim`` that counts the rows of ``df`` per key; without it the
-    keys of ``df`` are counted.
+    keys of ``df`` are counted.  ``always`` names one that marks keys, a handful, to take as hot.
     """
     on = list(on)
     payload = F.struct(*values)
     if weight:
         total = dim.agg(F.sum(weight)).scalar()
-        hot = dim.where(F.col(weight) > share * total).select(*on, payload.alias("_hot"))
+        over = F.col(weight) > _hot_rows(total, share)
+        if always:
+            over = over | F.col(always)
+        hot = dim.where(over).select(*on, payload.alias("_hot"))
     else:
         counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
         keys = hot_keys(counts, on, "_rows", share)

@@ -7,20 +7,13 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.session import stage
 
-ONE_TASK_ROWS = 200_000
 DIRECT_ROWS = 5_000
-EXACT_AGG_ROWS = 1_000_000
 MOST_BINS = 32_768
 FEW_RANGES = 8
-BUCKET_ROWS = 1_000_000
-BUCKETS = (8, 4096)
-SAMPLES_PER_BUCKET = 50
-HASH_PARTS = 1_000_000_000
 PIVOTS = 32
 ROW_BITS = 33
 
@@ -28,9 +21,18 @@ ROW_BITS = 33
 # --- positions -------------------------------------------------------------------------------
 
 
-def global_position(
-    df: DataFrame, order_by: Sequence[str], out: str = "pos", one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def _ranges(df: DataFrame, *in_order: Column | str) -> DataFrame:
+    """Rows in as many ranges of the order as the session has shuffle partitions, numbered.
+
+    The count is the cluster's setting, not the data's, so the keys that Spark samples stay some
+    dozens per bound however large the table is.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(partitions, *in_order).sortWithinPartitions(*in_order)
+    return dealt.withColumn("_part", F.spark_partition_id())
+
+
+def global_position(df: DataFrame, order_by: Sequence[str], out: str = "pos") -> DataFrame:
     """Dense 0-based position in the order of ``order_by``, unique together, nulls last.
 
     Rows are range partitioned (a composite unique key splits evenly however many rows share
@@ -38,20 +40,9 @@ def global_position(
     in its partition plus the row counts of the partitions before it.
     """
     in_order = [F.col(c).asc_nulls_last() for c in order_by]
-    rows = df.count()
-    if rows <= one_task_rows:
-        # bounded by the check above
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*in_order)).cast("long") - 1)
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(partitions, math.ceil(rows / BUCKET_ROWS))
     local = F.monotonically_increasing_id()
-    ordered = (
-        df.repartitionByRange(partitions, *in_order)
-        .sortWithinPartitions(*in_order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_index", local.bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
-    )
-    ordered = stage(ordered, "ordered")
+    index = local.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    ordered = stage(_ranges(df, *in_order).withColumn("_index", index), "ordered")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition
     starts = ordered.groupBy("_part").agg(F.count("*").alias("_rows")).select(
@@ -65,7 +56,8 @@ def global_position(
 
 
 def head_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    return df.orderBy(*order_by).limit(n)
+    """The first ``n`` rows in the order of :func:`global_position`, nulls last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
 
 
 # --- exact selection -------------------------------------------------------------------------
@@ -252,32 +244,17 @@ def select_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame,
-    probabilities: dict[str, Sequence[float]],
-    exact_agg_rows: int = EXACT_AGG_ROWS,
-    most_rows: int | None = None,
+    df: DataFrame, probabilities: dict[str, Sequence[float]]
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of numeric columns.
+    """Linearly interpolated quantiles of numeric columns; nulls and NaN do not count.
 
-    Up to a bounded row count the built-in exact aggregate does it in one job; beyond that the
-    two order statistics around each quantile are selected.  ``most_rows`` is a known bound on
-    the rows and saves counting them.
+    The two order statistics around each quantile are selected exactly, at any size alike.
     """
     columns = list(probabilities)
-    numbers = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    doubles = [F.col(c).cast("double") for c in columns]
     names = [f"x{i}" for i in range(len(columns))]
-    known = None
-    if most_rows is None or most_rows > exact_agg_rows:
-        known = extents(numbers, names)
-        most_rows = known["*"][0]
-    if most_rows <= exact_agg_rows:
-        found = numbers.agg(
-            *[
-                F.percentile(x, F.array(*[F.lit(float(p)) for p in probabilities[c]]))
-                for x, c in zip(names, columns)
-            ]
-        ).first()
-        return {c: list(found[i] or [None] * len(probabilities[c])) for i, c in enumerate(columns)}
+    numbers = df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in zip(names, doubles)])
+    known = extents(numbers, names)
     wanted, places = [], []
     for x, column in zip(names, columns):
         rows = known[x][0]
@@ -397,59 +374,43 @@ def running_totals(
     key: str,
     sums: dict[str, str],
     group: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
     wholes: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Inclusive running sums in ascending order of a numeric key, unique within ``group``.
+    """Inclusive running sums in ascending order of a key, unique within ``group``.
 
     ``sums`` and ``wholes`` map new columns to summed ones; wholes are sums of the whole group.
+    Null group values form a group.
 
-    ``df`` should be a stored table.  Rows fall into buckets cut at sampled keys, so the buckets
-    are even; sums run within a bucket and start at the total of the buckets before it.
+    Rows are dealt by ranges of (group, key), so a group of any size spans as many ranges as it
+    needs; sums run within a range of a group and start at the total of its ranges before.
     """
     group, wholes = list(group), wholes or {}
-    upto = (Window.unboundedPreceding, 0)
-    rows = df.count()
-    if rows <= one_task_rows:
-        in_order = Window.partitionBy(*group).orderBy(key).rowsBetween(*upto)
-        whole = Window.partitionBy(*group)
-        return df.withColumns(
-            {
-                **{out: F.sum(name).over(in_order) for out, name in sums.items()},
-                **{out: F.sum(name).over(whole) for out, name in wholes.items()},
-            }
-        )
-    number = F.col(key).cast("double")
-    buckets = min(BUCKETS[1], max(BUCKETS[0], math.ceil(rows / BUCKET_ROWS)))
-    share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-    picked = F.pmod(F.xxhash64(*group, key), F.lit(HASH_PARTS)) < int(share * HASH_PARTS)
-    # a bounded share of the keys only places the cuts; the sums read every row
-    sample = sorted(r[0] for r in df.where(picked).select(number.alias("x")).collect())
-    cuts = {sample[i * len(sample) // buckets] for i in range(1, buckets) if sample}
-    edges = [-math.inf, *sorted(cuts), math.inf]
-    bucketed = (
-        Bucketizer(splits=edges, inputCol="_number", outputCol="_bucket")
-        .transform(df.withColumn("_number", number))
-        .drop("_number")
-    )
-    # a row per bucket and group
+    ranged = stage(_ranges(df, *group, key), "ranges")
+    # a row per range and group
     names = list(dict.fromkeys([*sums.values(), *wholes.values()]))
-    starts = bucketed.groupBy(*group, "_bucket").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
+    starts = ranged.groupBy(*group, "_part").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
     whole = Window.partitionBy(*group)
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select(
-        *group,
-        "_bucket",
+        *[F.col(c).alias(f"_group_{c}") for c in group],
+        F.col("_part").alias("_start_part"),
         *[
             F.coalesce(F.sum(f"_in_{name}").over(before), F.lit(0)).alias(f"_before_{out}")
             for out, name in sums.items()
         ],
-        *[F.sum(f"_in_{name}").over(whole).alias(out) for out, name in wholes.items()],
+        *[F.sum(f"_in_{name}").over(whole).alias(f"_whole_{out}") for out, name in wholes.items()],
+    )
+    in_order = (
+        Window.partitionBy(*group, "_part")
+        .orderBy(key)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    in_order = Window.partitionBy(*group, "_bucket").orderBy(key).rowsBetween(*upto)
-    local = bucketed.withColumns({out: F.sum(name).over(in_order) for out, name in sums.items()})
-    return local.join(starts, [*group, "_bucket"]).select(
+    local = ranged.withColumns({out: F.sum(name).over(in_order) for out, name in sums.items()})
+    same = F.col("_part") == F.col("_start_part")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_group_{c}"))
+    return local.join(starts, same).select(
         *df.columns,
         *[(F.col(out) + F.col(f"_before_{out}")).alias(out) for out in sums],
-        *wholes,
+        *[F.col(f"_whole_{out}").alias(out) for out in wholes],
     )

@@ -165,7 +165,7 @@ def min_max(df: DataFrame, names: Sequence[str]) -> DataFrame:
 # --- duplicates ------------------------------------------------------------------------------
 
 
-def duplicate_stats(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+def repeat_counts(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     """Rows that repeat an earlier row, and rows that repeat an earlier key."""
 
     def repeats(names: Sequence[str], out: str) -> DataFrame:

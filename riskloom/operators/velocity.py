@@ -112,18 +112,27 @@ def with_entity_state(
 ) -> DataFrame:
     """Daily count and entity profile in a single join of the rows.
 
-    ``rows_as`` names a further column for the frequency of the entity (unseen 0).  The profile is joined to the (entity, day) counts first, so the rows shuffle once, or not at
-    all where Spark finds the counts small enough to broadcast.
+    ``rows_as`` names a further column for the frequency of the entity (unseen 0).  The profile is
+    joined to the (entity, day) counts first, so the rows shuffle once, or not at all where Spark
+    finds the counts small enough to broadcast.  A row without a time has no daily count; it takes
+    its profile from a line per entity without a day.
     """
     counts = daily_count(df, entity, time) if counts is None else counts
-    counts = counts.withColumnRenamed("date", "_day").join(profile, entity, "left")
-    counts = fill_defaults(counts, unseen_defaults() if unseen is None else unseen)
+    # a day no row has stands for no day, as a join matches no null
+    no_day = F.lit("0001-01-01").cast("date")
+    counts = counts.select(entity, F.coalesce("date", no_day).alias("_day"), COUNT)
+    undated = profile.select(entity, no_day.alias("_day"), F.lit(None).cast("long").alias(COUNT))
+    counts = counts.where(F.col("_day") != no_day).unionByName(undated)
+    counts = counts.join(profile, entity, "left")
     values = [COUNT, *PROFILE_COLUMNS]
     if rows_as:
-        counts = counts.withColumn(rows_as, F.coalesce(PROFILE_ROWS, F.lit(0)))
+        counts = counts.withColumn(rows_as, F.col(PROFILE_ROWS))
         values.append(rows_as)
-    dated = df.withColumn("_day", F.to_date(time))
-    return spread_lookup(dated, counts, [entity, "_day"], values, weight=COUNT).drop("_day")
+    dated = df.withColumn("_day", F.coalesce(F.to_date(time), no_day))
+    joined = spread_lookup(dated, counts, [entity, "_day"], values, weight=COUNT).drop("_day")
+    # after the join, so that rows whose key found no line are filled as well
+    joined = fill_defaults(joined, unseen_defaults() if unseen is None else unseen)
+    return fill_defaults(joined, {rows_as: 0}) if rows_as else joined
 
 
 def user_zscores(df: DataFrame, amount: str, distance: str, velocity: str = COUNT) -> DataFrame:

@@ -18,7 +18,7 @@ from riskloom.operators.velocity import (
     user_zscores,
     with_entity_state,
 )
-from riskloom.schema import TxnColumns
+from riskloom.schema import TxnColumns, nan_to_null
 from riskloom.session import stage
 from riskloom.sources.profiles import GlobalProfile
 
@@ -92,8 +92,9 @@ def fit_stage1(
     """Statistics fitted on the rows in ``scope`` (all by default).
 
     Returns the global profile, the entity profiles, and all rows with their entity scores.
-    Counts, profiles and rows are read several times, so each is written once.
+    Counts, profiles and rows are read several times, so each is written once.  NaN is null.
     """
+    df = nan_to_null(df)
     counts = stage(daily_count(df, cols.entity, cols.time), "counts")
     if scope is None:
         fitted = fit_entities(df, cols, counts)
@@ -127,5 +128,6 @@ def stage1_score(
     unseen: dict[str, float] | None = None,
     rows_as: str | None = None,
 ) -> DataFrame:
-    """Score a batch with saved statistics; daily counts are those of the batch."""
+    """Score a batch with saved statistics; daily counts are those of the batch.  NaN is null."""
+    df = nan_to_null(df)
     return global_scores(entity_scores(df, cols, entities, unseen, None, rows_as), cols, overall)

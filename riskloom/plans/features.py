@@ -11,7 +11,7 @@ from riskloom.functions.scores import amount_log, anomaly_weighted, binary_code
 from riskloom.operators.encoding import apply_codes, code_map
 from riskloom.operators.quality import dedup_key, impute_median, impute_mode
 from riskloom.plans.enrich import measured
-from riskloom.schema import TxnColumns, numeric_columns, require_columns, string_columns
+from riskloom.schema import TxnColumns, nan_to_null, numeric_columns, require_columns, string_columns
 from riskloom.session import stage
 
 ANOMALY = "if_anomaly_score"
@@ -32,7 +32,8 @@ def clean(df: DataFrame, cols: TxnColumns) -> DataFrame:
 
 
 def fit_codes(df: DataFrame, cols: TxnColumns, skip: Sequence[str] = ()) -> DataFrame:
-    """One code map for the coded columns not in ``skip``, in order of time."""
+    """One code map for the coded columns not in ``skip``, in order of time; values that first
+    come at the same time follow their own order."""
     freqs = [c for c in cols.freq_coded if c not in skip]
     return code_map(df, cols.label_coded, freqs, cols.time)
 
@@ -93,8 +94,9 @@ def select_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]
 
 def feature_table(df: DataFrame, cols: TxnColumns) -> DataFrame:
     """From a raw or enriched table to cleaned, fully numeric rows with key, time and label."""
-    # read several times below: for the codes, the reference time and the result
-    cleaned = stage(clean(df, cols), "clean")
+    # the input is read for its nulls, their fills and the rows, the clean rows for the codes, the
+    # reference time and the result; either is computed once
+    cleaned = stage(clean(stage(nan_to_null(df), "raw"), cols), "clean")
     built = build_features(cleaned, cols, fit_codes(cleaned, cols))
     keep = [cols.key, cols.time, *([cols.label] if cols.label in built.columns else [])]
     return select_features(built, feature_names(built, cols), keep)

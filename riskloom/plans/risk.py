@@ -14,8 +14,9 @@ from riskloom.operators.encoding import map_sizes
 from riskloom.operators.evaluation import best_f1_threshold, metrics_report, score_curve
 from riskloom.operators.isolation import ForestSettings, IsolationForest, IsolationForestModel
 from riskloom.operators.ordering import time_split
+from riskloom.operators.quality import flag_rate
 from riskloom.plans.enrich import fit_stage1, global_scores, stage1_score
-from riskloom.plans.features import build_features, feature_names, fit_codes, reference_time
+from riskloom.plans.features import build_features, clean, feature_names, fit_codes, reference_time
 from riskloom.schema import TxnColumns, nan_to_null
 from riskloom.session import stage
 from riskloom.sources.profiles import Profiles
@@ -58,7 +59,10 @@ class RiskEstimator(Estimator):
 
     def _fit(self, df: DataFrame) -> RiskModel:
         cols = self.settings.cols
-        split = time_split(nan_to_null(df), cols.time, cols.key)
+        # repeated rows and ids are gone before the split, so none stands on both sides of it;
+        # stored once, as the cuts, the statistics and the rows are read from it
+        cleaned = stage(clean(nan_to_null(df), cols), "clean")
+        split = time_split(cleaned, cols.time, cols.key)
         scope = None if self.settings.fit_scope == "all" else F.col("split") == "train"
         # the entity's frequency comes with its profile and needs no join of its own
         overall, entities, core = fit_stage1(split, cols, scope, entity_freq(cols))
@@ -80,8 +84,16 @@ class RiskEstimator(Estimator):
         threshold = best_f1_threshold(curve).first()["threshold"]
         model = RiskModel(cols, Profiles(overall, entities, codes), forest, booster, threshold)
         model.enriched = enriched
+        model.built = built
         return model
 
+    def test_report(self, model: RiskModel, split: str = "test") -> DataFrame:
+        """The report of a freshly fitted model on the rows that neither fit nor threshold saw."""
+        cols, output = self.settings.cols, model.booster.settings.output
+        scored = model.booster.transform(model.built.where(F.col("split") == split))
+        flagged = scored.withColumn(PREDICTION, threshold_flag(F.col(output), model.threshold))
+        return metrics_report(flagged, cols.label, output, PREDICTION)
+
 
 class RiskModel(Model):
     """Applies saved statistics, forest and booster to a batch, in that order."""
@@ -101,11 +113,13 @@ class RiskModel(Model):
         self.booster = booster
         self.threshold = threshold
         self.enriched: DataFrame | None = None
+        self.built: DataFrame | None = None
         self._sizes: dict[str, int] | None = None
 
-    def statistics(self, df: DataFrame) -> DataFrame:
+    def statistics(self, df: DataFrame, unseen: dict[str, float] | None = None) -> DataFrame:
+        """Stage 1 scores; ``unseen`` replaces the profile values of entities without a profile."""
         profiles, freq = self.profiles, entity_freq(self.cols)
-        return stage1_score(df, self.cols, profiles.overall, profiles.entities, None, freq)
+        return stage1_score(df, self.cols, profiles.overall, profiles.entities, unseen, freq)
 
     def anomalies(self, df: DataFrame) -> DataFrame:
         return self.forest.transform(df)
@@ -127,11 +141,31 @@ class RiskModel(Model):
             PREDICTION, threshold_flag(F.col(PROBABILITY), self.threshold)
         )
 
-    def _transform(self, df: DataFrame) -> DataFrame:
+    def score(
+        self,
+        df: DataFrame,
+        reference: Column | None = None,
+        unseen: dict[str, float] | None = None,
+    ) -> DataFrame:
+        """Score a batch.  Ages are taken at ``reference``, by default the batch's latest event."""
         df = nan_to_null(df)
-        # the age reference reads one column of the raw batch, not the scored plan
-        reference = reference_time(df, self.cols)
-        return self.predictions(self.anomalies(self.statistics(df)), reference)
+        if reference is None:
+            # reads one column of the raw batch, not the scored plan
+            reference = reference_time(df, self.cols)
+        return self.predictions(self.anomalies(self.statistics(df, unseen)), reference)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.score(df)
+
+    def score_and_report(self, df: DataFrame, **options) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """Stored scores, their summary (rows, flagged, percent, score range), and the report if the
+        batch has the label."""
+        scored = stage(self.score(df, **options), "scored")
+        low_high = scored.agg(F.min(PROBABILITY).alias("lowest"), F.max(PROBABILITY).alias("highest"))
+        summary = flag_rate(scored, PREDICTION).withColumns(
+            {n: low_high.select(n).scalar() for n in ("lowest", "highest")}
+        )
+        return scored, summary, self.evaluate(scored) if self.cols.label in scored.columns else None
 
     def evaluate(self, scored: DataFrame) -> DataFrame:
         """The full report of a scored table that has the label."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,6 +47,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_folders:
         folder = tempfile.mkdtemp(prefix="riskloom-")
+        # a local session's tables go with the process; a cluster's folder is the cluster's
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         _local_folders[context.applicationId] = folder
         context.setCheckpointDir(folder)
     return _local_folders[context.applicationId]

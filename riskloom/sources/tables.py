@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.schema import nan_to_null
 
+QUOTING = {"quote": '"', "escape": '"'}
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -17,11 +18,18 @@ def read_csv(
     schema: T.StructType | str,
     drop: Sequence[str] = (),
     time_format: str = TIME_FORMAT,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with declared types; NaN becomes null.  A value that does not parse raises."""
+    """CSV with declared types; NaN becomes null.  A value that does not parse raises.
+
+    Quotes inside a quoted field are doubled, as in most writers.  ``multi_line`` reads fields
+    with line breaks; such files cannot be split, so each is read by one task.
+    """
     df = (
         spark.read.schema(schema)
+        .options(**QUOTING)
         .option("header", True)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("timestampFormat", time_format)
         .option("timestampNTZFormat", time_format)
@@ -30,15 +38,17 @@ def read_csv(
     return nan_to_null(df.drop(*drop))
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with inferred types, for ad-hoc input; costs a pass over the file."""
-    return nan_to_null(spark.read.option("header", True).option("inferSchema", True).csv(path))
+    reader = spark.read.options(**QUOTING).option("header", True).option("inferSchema", True)
+    return nan_to_null(reader.option("multiLine", multi_line).csv(path))
 
 
 def write_table(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if kind == "csv":
-        writer.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+        writer = writer.options(**QUOTING).option("header", True)
+        writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     elif kind == "parquet":
         writer.parquet(path)
     else:

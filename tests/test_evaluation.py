@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from riskloom.functions.scores import outlier_flag, threshold_flag
 from riskloom.operators import boosting, evaluation as ev
 
 
@@ -27,9 +28,8 @@ def brute(rows):
     return auc, ap
 
 
-@pytest.mark.parametrize("bound", [5, 100_000])
-def test_areas_against_brute_force(scored, bound):
-    curve = ev.score_curve(scored, "y", "s", one_task_rows=bound)
+def test_areas_against_brute_force(scored):
+    curve = ev.score_curve(scored, "y", "s")
     auc, ap = brute(scored.collect())
     assert ev.roc_auc(curve).first()[0] == pytest.approx(auc, abs=1e-12)
     assert ev.average_precision(curve).first()[0] == pytest.approx(ap, abs=1e-12)
@@ -41,6 +41,28 @@ def test_auc_equals_the_library_evaluator(scored):
     assert ev.roc_auc(curve).first()[0] == pytest.approx(evaluator.evaluate(scored.withColumn("y", F.col("y").cast("double"))))
 
 
+def test_rows_without_score_or_label_are_reported(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (None, 0.8), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "y int, p double")
+    df = df.withColumn("flag", threshold_flag(F.col("p"), 0.5))
+    found = {(r["section"], r["metric"], r["class"]): r["value"] for r in ev.metrics_report(df, "y", "p", "flag").collect()}
+    assert found["dataset", "rows", "all"] == 5 and found["dataset", "unlabelled", "all"] == 1
+    assert [found["confusion", c, "all"] for c in ("tp", "fp", "fn", "tn")] == [1, 0, 2, 1]
+
+
+def test_summary_above_the_highest_score(spark):
+    df = spark.createDataFrame([(1, 0.4), (0, 0.2)], "y int, p double")
+    row = ev.eval_summary(ev.score_curve(df, "y", "p"), 0.9).first()
+    assert (row["caught"], row["fraud_total"], row["false_alarms"]) == (0, 1, 0)
+    assert (row["precision"], row["recall"], row["best_f1"], row["threshold"]) == (0.0, 0.0, 0.0, 0.9)
+
+
+def test_nan_never_flags(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (5.0,), (1.0,)], "z double")
+    flag = outlier_flag([F.col("z")], F.col("z"), 4.0)
+    assert [r[0] for r in df.select(flag).collect()] == [0, 0, 1, 0]
+
+
 def test_known_numbers(spark):
     """Four counts give every figure of the published report."""
     counts = spark.createDataFrame([(7115, 161, 391, 1289008)], "tp long, fp long, fn long, tn long")

@@ -25,8 +25,8 @@ def tied(spark):
 
 
 def test_global_position_distributed(tied):
-    far = ordering.global_position(tied, ["t", "key"], "place", one_task_rows=10)
-    near = ordering.global_position(tied, ["t", "key"], "place")
+    far = ordering.global_position(tied, ["t", "key"], "place")
+    near = tied.withColumn("place", F.row_number().over(Window.orderBy("t", "key")) - 1)
     assert far.select("place").distinct().count() == 3000
     both = far.join(near.select("key", F.col("place").alias("want")), "key")
     assert both.where("place <> want").count() == 0
@@ -57,7 +57,7 @@ def test_rows_without_time_come_last(spark, bound):
     split = ordering.time_split(df, "t", "k", (0.34, 0.67), direct_rows=bound)
     parts = {r["k"]: r["split"] for r in split.collect()}
     assert parts == {"y": "train", "x": "train", "a": "val", "b": "val", "c": "test", "d": "test"}
-    placed = ordering.global_position(df, ["t", "k"], "place", one_task_rows=bound)
+    placed = ordering.global_position(df, ["t", "k"], "place")
     assert [r["k"] for r in placed.orderBy("place").collect()] == list("yxabcd")
 
 
@@ -67,13 +67,25 @@ def test_split_breaks_ties_by_key(spark):
     assert {r["k"]: r["split"] for r in split.collect()} == {"a": "first", "b": "first", "c": "last", "d": "last"}
 
 
-def test_quantiles_beyond_the_exact_aggregate(tied):
+def interpolated(x, p):
+    x, at = sorted(x), p * (len(x) - 1)
+    below, above = x[int(np.floor(at))], x[int(np.ceil(at))]
+    return below + (above - below) * (at - np.floor(at))
+
+
+@pytest.mark.parametrize("rows", [7, 300, 3000])
+def test_quantiles_equal_to_the_bit_at_any_size(tied, rows):
     probabilities = {"x": [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], "n": [0.5]}
-    want = ordering.exact_quantiles(tied, probabilities)
-    x = np.array([r[0] for r in tied.select("x").collect()])
-    assert np.allclose(want["x"], np.quantile(x, probabilities["x"]))
-    far = ordering.exact_quantiles(tied, probabilities, exact_agg_rows=1)
-    assert np.allclose(far["x"], want["x"]) and far["n"] == want["n"]
+    part = tied.where(F.col("n") < rows)
+    found = ordering.exact_quantiles(part, probabilities)
+    x = [r[0] for r in part.select("x").collect()]
+    assert found["x"] == [interpolated(x, p) for p in probabilities["x"]]
+    assert found["n"] == [(rows - 1) / 2]
+
+
+def test_quantiles_pass_over_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    assert ordering.exact_quantiles(df, {"x": [0.0, 0.5, 1.0]}) == {"x": [1.0, 2.0, 3.0]}
 
 
 def test_rank_selection_narrows_exactly(tied):
@@ -109,11 +121,14 @@ def test_quantile_of_empty_and_null_columns(spark):
 
 def test_running_totals_distributed(spark):
     df = spark.range(5000).select(
-        ((F.col("id") * 7919) % 5000 / 10.0).alias("key"), (F.col("id") % 2).alias("g"), F.lit(1).alias("one")
+        ((F.col("id") * 7919) % 5000 / 10.0).alias("key"), "id", F.lit(1).alias("one")
     )
+    df = df.withColumn("g", F.when(F.col("id") % 3 > 0, F.col("id") % 3)).drop("id")
     for group in ([], ["g"]):
-        near = ordering.running_totals(df, "key", {"total": "one"}, group)
-        far = ordering.running_totals(df, "key", {"total": "one"}, group, one_task_rows=10)
+        whole = Window.partitionBy(*group)
+        near = df.withColumn("total", F.sum("one").over(whole.orderBy("key")))
+        near = near.withColumn("all", F.sum("one").over(whole))
+        far = ordering.running_totals(df, "key", {"total": "one"}, group, {"all": "one"})
         assert far.exceptAll(near).count() == 0 and near.exceptAll(far).count() == 0
 
 
@@ -130,5 +145,11 @@ def test_sample_is_exact_and_independent_of_layout(tied):
     assert {r["key"] for r in narrow.collect()} == kept[0]
 
 
+def test_head_puts_nulls_last(spark):
+    df = spark.createDataFrame([(None,), (2,), (1,)], "n int")
+    assert [r["n"] for r in ordering.head_n(df, ["n"], 2).collect()] == [1, 2]
+    assert [r["n"] for r in ordering.head_n(df, ["n"], 5).collect()] == [1, 2, None]
+
+
 def test_head(tied):
     assert [r["n"] for r in ordering.head_n(tied, ["n"], 3).collect()] == [0, 1, 2]

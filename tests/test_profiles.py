@@ -111,13 +111,39 @@ def test_one_join_equals_two(cards):
 def test_codes_by_first_appearance_and_null(spark):
     rows = [(3, "b"), (1, "c"), (2, None), (4, "a"), (5, "c"), (6, "b")]
     df = spark.createDataFrame(rows, "pos bigint, v string")
-    for bound in (100, 1):
-        codes = encoding.label_codes(df, "v", "pos", one_task_rows=bound)
-        assert {r["value"]: r["code"] for r in codes.collect()} == {"c": 0, None: 1, "b": 2, "a": 3}
-        mapped = encoding.code_map(df, ["v"], [], "pos", one_task_rows=bound)
-        assert {r["value"]: (r["code"], r["freq"]) for r in mapped.collect()} == {
+    codes = encoding.label_codes(df, "v", "pos")
+    assert {r["value"]: r["code"] for r in codes.collect()} == {"c": 0, None: 1, "b": 2, "a": 3}
+    mapped = encoding.code_map(df.withColumn("w", F.col("v")), ["v", "w"], ["pos"], "pos").collect()
+    for column in "vw":
+        assert {r["value"]: (r["code"], r["freq"]) for r in mapped if r["column"] == column} == {
             "c": (0, 2), None: (1, 0), "b": (2, 2), "a": (3, 1)
         }
+    assert all(r["code"] is None and r["freq"] == 1 for r in mapped if r["column"] == "pos")
+
+
+def test_large_maps_read_the_rows_once(spark):
+    df = spark.createDataFrame([(i, f"a{i % 3}", f"b{i % 4}", f"c{i % 5}") for i in range(50)], "pos int, a string, b string, c string")
+    codes = encoding.code_map(df, ["a", "b"], ["a", "b", "c"], "pos").cache()
+    for n in (1, 2, 3):
+        freq = {x: f"{x}_freq" for x in "abc"[:n]}
+        plan = encoding.apply_codes(df, codes, {}, freq, broadcast_rows=0)
+        # one scan of the rows, however many columns there are
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("pos#") < 60 * n
+        scans = plan._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("|").count("LogicalRDD")
+        assert scans <= 1
+
+
+def test_rows_without_a_time_keep_their_profile(spark):
+    rows = [("a", f"2024-01-0{i % 3 + 1}", float(i), 1.0 * i) for i in range(9)] + [("a", None, 4.0, 1.0), ("z", None, 1.0, 1.0), (None, "2024-01-01", 1.0, 1.0)]
+    cards = spark.createDataFrame(rows, "card string, t string, amt double, dist double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    fit = cards.where("card = 'a'")
+    profile = velocity.entity_profile(fit, "card", "t", "amt", "dist").cache()
+    one = velocity.with_entity_state(cards, profile, "card", "t", rows_as="freq").collect()
+    assert len(one) == len(rows)
+    known = [r for r in one if r["card"] == "a"]
+    assert len({r["user_mean_amt"] for r in known}) == 1 and {r["freq"] for r in known} == {10}
+    assert [r["daily_txn_count"] for r in known if r["t"] is None] == [None]
+    assert {(r["user_mean_amt"], r["user_std_amt"], r["freq"]) for r in one if r["card"] != "a"} == {(0.0, 1.0, 0)}
 
 
 @pytest.mark.parametrize("broadcast_rows", [1000, 0])
@@ -153,8 +179,8 @@ def test_first_row_of_each_key_wins_in_any_layout(spark, parts):
 def test_duplicate_rows_compare_nulls_as_equal(spark):
     df = spark.createDataFrame([(0, None, 1), (1, None, 1), (2, "a", 1)], "pos int, a string, b int")
     assert sorted(r["pos"] for r in quality.dedup_rows(df, "pos").collect()) == [0, 2]
-    stats = quality.duplicate_stats(df, ["b"], ignore=["pos"]).first()
-    assert (stats["duplicate_rows"], stats["duplicate_keys"]) == (1, 2)
+    found = quality.repeat_counts(df, ["b"], ignore=["pos"]).first()
+    assert (found["duplicate_rows"], found["duplicate_keys"]) == (1, 2)
 
 
 def test_class_counts_with_one_class(spark):
