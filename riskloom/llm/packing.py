@@ -156,7 +156,7 @@ def encode_documents(
         full = 0
         for batch in batches:
             ids, sizes, ranks, full_ranks = [], [], [], []
-            for found in encoder(tokenizer).encode(batch.column(1).to_pylist()):
+            for found in encoder(tokenizer).encode(batch.column(1)):
                 n = len(found) + 1
                 ids.append(found.tobytes() + end)
                 sizes.append(n)

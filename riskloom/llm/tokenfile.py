@@ -71,7 +71,7 @@ def write_tokens(
         ):
             for batch in batches:
                 sizes = []
-                for found in encoder(tokenizer).encode(batch.column(1).to_pylist()):
+                for found in encoder(tokenizer).encode(batch.column(1)):
                     ids.write(found.tobytes() + end)
                     sizes.append(len(found) + 1)
                 least = np.iinfo(np.int64).min

@@ -6,18 +6,19 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
 #: Encoded words that a worker remembers; of more, the half first met stays, which are the most
 #: frequent ones.  Forgetting costs time only.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: Characters of text that are divided into words at a time.
-AT_ONCE = 500_000
+AT_ONCE = 300_000
 
 # Fixed value: the pattern that the library's byte-level pre-tokenizer applies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -73,7 +74,11 @@ def _uneven(text: str) -> bool:
 
 def id_type(path: str) -> np.dtype:
     """The narrowest unsigned type that holds the vocabulary's ids."""
-    size = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+    return _narrowest(Tokenizer.from_file(path))
+
+
+def _narrowest(library: Tokenizer) -> np.dtype:
+    size = library.get_vocab_size(with_added_tokens=True)
     return np.dtype("<u2" if size <= 65_536 else "<u4")
 
 
@@ -89,11 +94,14 @@ class WordwiseEncoder:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.type = id_type(path)
+        self.type = _narrowest(self.library)
         self.model = self.library.model
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        self.words, self.lower = _pattern(parts.get("normalizer"), parts.get("pre_tokenizer"))
+        # only these parts are read, not the vocabulary that fills the file
+        parts = [
+            x if x is None else json.loads(x.__getstate__())
+            for x in (self.library.normalizer, self.library.pre_tokenizer)
+        ]
+        self.words, self.lower = _pattern(*parts)
         self.known: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.kind = "H" if self.type.itemsize == 2 else "I"
@@ -161,11 +169,12 @@ class WordwiseEncoder:
             del self.known[word]
         return found
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text in turn; null gives none."""
+    def encode(self, texts: Iterable[str | None | pa.StringScalar]) -> Iterator[np.ndarray]:
+        """Ids of each text in turn; null gives none.  Arrow's texts are read as they are due."""
         waiting: list[str] = []
         size = 0
         for text in texts:
+            text = text.as_py() if isinstance(text, pa.Scalar) else text
             waiting.append(text or "")
             size += len(waiting[-1])
             if size >= AT_ONCE:
