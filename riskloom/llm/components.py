@@ -10,14 +10,14 @@ from riskloom.session import stage
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every neighbour above a node to the least of its neighbours and itself."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    # an inner join of plain exchanges: the rows of a hub may be split over tasks
+    least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
+    # stored, so that the join is one of plain exchanges, in which a hub's rows can be split
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its neighbours below it to the least of them; edges have u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "components-least")
     joined = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return joined.union(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -270,15 +270,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     found = sketches(docs, id_column, text_column)
     filled = found.filter("n > 0 and doc is not null")
-    first = filled.groupBy("d1", "d2").agg(F.min("doc").alias("rep"))
-    named = stage(filled.select("doc", "n", "d1", "d2").join(first, ["d1", "d2"]).select("doc", "n", "d1", "d2", "rep"), "minhash-named")
+    # sums are stored before they are joined back: only a join of plain exchanges can split a hot key
+    first = stage(filled.groupBy("d1", "d2").agg(F.min("doc").alias("rep")), "minhash-first")
+    named = filled.select("doc", "n", "d1", "d2").join(first, ["d1", "d2"])
+    named = stage(named.select("doc", "n", "d1", "d2", "rep"), "minhash-named")
     reps = named.filter("doc = rep").select("doc", "d1", "d2").distinct()
     keys = stage(
         filled.join(reps, ["doc", "d1", "d2"]).select("doc", F.explode("bands").alias("key")),
         "minhash-bands",
     )
     shared = keys.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("_last"))
-    shared = shared.filter("first < _last").select("key", "first")
+    shared = stage(shared.filter("first < _last").select("key", "first"), "minhash-shared")
     stars = keys.join(shared, "key").filter("doc != first").select(F.col("doc").alias("u"), F.col("first").alias("v"))
     # a document whose id repeats with another text also connects the sets
     repeated = named.filter("doc != rep").select(F.col("doc").alias("u"), F.col("rep").alias("v"))

@@ -25,6 +25,8 @@ CUTOFF = 47.86
 #: Bins per unit of a squared distance's logarithm, in which rows are counted to find the half.
 BINS = 64
 STEPS = 4
+#: Estimates (some 200 bytes each) up to which they are broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 50_000
 
 
 def base_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -99,6 +101,11 @@ def _cells():
     return [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
+def _few(keyed: DataFrame) -> DataFrame:
+    """A stored table of keys, broadcast if it was counted and found small."""
+    return F.broadcast(keyed) if keyed.count() <= BROADCAST_KEYS else keyed
+
+
 def _keyed(rows: DataFrame) -> DataFrame:
     """Each row's estimate: its language and source, the language's small sources, or the rest."""
     mark = lambda *cols: F.concat_ws("\x01", *[F.coalesce(c, F.lit("\x02")) for c in cols])
@@ -120,12 +127,12 @@ def _keyed(rows: DataFrame) -> DataFrame:
         .otherwise("3")
         .alias("_key"),
     )
-    return rows.join(keys, "_own", "left")
+    return rows.join(_few(stage(keys, "quality-sources")), "_own", "left")
 
 
 def _with_distance(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """Add ``_d2``, the squared Mahalanobis distance by forward substitution."""
-    df = rows.join(fits, "_key")
+    df = rows.join(_few(fits), "_key")
     for i in range(len(NAMES)):
         rest = F.col(f"x{i}") - F.col(f"m{i}")
         for j in range(i):
@@ -239,25 +246,25 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         ),
         "quality-start",
     )
-    centred = rows.join(start.select("_key", *[f"o{i}" for i in n]), "_key").select(
+    centred = rows.join(_few(start.select("_key", *[f"o{i}" for i in n])), "_key").select(
         "_row", "_key", "base_failed", *[(F.col(f"_v{i}") - F.col(f"o{i}")).alias(f"x{i}") for i in n]
     )
     centred = stage(centred.filter(~F.col("base_failed")).drop("base_failed"), "quality-centred")
-    fits = _factor(
+    fits = stage(_factor(
         start.select(
             "_key",
             *[F.lit(0.0).alias(f"m{i}") for i in n],
             *[F.lit(FLOORS[NAMES[i]] ** 2).alias(f"f{i}") for i in n],
             *[(F.col(f"c{i}{j}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _cells()],
         )
-    )
+    ), "quality-fit")
     for _ in range(STEPS):
         fits = stage(_concentrated(_with_distance(centred, fits)), "quality-fit")
     measured = _with_distance(centred, fits).select("_row", "_key", "_d2", "_bin", *[f"x{i}" for i in n], *[f"f{i}" for i in n])
     scale = _half(measured).select(
         "_key", F.greatest(F.lit(1.0), F.exp((F.col("_bin") + 1) / BINS) / MEDIAN).alias("_scale")
     )
-    judged = measured.join(scale, "_key").select(
+    judged = measured.join(_few(stage(scale, "quality-scale")), "_key").select(
         "_row", F.sqrt(F.col("_d2") / F.col("_scale")).alias("distance")
     )
     near = F.coalesce(F.col("distance") * F.col("distance") <= CUTOFF, F.lit(True))
