@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
 MARK = "▁"
-#: Encoded words a worker remembers; more are forgotten at once, which costs time only.
+#: Encoded words that a worker remembers; of more, the half first met stays, which are the most
+#: frequent ones.  Forgetting costs time only, as it does for pairs of pieces.
 REMEMBERED = 300_000
+PAIRS = 150_000
 #: Characters of text that are divided into words at a time.
 AT_ONCE = 2_000_000
 
@@ -47,14 +49,15 @@ class PieceModel:
         if any(MARK in x.lstrip(MARK) for x in self.id):
             raise ValueError("a piece goes on past the end of a word")
         self.byte = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.longest = max(map(len, self.id))
         self.edges: dict[str, tuple] = {}
         for piece in sorted(self.id, key=len):
             self._derive(piece)
-        self.longest_end: dict[str, list[int]] = {}
+        #: Lengths, longest first, of the pieces that end with the same two or three characters.
+        ends: dict[str, set[int]] = {}
         for piece in self.edges:
-            self.longest_end.setdefault(piece[-1], []).append(len(piece))
-        self.ends = {c: sorted(set(n), reverse=True) for c, n in self.longest_end.items()}
+            if len(piece) > 1:
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        self.ends = {tail: sorted(n, reverse=True) for tail, n in ends.items()}
         table = [library.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
         for b, i in enumerate(self.byte):
             table[i] = bytes([b])
@@ -65,6 +68,7 @@ class PieceModel:
                 table[i] = " ⁇ ".encode()
         self.bytes = table
         self.known: dict[str, bytes] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
 
     def _derive(self, piece: str) -> None:
         """Note the pieces on both edges of a piece, innermost first, if merging can make it."""
@@ -123,17 +127,33 @@ class PieceModel:
         found: dict[str, list[str]] = {}
         last: list[str] = [""]
         before = ""
-        edges, ends, beside = self.edges, self.ends, self.beside
+        edges, ends, beside, pairs = self.edges, self.ends, self.beside, self.pairs
         for word in sorted(words):
-            shared = len(os.path.commonprefix((before, word)))
+            shared = 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                shared += 1
             del last[shared + 1 :]
             for i in range(shared + 1, len(word) + 1):
                 chosen = word[i - 1]
-                for n in ends.get(chosen, ()):
+                lengths = ends.get(word[i - 3 : i], ()) if i > 2 else ()
+                for n in (*lengths, 2) if i > 1 else ():
                     if n > i:
                         continue
                     piece = word[i - n : i]
-                    if piece in edges and (n == i or beside(last[i - n], piece)):
+                    if piece not in edges:
+                        continue
+                    if n == i:
+                        chosen = piece
+                        break
+                    pair = (last[i - n], piece)
+                    apart = pairs.get(pair)
+                    if apart is None:
+                        if len(pairs) >= PAIRS:
+                            pairs.clear()
+                        apart = pairs[pair] = beside(*pair)
+                    if apart:
                         chosen = piece
                         break
                 last.append(chosen)
@@ -166,8 +186,8 @@ class PieceModel:
             wanted.update(w)
         missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > REMEMBERED:
-            self.known = {}
-            missing = wanted
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+            missing = wanted.difference(self.known)
         for word, pieces in self.encode_words(list(missing)).items():
             self.known[word] = self._ids(pieces)
         known = self.known.__getitem__
