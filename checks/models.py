@@ -1,11 +1,13 @@
-"""Fitted models; their randomness has no SQL counterpart, so only rows are checked."""
+"""Fitted models.  Their randomness has no SQL counterpart, so SQL follows what does not depend on it:
+rows per tree, differences after a reload, the statistics and the report of the whole flow."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import txn as b
 from checks.registry import query, rounded
-from checks.statistics import scratch
+from checks.statistics import STAGE1, scratch, stage1_sql
 from checks.txn import COLS, known, txn
 from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel, BoostSettings
 from riskloom.operators.isolation import ForestSettings, IsolationForest, IsolationForestModel
@@ -39,6 +41,17 @@ def iforest_fit(spark, sf_dir):
     return forest(enriched(spark, sf_dir)).nodes
 
 
+@query(
+    "iforest_tree_rows",
+    """SELECT t.range AS tree, least(256, (SELECT count(*) FROM events)) AS leaf_rows
+    FROM range(100) t""",
+)
+def iforest_tree_rows(spark, sf_dir):
+    """Every tree splits its rows without loss: the leaves' sizes add up to them."""
+    leaves = forest(enriched(spark, sf_dir)).nodes.where("left < 0")
+    return leaves.groupBy(F.col("tree").cast("long").alias("tree")).agg(F.sum("size").alias("leaf_rows"))
+
+
 @query("iforest_score")
 def iforest_score(spark, sf_dir):
     rows = enriched(spark, sf_dir)
@@ -99,3 +112,55 @@ def score_pipeline(spark, sf_dir):
     path = scratch(spark, "risk")
     risk_model(known(rows)).save(path)
     return RiskModel.load(spark, path).transform(rows)
+
+
+@query("models_reloaded", "SELECT count(*) AS rows, 0.0 AS largest_difference, count(*) AS within FROM events")
+def models_reloaded(spark, sf_dir):
+    """Scores of the fitted flow and of the flow saved and loaded, on every transaction."""
+    rows = txn(spark, sf_dir)
+    path = scratch(spark, "risk")
+    model = risk_model(rows)
+    model.save(path)
+    names = ["pos", "if_anomaly_score", "fraud_probability"]
+    before, after = (m.transform(rows).select(*names) for m in (model, RiskModel.load(spark, path)))
+    after = after.select("pos", *[F.col(n).alias(f"{n}_after") for n in names[1:]])
+    gap = F.greatest(*[F.abs(F.col(n) - F.col(f"{n}_after")) for n in names[1:]])
+    return before.join(after, "pos").agg(
+        F.count("*").alias("rows"),
+        F.max(gap).alias("largest_difference"),
+        F.count_if(F.col("fraud_probability").between(0, 1)).alias("within"),
+    )
+
+
+@query("fitted_statistics", stage1_sql("txn"))
+def fitted_statistics(spark, sf_dir):
+    """The statistics that the whole fit leaves in its table."""
+    enriched_rows = risk_model(txn(spark, sf_dir)).enriched
+    return rounded(enriched_rows.select("pos", "daily_txn_count", *STAGE1, "classical_outlier_flag"))
+
+
+@query(
+    "score_report",
+    b.sql(
+        """SELECT count(*) AS rows, round(100.0 * sum(is_fraud) / count(*), 6) AS prevalence_pct,
+          CAST(sum(is_fraud) AS BIGINT) AS frauds, CAST(count(*) - sum(is_fraud) AS BIGINT) AS others,
+          count(*) AS summary_rows FROM txn"""
+    ),
+)
+def score_report(spark, sf_dir):
+    """Score every transaction with a flow fitted on the past, and report, as the label is there."""
+    rows = txn(spark, sf_dir)
+    _, summary, report = risk_model(known(rows)).score_and_report(rows)
+    at = {
+        name: F.sum(F.when((F.col("section") == section) & F.col("metric").isin(*metrics), F.col("value")))
+        for name, section, metrics in (
+            ("rows", "dataset", ["rows"]),
+            ("prevalence_pct", "dataset", ["prevalence_pct"]),
+            ("frauds", "confusion", ["tp", "fn"]),
+            ("others", "confusion", ["tn", "fp"]),
+        )
+    }
+    line = report.agg(*[v.alias(k) for k, v in at.items()])
+    whole = ["rows", "frauds", "others"]
+    line = line.withColumns({n: F.col(n).cast("long") for n in whole})
+    return rounded(line, "prevalence_pct").withColumn("summary_rows", summary.select("rows").scalar())

@@ -17,16 +17,18 @@ from riskloom.sources import tables
 
 @query(
     "null_profile",
-    """WITH d AS (SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+    """WITH d AS (SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
     u AS (SELECT 'quality' AS c, count(*) - count(quality) AS nulls, count(*) AS n FROM d
       UNION ALL SELECT 'toxic', count(*) - count(toxic), count(*) FROM d
       UNION ALL SELECT 'doc_id', count(*) - count(doc_id), count(*) FROM d
+      UNION ALL SELECT 'text', count(*) - count(text), count(*) FROM d
+      UNION ALL SELECT 'n_chars', count(*) - count(n_chars), count(*) FROM d
       UNION ALL SELECT 'lang', count(*) - count(lang), count(*) FROM d
       UNION ALL SELECT 'source', count(*) - count(source), count(*) FROM d)
     SELECT c AS "column", nulls, round(100.0 * nulls / n, 2) AS pct FROM u WHERE nulls > 0""",
 )
 def null_profile(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    documents = table(spark, sf_dir, "documents")
     return quality.null_profile(documents.join(table(spark, sf_dir, "labels"), "doc_id", "left"))
 
 
