@@ -102,6 +102,8 @@ class WordwiseEncoder:
             for x in (self.library.normalizer, self.library.pre_tokenizer)
         ]
         self.words, self.lower = _pattern(*parts)
+        #: What stands before a plain word in the pre-tokenizer's word for it: its space, or none.
+        self.lead = self.words.findall(" a")[0][:-1] if self.words else ""
         self.known: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.kind = "H" if self.type.itemsize == 2 else "I"
@@ -113,6 +115,9 @@ class WordwiseEncoder:
     def _merged(self, word: str) -> bytes:
         """Ids of one word of the pre-tokenizer's, straight from the library's merging."""
         raw = word.encode("utf-8").decode("latin-1").translate(_SHOWN)
+        return self._ids(raw)
+
+    def _ids(self, raw: str) -> bytes:
         ids = array(self.kind, [t.id for t in self.model.tokenize(raw)])
         if sys.byteorder != "little":
             ids.byteswap()
@@ -126,14 +131,19 @@ class WordwiseEncoder:
         for keeping, as with what stands around them there are too many.
         """
         known, inner, passing, others = self.known, self.inner, [], []
+        lead, lead_shown = self.lead, self.lead.translate(_SHOWN)
         for word in words:
+            if self.words is not None and _LETTERS.fullmatch(word):
+                plain = word.lower() if self.lower else word
+                if plain.isascii():  # letters that stand for themselves
+                    known[word] = self._ids(lead_shown + plain)
+                else:
+                    known[word] = self._merged(lead + plain)
+                continue
             if self.words is None or not _LATIN.fullmatch(word):
                 others.append(word)
                 continue
             text = " " + (word.lower() if self.lower else word)
-            if _LETTERS.fullmatch(word):
-                known[word] = self._merged(self.words.findall(text)[0])
-                continue
             ids = []
             for x in self.words.findall(text):
                 plain = x[1:] if x[0] == " " else x if self.lower else ""
@@ -152,6 +162,13 @@ class WordwiseEncoder:
         known.update(zip(others, self._encode([" " + x for x in others]), strict=True))
         return passing + others
 
+    def _head(self, word: str) -> bytes:
+        """Ids of a text's first part, which has no space before it."""
+        if self.words is None or not _LATIN.fullmatch(word):
+            return self._encode([word])[0]
+        found = self.words.findall(word.lower() if self.lower else word)
+        return b"".join([self._merged(x) for x in found])
+
     def _part(self, texts: list[str]) -> list[bytes]:
         parts = [[] if not t else _CUT.split(t) if _uneven(t) else t.split(" ") for t in texts]
         wanted: set[str] = set()
@@ -162,7 +179,7 @@ class WordwiseEncoder:
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
             missing = list(wanted.difference(self.known))
         passing = self._learn(missing)
-        heads = self._encode([p[0] if p else "" for p in parts])
+        heads = [self._head(p[0]) if p else b"" for p in parts]
         known = self.known.__getitem__
         found = [head + b"".join(map(known, p[1:])) for head, p in zip(heads, parts, strict=True)]
         for word in passing:
