@@ -60,7 +60,7 @@ def test_as_brute_force(spark, sf_dir):
 
 
 def odd(spark):
-    prose = "Plain words make a sentence here, and another one follows it soon after that. " * 3
+    prose = "Plain words make a sentence here, and another one follows it soon after that. It says nothing much, but does so in a calm voice, as many texts do. "
     rows = [(1, prose + "one", "en", None, 1), (1, prose + "one", "en", None, 1), (None, prose + "two words more than that", None, "s", None), (2, None, "en", "s", 0), (3, "", "de", "s", 0), (4, prose + "one", "en", "s", 2)]
     schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, distance int, doc int"
     return spark.createDataFrame([(*x, "x", 1, 2) for x in rows], schema)
