@@ -22,6 +22,8 @@ ROUNDS = 200
 TRIPLE_STEP = 16
 #: Rows of per-part bases up to which they are broadcast (some 30 bytes each); beyond, a join.
 BROADCAST_ROWS = 1_000_000
+#: Documents whose ids a task hands on at a time.
+OUT_ROWS = 500
 
 
 @dataclass
@@ -154,7 +156,8 @@ def encode_documents(
         part = TaskContext.get().partitionId()
         seen = np.zeros(window, np.int64)
         full = 0
-        for batch in batches:
+        small = (b.slice(i, OUT_ROWS) for b in batches for i in range(0, b.num_rows, OUT_ROWS))
+        for batch in small:
             ids, sizes, ranks, full_ranks = [], [], [], []
             for found in encoder(tokenizer).encode(batch.column(1)):
                 n = len(found) + 1
@@ -236,7 +239,8 @@ def pack(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        small = (b.slice(i, OUT_ROWS) for b in batches for i in range(0, b.num_rows, OUT_ROWS))
+        for batch in small:
             out: tuple[list, ...] = ([], [], [], [], [], [], [])
 
             def piece(doc, tokens, start, length, sequence, offset, out=out):

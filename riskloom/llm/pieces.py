@@ -16,6 +16,8 @@ MARK = "▁"
 #: frequent ones.  Forgetting costs time only, as it does for pairs of pieces.
 REMEMBERED = 300_000
 PAIRS = 150_000
+#: Documents whose ids a task hands on at a time.
+OUT_ROWS = 2_000
 #: Characters of text that are divided into words at a time.
 AT_ONCE = 2_000_000
 
@@ -232,7 +234,8 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        small = (b.slice(i, OUT_ROWS) for b in batches for i in range(0, b.num_rows, OUT_ROWS))
+        for batch in small:
             ids = list(model(path).encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],

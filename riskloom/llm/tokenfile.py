@@ -143,7 +143,7 @@ def read_tokens(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
             docs = _map(folder, f"{name}.docs", "<i8", row["docs"])
             at = 0
             while at < row["docs"]:
-                limit = offsets[at] + 2_000_000
+                limit = offsets[at] + 500_000
                 to = max(at + 1, int(np.searchsorted(offsets, limit, side="right")) - 1)
                 starts = np.array(offsets[at : to + 1])
                 found = np.array(ids[starts[0] - row["base"] : starts[-1] - row["base"]], "<u4")

@@ -16,9 +16,11 @@ from tokenizers import Tokenizer
 
 #: Encoded words that a worker remembers; of more, the half first met stays, which are the most
 #: frequent ones.  Forgetting costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Parts of other words that a worker remembers besides.
+PARTS = 30_000
 #: Characters of text that are divided into words at a time.
-AT_ONCE = 300_000
+AT_ONCE = 200_000
 
 # Fixed value: the pattern that the library's byte-level pre-tokenizer applies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -155,7 +157,7 @@ class WordwiseEncoder:
                     ids.append(self._merged(x))
                     if _LETTERS.fullmatch(plain):
                         known[plain] = ids[-1]
-                    elif len(inner) < REMEMBERED:
+                    elif len(inner) < PARTS:
                         inner[x] = ids[-1]
             known[word] = b"".join(ids)
             passing.append(word)
