@@ -65,6 +65,8 @@ MARKS = frozenset(
 #: Marks of the page's own header; inside an article a header holds the title.
 HEADER = frozenset("header topbar siteheader pageheader".split())
 ARTICLE = frozenset(("article", "main"))
+#: Start tags that can stand in a head; any other ends it, as its end tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<([a-zA-Z/!?])([^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*)>?", re.S)
 _NAME = re.compile(r"[^\s/>]*")
@@ -119,23 +121,30 @@ def parse(html: str) -> Element:
     """The page as elements; never fails, however broken or cut short the page is.
 
     Elements that HTML closes without an end tag are closed, stray end tags are passed over, and
-    whatever is open at the end is closed there.
+    whatever is open at the end is closed there.  A head ends at ``<body>``, at the first start tag
+    that cannot stand in it, and at text.
     """
     root = Element("html", "html", False, False)
     stack = [root]
+
+    def add(text: str) -> None:
+        if stack[-1].name == "head" and not text.isspace():
+            del stack[1:]
+        stack[-1].children.append(text)
+
     at, length = 0, len(html)
     while at < length:
         m = _TAG.search(html, at)
         if m is None:
-            stack[-1].children.append(html[at:])
+            add(html[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(html[at : m.start()])
+            add(html[at : m.start()])
         at = m.end()
         kind = m[1]
         if kind is None:
             if m[0].startswith("<![CDATA["):
-                stack[-1].children.append(m[0][9:].removesuffix("]]>"))
+                add(m[0][9:].removesuffix("]]>"))
             continue
         if kind in "!?":
             continue
@@ -152,6 +161,13 @@ def parse(html: str) -> Element:
         name = _NAME.match(body)[0]
         rest = body[len(name) :]
         name = name.lower()
+        # a head stands directly below the root
+        if name == "body" and len(stack) > 1 and stack[1].name == "head":
+            del stack[1:]
+        elif stack[-1].name == "head" and name not in IN_HEAD:
+            del stack[1:]
+        if name == "head" and len(stack) > 1:
+            continue
         if name in RAW:
             ending = _ENDS[name].search(html, at)
             stack[-1].children.append(Element(name, name, True, False))

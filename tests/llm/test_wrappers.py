@@ -39,6 +39,23 @@ def test_known_articles(spark, style):
     assert {r.page_id: r.text for r in got} == {i: t for i, (_, t) in enumerate(pages)}
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>t</title><body><p>text</p>",
+        "<html><head><title>t</title><p>text</p>",
+        "<head><meta charset=utf-8><link rel=x href=y><script>a</script>\n text",
+        "<head><noscript><style>a{}</style><body><p>text</p>",
+        "<title>t</title><meta name=a><p>text",
+        "<p>text<head><title>t</title></head>",
+        "<html><head><title>t</title></head><p>text</p></body></html>",
+    ],
+)
+def test_head_and_body_tags_left_out(html):
+    assert wrappers.extract(html, None) == "text"
+    assert wrappers.extract(html, {"path": [], "templates": []}) == "text"
+
+
 def test_template_texts_inside_the_article(spark):
     html = "<article><div><p>{}</p></div><section><p>Thanks for reading our fine pages</p></section></article>"
     rows = [(i, "http://one/", html.format(f"story {i} goes on"), "x", 1, 2) for i in range(5)]
