@@ -9,7 +9,6 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.prefix import partitions
@@ -21,8 +20,6 @@ DEPTH = 40
 HOSTS_HELD = 1_000
 #: Share of an element's text that one child must have for the article to lie in that child.
 DOMINANT = 0.7
-#: Different pages that must agree on a text before it is taken for the template's.
-SUPPORT = 3
 #: Bytes of wrappers up to which they are broadcast; beyond, pages are joined with them.
 BROADCAST_BYTES = 32 << 20
 
@@ -360,30 +357,6 @@ def article_path(host: Node) -> list[str]:
         node = best
 
 
-def template_texts(host: Node, path: list[str]) -> list[list]:
-    """Texts below the article's element that all pages have in the same place, with their signs."""
-    found = []
-    node = host
-    for sign in path:
-        node = next((c for c in node.children if c.sign == sign), None)
-        if node is None:
-            return []
-        if node.repeated:
-            return []
-    waiting = [(node, [])]
-    while waiting:
-        at, signs = waiting.pop()
-        for c in at.children:
-            if c.repeated or c.optional:
-                continue
-            if c.sign == "#":
-                if c.text is not None:
-                    found.append([signs, c.text])
-            else:
-                waiting.append((c, [*signs, c.sign]))
-    return found
-
-
 def _at(page: Element, path: list[str]) -> list[Element]:
     """The elements at a path, in page order; wrappers pass inline elements over, so this does."""
     level = [page]
@@ -403,16 +376,14 @@ def _at(page: Element, path: list[str]) -> list[Element]:
     return level
 
 
-def blocks(e: Element, templates: list[list]) -> list[str]:
+def blocks(e: Element) -> list[str]:
     """Texts of the element's blocks, character references decoded and white space evened out."""
-    known = {(tuple(signs), text) for signs, text in templates}
     out: list[str] = []
     text: list[str] = []
-    signs: tuple[str, ...] = ()
 
     def flush():
         words = " ".join(unescape("".join(text)).split())
-        if words and (signs, words) not in known:
+        if words:
             out.append(words)
         text.clear()
 
@@ -420,11 +391,10 @@ def blocks(e: Element, templates: list[list]) -> list[str]:
     waiting: list = list(reversed(e.children))
     while waiting:
         c = waiting.pop()
-        if isinstance(c, str):
-            text.append(c)
-        elif isinstance(c, tuple):
+        if c is None:  # a block ends
             flush()
-            signs = c
+        elif isinstance(c, str):
+            text.append(c)
         elif c.dropped or (c.header and not inside):
             if c.name not in INLINE:
                 flush()
@@ -434,8 +404,7 @@ def blocks(e: Element, templates: list[list]) -> list[str]:
             waiting += reversed(c.children)
         else:
             flush()
-            waiting.append(signs)
-            signs = (*signs, c.sign) if len(signs) < DEPTH else signs
+            waiting.append(None)
             waiting += reversed(c.children)
     flush()
     return out
@@ -445,10 +414,10 @@ def extract(html: str | None, plan: dict | None) -> str:
     """Main text of a page under its host's plan; the page decides where the plan finds nothing."""
     page = parse(html or "")
     found = _at(page, plan["path"]) if plan else []
-    parts = [b for e in found for b in blocks(e, plan["templates"])] if found else []
+    parts = [b for e in found for b in blocks(e)]
     if not parts:
         own = wrapper(page)
-        parts = [b for e in _at(page, article_path(own)) for b in blocks(e, [])]
+        parts = [b for e in _at(page, article_path(own)) for b in blocks(e)]
     return "\n\n".join(parts)
 
 
@@ -463,46 +432,40 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
     Each task aligns the pages of a host that it meets, one after another, into one wrapper, and
     hands on a wrapper per host; the hosts' wrappers are then aligned in the same way.  A host
     with a third of all pages so meets in as many wrappers as there are tasks.  ``plan`` (JSON)
-    has the path to the article's element and the texts that all pages have in the same place, if
-    at least ``SUPPORT`` pages of different main text agree.
+    has the path to the article's element.
     """
-    schema = "host string, pages long, seen array<string>, packed string"
+    schema = "host string, pages long, packed string"
 
-    def emit(held: dict[str, tuple[int, set, Node]]) -> pa.RecordBatch:
-        rows = [(h, n, sorted(seen), json.dumps(w.packed())) for h, (n, seen, w) in held.items()]
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        kinds = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string())
+    def emit(held: dict[str, tuple[int, Node]]) -> pa.RecordBatch:
+        rows = [(h, n, json.dumps(w.packed())) for h, (n, w) in held.items()]
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+        kinds = (pa.string(), pa.int64(), pa.string())
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-            ["host", "pages", "seen", "packed"],
+            ["host", "pages", "packed"],
         )
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[int, set, Node]] = {}
+        held: dict[str, tuple[int, Node]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 host = host_of(batch.column(0)[i].as_py())
                 page = wrapper(parse(batch.column(1)[i].as_py() or ""))
-                own = xxhash.xxh3_128_hexdigest(json.dumps(page.packed()))
                 if host in held:
-                    n, seen, so_far = held[host]
-                    if len(seen) < SUPPORT:
-                        seen.add(own)
-                    held[host] = n + 1, seen, merge(so_far, page)
+                    n, so_far = held[host]
+                    held[host] = n + 1, merge(so_far, page)
                 else:
-                    held[host] = 1, {own}, page
+                    held[host] = 1, page
                 if len(held) >= HOSTS_HELD:
                     yield emit(held)
                     held = {}
         yield emit(held)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, n, seen, so_far = None, 0, set(), None
+        host, n, so_far = None, 0, None
 
         def done():
-            path = article_path(so_far)
-            templates = template_texts(so_far, path) if len(seen) >= SUPPORT else []
-            plan = json.dumps({"path": path, "templates": templates})
+            plan = json.dumps({"path": article_path(so_far)})
             return pa.RecordBatch.from_pydict(
                 {"host": [host], "pages": [n], "expression": [so_far.expression()], "plan": [plan]}
             )
@@ -513,12 +476,10 @@ def infer_wrappers(pages: DataFrame, url_column: str = "url", html_column: str =
                 if row["host"] != host or so_far is None:
                     if so_far is not None:
                         yield done()
-                    host, n, seen, so_far = row["host"], 0, set(), part
+                    host, n, so_far = row["host"], 0, part
                 else:
                     so_far = merge(so_far, part)
                 n += row["pages"]
-                if len(seen) < SUPPORT:
-                    seen |= set(row["seen"])
         if so_far is not None:
             yield done()
 
@@ -537,8 +498,8 @@ def main_text(
 
     Scripts, styles, forms, menus, page headers and footers, sidebars, notices, adverts and reader
     comments are left out by element and by the words of class, id and role.  Where the article is
-    the host's wrapper tells, as do texts of the template inside it; a page that the wrapper does
-    not fit decides by itself.  Blocks are joined by two line feeds; inside one white space is a
+    the host's wrapper tells; a page that the wrapper does not fit decides by itself.  Text of the
+    article stays, also where all pages of the host have it in common.  Blocks are joined by two line feeds; inside one white space is a
     space.
 
     One row per input row, repeated rows included; null and empty pages give an empty text.  Null

@@ -53,7 +53,7 @@ def test_known_articles(spark, style):
 )
 def test_head_and_body_tags_left_out(html):
     assert wrappers.extract(html, None) == "text"
-    assert wrappers.extract(html, {"path": [], "templates": []}) == "text"
+    assert wrappers.extract(html, {"path": []}) == "text"
 
 
 def test_template_texts_inside_the_article(spark):
@@ -66,6 +66,18 @@ def test_template_texts_inside_the_article(spark):
     assert all("a story that all share" in got[10 + i] for i in range(5))
 
 
+@pytest.mark.parametrize("n", [2, 3, 5])
+def test_text_that_all_articles_share_stays(spark, n):
+    recipe = "<article><h1>Dish {0}</h1><h2>Ingredients</h2><ul><li>salt<li>item {0}</ul><p>Serve warm.</p></article>"
+    copies = "<article><h1>T{0}</h1><p>same body</p></article>"
+    rows = [(i, "http://one/", recipe.format(i), "x", 1, 2) for i in range(n)]
+    rows += [(10 + i, "http://two/", copies.format(i), "x", 1, 2) for i in range(n)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(n):
+        assert got[i] == f"Dish {i}\n\nIngredients\n\nsalt\n\nitem {i}\n\nServe warm."
+        assert got[10 + i] == f"T{i}\n\nsame body"
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
     rows = [(1, None, None), (2, "", ""), (3, "no address", "just text\n here"), (4, "http://h/", deep), (5, "http://h/", "<p>open <b>bold<p>next<br>line &am &amp"), (6, "http://h/", "<article><p>cut off in the mid"), (None, "http://h/", "<p>x</p>"), (7, "http://long/", "<p>word " * 60_000), (8, "http://h/", "<script>never closed <p>x"), (9, "http://h/", "</div></p><p a='<'>odd</p><"), (3, "no address", "just text\n here")]
