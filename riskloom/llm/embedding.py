@@ -26,11 +26,14 @@ BEAM = 32
 ALPHA = 1.2
 ENTRIES = 4
 THRESHOLD = 0.9
-#: Nearest centres whose shards hold a vector, as a row and as a query.  A pair is met unless the
-#: two have no such centre in common, which a small move of a vector does not bring about.
-OVERLAP = 3
+#: A vector is a row of its nearest centre's shard and asks in each shard whose boundary is near.
+#: Along a boundary's normal, vectors at the threshold lie apart by the threshold's sine times a
+#: factor that in many dimensions is about normal with a deviation of 1 / sqrt(dimension - 1);
+#: the margins tried are so many deviations wide, the last covers every direction.
+MARGINS = (3.0, 4.0, 5.0, float("inf"))
 #: Queries per task whose links are also counted by comparing with the whole block, and the share
-#: of them to be found; a task below it compares all its queries with the whole block.
+#: of links to be found; a task below it compares all its queries with the whole block.  The same
+#: share of the links of the audited vectors (ids divisible by 100) is to be found in the table.
 AUDITED = 8
 RECALL = 0.99
 
@@ -53,12 +56,24 @@ def fit_centres(sample: np.ndarray, wanted: int) -> np.ndarray:
     return centres
 
 
-def assign(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """The OVERLAP nearest centres of each unit vector in ascending order, -1 for none."""
-    near = -(x @ centres.T)
-    n = min(OVERLAP, len(centres))
-    found = np.sort(np.argsort(near, axis=1, kind="stable")[:, :n], axis=1)
-    return np.pad(found, ((0, 0), (0, OVERLAP - n)), constant_values=-1)
+def assign(x: np.ndarray, centres: np.ndarray, margin: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The nearest centre of each unit vector, and the centres it asks in, the nearest among them:
+    those whose boundary with the nearest one is at most ``margin`` away."""
+    near = x @ centres.T
+    home = near.argmax(axis=1)
+    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) if len(centres) < 64 else np.sqrt(
+        np.maximum((centres**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * centres @ centres.T, 0)
+    )
+    # equal centres have no boundary between them
+    asked = near[np.arange(len(x)), home][:, None] - near <= margin * apart[home] + 1e-9
+    asked[np.arange(len(x)), home] = True
+    return home, [np.flatnonzero(a) for a in asked]
+
+
+def margin_of(deviations: float, dimension: int, threshold: float) -> float:
+    """Distance from a boundary up to which a vector asks on its other side."""
+    widest = float(np.sqrt(max(1 - threshold * threshold, 0)))
+    return widest * min(1.0, deviations / np.sqrt(max(dimension - 1, 1)))
 
 
 def _prune(x: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -235,10 +250,6 @@ def _rows(column: pa.Array) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def _ints(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 def _usable(column: str):
     """Whether a vector has numbers only, and one that is not 0."""
     good = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -256,29 +267,32 @@ def _centres(nodes: DataFrame) -> dict[int, np.ndarray]:
     return found
 
 
-def _shards(nodes: DataFrame) -> DataFrame:
-    """Each node in its overlapping shards: ``dim, shard, part, parts, node, weight, vector,
-    shards``; a shard has ``parts`` blocks, and ``part`` is the node's."""
-    centres = _centres(nodes)
+def _shards(nodes: DataFrame, centres: dict[int, np.ndarray], deviations: float, threshold: float) -> DataFrame:
+    """Each node with its ``shard`` (the nearest centre's) and the ``shards`` it asks in."""
+    columns = ["dim", "node", "weight", "vector"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(0).to_numpy()
             for dimension in np.unique(dims):
                 part = batch.filter(pa.array(dims == dimension))
-                found = assign(_unit(_rows(part.column(3))), centres[int(dimension)]).astype(np.int32)
+                margin = margin_of(deviations, int(dimension), threshold)
+                home, asked = assign(_unit(_rows(part.column(3))), centres[int(dimension)], margin)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(list(found), pa.list_(pa.int32()))],
-                    ["dim", "node", "weight", "vector", "shards"],
+                    [*part.columns, pa.array(home.astype(np.int32)), pa.array([a.astype(np.int32) for a in asked], pa.list_(pa.int32()))],
+                    [*columns, "shard", "shards"],
                 )
 
-    schema = "dim int, node long, weight long, vector array<double>, shards array<int>"
-    rows = nodes.select("dim", "node", "weight", "vector").mapInArrow(place, schema)
-    placed = stage(rows, "vector-shards").withColumn("shard", F.explode("shards")).filter("shard >= 0")
-    sizes = placed.groupBy("dim", "shard").agg(F.ceil(F.count("node") / BLOCK).cast("int").alias("parts"))
+    schema = "dim int, node long, weight long, vector array<double>, shard int, shards array<int>"
+    return stage(nodes.select(*columns).mapInArrow(place, schema), "vector-shards")
+
+
+def _in_parts(rows: DataFrame, part: str, parts: str) -> DataFrame:
+    """Add the block of each row of a shard and the number of blocks."""
+    sizes = rows.groupBy("dim", "shard").agg(F.ceil(F.count("node") / BLOCK).cast("int").alias(parts))
     # one row per dimension and centre, of which there are at most CENTRES
-    placed = placed.join(F.broadcast(sizes), ["dim", "shard"])
-    return placed.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.join(F.broadcast(sizes), ["dim", "shard"])
+    return rows.withColumn(part, F.pmod(F.xxhash64("node"), F.col(parts)).cast("int"))
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
@@ -309,7 +323,7 @@ def _one(table: pa.Table, name: str):
 
 
 def _graph(placed: DataFrame) -> DataFrame:
-    """The flat graph: per node the union of its neighbours in the blocks' graphs; stored."""
+    """The flat graph: per node its neighbours in its block's graph; stored."""
     order = ["dim", "shard", "part"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,36 +334,42 @@ def _graph(placed: DataFrame) -> DataFrame:
             near = [nodes[g[g >= 0]] for g in graph]
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(near, pa.list_(pa.int64()))], ["node", "near"])
 
-    rows = placed.select(*order, "node", "vector").repartition(partitions(placed), *order)
-    built = rows.sortWithinPartitions(*order).mapInArrow(build, "node long, near array<long>")
-    # a node has as many lists as shards it is in
-    union = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    return stage(union, "vector-graph")
+    rows = _in_parts(placed, "part", "parts").select(*order, "node", "vector")
+    built = rows.repartition(partitions(rows), *order).sortWithinPartitions(*order)
+    return stage(built.mapInArrow(build, "node long, near array<long>"), "vector-graph")
 
 
 def _found(placed: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
     """Links of the nodes: ``u, v`` that connect, and ``u, n`` counts; stored.
 
-    Each block of a shard is searched by each block of queries of the shard.  A pair that shares
-    several shards counts in the first of them.
+    Each block of a shard is searched by each block of queries that ask in the shard.  A node is a
+    row of one shard, so a query meets it once; if the row does not ask in the query's shard, the
+    link counts for the row as well.
     """
     order = ["dim", "shard", "query_part", "part"]
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    columns = ["node", "weight", "vector", "shards", "near"]
+    data = _in_parts(placed, "part", "parts").withColumn("home", F.col("shard"))
+    asking = placed.withColumn("home", F.col("shard")).withColumn("shard", F.explode("shards"))
+    asking = _in_parts(asking, "query_part", "query_parts")
+    blocks = data.select("dim", "shard", "parts").distinct()
+    query_blocks = asking.select("dim", "shard", "query_parts").distinct()
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["node", "weight", "vector", "home", "shards", "near"]
     searched = (
-        placed.join(graph, "node")
-        .withColumn("query_part", every)
+        data.join(graph, "node")
+        .join(F.broadcast(query_blocks), ["dim", "shard"])
+        .withColumn("query_part", every("query_parts"))
         .select(*order, F.lit(False).alias("query"), *columns)
     )
     asking = (
-        placed.withColumn("query_part", F.col("part"))
-        .withColumn("part", every)
+        asking.join(F.broadcast(blocks), ["dim", "shard"])
+        .withColumn("part", every("parts"))
+        .withColumn("shards", F.lit(None).cast("array<int>"))
         .withColumn("near", F.lit(None).cast("array<bigint>"))
         .select(*order, F.lit(True).alias("query"), *columns)
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, shard, _, _), table in _by_key(batches, 4):
+        for _, table in _by_key(batches, 4):
             query = _one(table, "query").to_numpy(zero_copy_only=False)
             data, asked = table.filter(pa.array(~query)), table.filter(pa.array(query))
             if not len(data) or not len(asked):
@@ -371,11 +391,18 @@ def _found(placed: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
             own = np.where(nodes[by_node][own] == names, by_node[own], -1)
             found = list(range_search(x, adjacent, exact, queries, own, entry_points(x), threshold))
             checked = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-            wanted = sum(int((exact @ queries[i] >= threshold).sum()) for i in checked)
-            met = sum(len(found[i][1]) for i in checked)
+            # the vector itself is always found and tells nothing
+            wanted = sum(int(((exact @ queries[i] >= threshold) & (nodes != names[i])).sum()) for i in checked)
+            met = sum(int((nodes[found[i][1]] != names[i]).sum()) for i in checked)
             if met < RECALL * wanted:
                 found = [(i, np.flatnonzero(exact @ q >= threshold)) for i, q in enumerate(queries)]
-            shards, asked_shards = _ints(_one(data, "shards")), _ints(_one(asked, "shards"))
+            homes, gain = _one(asked, "home").to_numpy(), _one(asked, "weight").to_numpy()
+            lists = _one(data, "shards")
+            flat, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            owner = np.repeat(np.arange(len(nodes)), np.diff(starts))
+            # rows that ask in a query's own shard, per such shard
+            back = {int(h): np.bincount(owner[flat == h], minlength=len(nodes)) > 0 for h in np.unique(homes)}
+            extra = np.zeros(len(nodes), np.int64)
             up: dict[int, int] = {}
 
             def root(i: int, up=up) -> int:
@@ -387,15 +414,15 @@ def _found(placed: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
             out: list[tuple] = []
             for i, rows in found:
                 name = int(names[i])
-                both = (shards[rows][:, :, None] == asked_shards[i]).any(axis=2) & (shards[rows] >= 0)
-                first = np.where(both, shards[rows], np.iinfo(np.int32).max).min(axis=1, initial=np.iinfo(np.int32).max)
-                rows = rows[(nodes[rows] != name) & (first == shard)]
+                rows = rows[nodes[rows] != name]
+                extra[rows[~back[int(homes[i])][rows]]] += gain[i]
                 out.append((name, None, int(weight[rows].sum())))
                 for other in nodes[rows].tolist():
                     a, b = root(name), root(other)
                     if a != b:
                         up[max(a, b)] = min(a, b)
                         out.append((name, other, None))
+            out += [(int(nodes[i]), None, int(extra[i])) for i in np.flatnonzero(extra)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "n"]
             )
@@ -404,16 +431,48 @@ def _found(placed: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
     return stage(dealt.mapInArrow(search, "u long, v long, n long"), "vector-links")
 
 
+def _recall(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
+    """Links counted of all links of the nodes whose id is divisible by 100, by brute force.
+
+    The queries meet all nodes block by block; only counts per query leave a task.
+    """
+    parts = max(1, -(-nodes.count() // BLOCK))
+    columns = ["node", "weight", "vector"]
+    audited = nodes.filter(F.col("first") % 100 == 0).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    data = nodes.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int"))
+    both = data.select("dim", "part", F.lit(False).alias("query"), *columns).union(
+        audited.select("dim", "part", F.lit(True).alias("query"), *columns)
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in _by_key(batches, 2):
+            query = _one(table, "query").to_numpy(zero_copy_only=False)
+            names, weight = _one(table, "node").to_numpy(), _one(table, "weight").to_numpy()
+            x = _unit(_rows(_one(table, "vector")))
+            asked = np.flatnonzero(query)
+            for some in np.array_split(asked, max(1, len(asked) // 512)):
+                near = (x[some] @ x[~query].T >= threshold) & (names[some][:, None] != names[~query])
+                yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(near @ weight[~query], pa.int64())], ["node", "n"])
+
+    dealt = both.repartition(partitions(nodes), "dim", "part").sortWithinPartitions("dim", "part")
+    true = dealt.mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("all"))
+    met = true.join(counts, "node", "left").agg(F.sum("n"), F.sum("all")).first()
+    return 1.0 if not met[1] else (met[0] or 0) / met[1]
+
+
 def near_duplicate_vectors(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
     """Links and components of vectors whose cosine is ``threshold`` or more.
 
-    Equal vectors are one node with a weight.  Nodes go to overlapping shards about centres fitted
-    on a bounded sample, those of the OVERLAP nearest centres.  Blocks of a shard are built into robustly pruned graphs, a node's neighbours in all of
-    them are united, and every node is a query in its shards: greedy search from medoids, then on
-    through all neighbours in range.  Hits are verified in double precision.  Each task audits
-    some queries against its whole block and compares all of them if too few links were found.
+    Equal vectors are one node with a weight.  Nodes go to the shard of the nearest centre, of those
+    fitted on a bounded sample.  Blocks of a shard are built into robustly pruned graphs, and every
+    node is a query in its shard and in those whose boundary is within a margin: greedy search from
+    medoids, then on through all neighbours in range.  Hits are verified in double precision.  Each
+    task audits some queries against its whole block and compares all of them if too few links were
+    found.  Then the links of the nodes whose id is divisible by 100 are counted by brute force; if
+    less than ``RECALL`` of them were found, the search is done again with the next margin, the last
+    of which leaves no pair without a shard to meet in.  That audit compares n * n / 100 pairs.
     Shards of any size are cut into blocks, and each block of queries meets each block of the
     shard, so a task holds two blocks.  Links leave a task as counts per vector and as links that
     connect something new, so groups of copies or near-copies are never written out as pairs.
@@ -436,9 +495,15 @@ def near_duplicate_vectors(
     nodes = stage(
         nodes.withColumn("first", F.col("node")).withColumn("node", F.monotonically_increasing_id()), "vector-names"
     )
-    placed = _shards(nodes)
-    found = _found(placed, _graph(placed), threshold)
-    counts = found.filter("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
+    centres = _centres(nodes)
+    graph = None
+    for deviations in MARGINS:
+        placed = _shards(nodes, centres, deviations, threshold)
+        graph = _graph(placed) if graph is None else graph  # blocks do not depend on the margin
+        found = _found(placed, graph, threshold)
+        counts = found.filter("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
+        if _recall(nodes, counts, threshold) >= RECALL:
+            break
     named = usable.join(nodes.select("vector", "node", "first", "weight"), "vector").select("id", "node", "first", "weight")
     named = stage(named, "vector-members")
     firsts = nodes.select("node", "first")

@@ -73,6 +73,37 @@ def test_shards_in_blocks(spark, monkeypatch):
     check(spark, vectors(3, 3, 120))
 
 
+def pairs_at_threshold(groups, size=64):
+    """Pairs of random vectors at a cosine just over 0.9."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(groups, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    w = r.normal(size=x.shape)
+    w -= (w * x).sum(1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    y = 0.9001 * x + np.sqrt(1 - 0.9001**2) * w
+    return [(i, v.tolist()) for i, v in enumerate(np.stack([x, y], 1).reshape(-1, size))]
+
+
+def test_pairs_across_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "CLUSTER", 60)
+    rows = pairs_at_threshold(1900)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = embedding.near_duplicate_vectors(df).collect()
+    assert sum(r.n_links for r in found) >= 0.99 * len(rows)
+    # a link counts for both ends
+    links = {r.vec_id: r.n_links for r in found}
+    assert all(links[i] == links[i ^ 1] for i in links)
+
+
+def test_margin_is_raised_until_links_are_found(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "CLUSTER", 60)
+    monkeypatch.setattr(embedding, "MARGINS", (0.0, float("inf")))
+    rows = pairs_at_threshold(1900)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sum(r.n_links for r in embedding.near_duplicate_vectors(df).collect()) >= 0.99 * len(rows)
+
+
 def test_edges(spark):
     rows = [(1, None), (2, [0.0, 0.0]), (3, [1.0, float("nan")]), (4, [1.0, None]), (5, [float("inf"), 1.0])]
     rows += [(6, []), (None, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]), (9, [1.0, 0.0]), (10, [-1.0, 0.0])]
