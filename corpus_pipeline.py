@@ -2,8 +2,8 @@
 
 ``run`` applies the stages to ``documents``; each stage's rows are written as Parquet and read
 again as the next one's input.  A stage keeps its input's columns, whatever they are, and all but
-the last return them.  Rows repeat as often as they did; an id that repeats is kept or dropped
-once for all its rows, and is dropped if any of its rows is.
+the last return them.  Each row has its own verdict, whatever its id: a stage writes its input with
+a key per row and judges by that, so null and repeated ids neither drop nor keep each other.
 """
 
 from __future__ import annotations
@@ -17,25 +17,41 @@ from riskloom.session import stage
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The documents whose id the verdict does not reject; a null id is an id like others."""
-    gone = verdict.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The documents, stored with a key that no two rows share, and the key's name."""
+    key = "_row_key"
+    while key in docs.columns:
+        key = f"_{key}"
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), f"pipeline-{name}-rows"), key
+
+
+def _without(docs: DataFrame, key: str, verdict: DataFrame) -> DataFrame:
+    """The rows whose key the verdict does not reject."""
+    gone = verdict.filter(~F.col("kept")).select(F.col(key).alias("_gone"))
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti").drop(key)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly taught classifier takes for good."""
-    return _without(docs, weaklabel.classify(docs))
+    rows, key = _keyed(docs, "classifier")
+    return _without(rows, key, weaklabel.classify(rows, id_column=key))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the base rule and the robust ellipsoid of their language and source."""
-    return _without(docs, outliers.quality_rules(docs))
+    rows, key = _keyed(docs, "rules")
+    return _without(rows, key, outliers.quality_rules(rows, id_column=key))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near-duplicates."""
-    return _without(docs, minhash.near_duplicates(docs))
+    """One row of each group of near-duplicates, of those with the smallest id; null ids come last."""
+    rows, key = _keyed(docs, "dedup")
+    groups = minhash.near_duplicates(rows, id_column=key).select(key, "component_id")
+    named = stage(groups.join(rows.select(key, F.col("doc_id").alias("_id")), key), "pipeline-groups")
+    # a group of any size meets in as many rows as there are tasks
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col(key).alias("key"))
+    chosen = named.groupBy("component_id").agg(F.min(order)["key"].alias("_chosen"))
+    return rows.join(chosen, rows[key] == chosen["_chosen"], "left_semi").drop(key)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,27 @@ def test_filters_keep_columns_and_odd_rows(spark, sf_dir, stage):
             assert ids == ["1", "1", "4", "None"]
 
 
+PROSE = "Plain words make a sentence here, and another one follows it soon after that. It says nothing much, but does so in a calm voice, as many texts do. "
+OTHER = "The river runs down from the hills past three old mills, and boats go along it in summer. Children swim near the bridge while their parents sit and talk in the shade. "
+
+
+@pytest.mark.parametrize("stage", range(2))
+def test_a_rejected_row_takes_no_other_with_it(spark, sf_dir, stage):
+    rows = [(None, PROSE), (None, ""), (None, OTHER), (7, PROSE), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.STAGES[stage][1](spark, docs, sf_dir).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted([("7", PROSE), ("None", PROSE), ("None", OTHER)])
+
+
+def test_one_row_of_each_group_stays(spark, sf_dir):
+    rows = [(None, PROSE), (None, PROSE), (9, OTHER), (9, OTHER), (None, OTHER), (4, OTHER), (None, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.minhash_dedup(spark, docs, sf_dir).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
+        [("None", PROSE), ("4", OTHER), ("None", "None"), ("3", "None")]
+    )
+
+
 def test_last_stage_on_odd_rows(spark, sf_dir):
     pack = corpus_pipeline.STAGES[3][1]
     assert pack(spark, odd(spark).limit(0), sf_dir).collect() == []
