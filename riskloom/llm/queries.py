@@ -57,7 +57,7 @@ def op2_embedding(spark, sf_dir):
 @query("op3_warc")
 def op3_warc(spark, sf_dir):
     files = warc.write_archives(table(spark, sf_dir, "pages"))
-    records = warc.read_archives(files).filter(F.col("gap_reason").isNull())
+    records = warc.read_archives(files, complete=True).filter(F.col("gap_reason").isNull())
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -21,10 +21,12 @@ from riskloom.session import shared_folder, stage
 FILE_BYTES = 128 << 20
 #: Bytes read from an archive at a time.
 CHUNK = 1 << 20
-#: Longest header block that the reader takes for one.
+#: Longest header block and record block that the reader takes a plain record's word for; those
+#: inside a member that unpacked end with it at the latest.
 HEADER_BYTES = 64 << 10
-#: Longest record block that the reader takes a length's word for.
 RECORD_BYTES = 1 << 30
+#: Longest unpacked member: a row's html and its escaped url have 2 GiB and 6 GiB at most.
+MEMBER_BYTES = 9 << 30
 VERSIONS = (b"WARC/1.1\r\n", b"WARC/1.0\r\n")
 MEMBER = b"\x1f\x8b\x08"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,9 +137,9 @@ def _member(window: _Window, offset: int) -> tuple[bytes, int]:
             step = min(2 * step, CHUNK)
             if not piece:
                 raise Damaged("member cut short")
-            out.append(unpacker.decompress(piece, RECORD_BYTES))
+            out.append(unpacker.decompress(piece, MEMBER_BYTES))
             size += len(out[-1])
-            if size > RECORD_BYTES + HEADER_BYTES or unpacker.unconsumed_tail:
+            if size > MEMBER_BYTES or unpacker.unconsumed_tail:
                 raise Damaged("member too long")
             at += len(piece) - len(unpacker.unused_data)
     except zlib.error as error:
@@ -155,19 +157,28 @@ def _headers(block: bytes) -> dict[str, str]:
     return found
 
 
-def _parse(get: Callable[[int, int], bytes], offset: int) -> tuple[Record, int]:
-    """The record at an offset, with its version, lengths and digests checked, and its end."""
+def _parse(get: Callable[[int, int], bytes], offset: int, member: bytes | None = None) -> tuple[Record, int]:
+    """The record at an offset, with its version, lengths and digests checked, and its end.
+
+    In an unpacked ``member`` the header and the block may be as long as the member.
+    """
     version = get(offset, len(VERSIONS[0]))
     if version not in VERSIONS:
         raise Damaged("no version line")
-    size = 1024
-    while (end := (head := get(offset, size)).find(b"\r\n\r\n")) < 0:
-        if len(head) < size or size > HEADER_BYTES:
+    if member is not None:
+        end = member.find(b"\r\n\r\n", offset) - offset
+        if end < 0:
             raise Damaged("header without an end")
-        size *= 4
+        head = member[offset : offset + end]
+    else:
+        size = 1024
+        while (end := (head := get(offset, size)).find(b"\r\n\r\n")) < 0:
+            if len(head) < size or size > HEADER_BYTES:
+                raise Damaged("header without an end")
+            size *= 4
     headers = _headers(head[len(version) : end])
     length = headers.get("content-length", "")
-    if not length.isdigit() or int(length) > RECORD_BYTES:
+    if not length.isdigit() or int(length) > (RECORD_BYTES if member is None else len(member)):
         raise Damaged("no usable length")
     start, stop = offset + end + 4, offset + end + 4 + int(length)
     block = get(start, int(length))
@@ -202,7 +213,7 @@ def _records_at(window: _Window, offset: int) -> tuple[list[Record], int, Gap |
     records, at, hurt = [], 0, None
     while at < len(data):
         try:
-            record, at = _parse(lambda i, n: data[i : i + n], at)
+            record, at = _parse(lambda i, n: data[i : i + n], at, data)
         except Damaged as reason:
             # the member unpacked, so what follows the damage in it is searched as well
             found = [i for v in VERSIONS if (i := data.find(v, at + 1)) >= 0]
@@ -342,9 +353,12 @@ def write_archives(
     return stage(rows.mapInArrow(write, "path string, records long, bytes long"), "warc-files")
 
 
-def read_archives(files: DataFrame) -> DataFrame:
+def read_archives(files: DataFrame, complete: bool = False) -> DataFrame:
     """Every valid record and every byte gap of the archives listed in column ``path``.
 
+    With ``complete`` the read fails at a file that gives another number of records than its column
+    ``records`` says.
+
     Rows: ``path, offset, page_id, url, record_type, refers_to, payload_digest, payload_bytes,
     payload, gap_end, gap_reason``; a gap has only path, offset, end and reason.  Of a revisit,
     digest and size are those of the response's full payload, and ``payload`` is null.
@@ -364,15 +378,16 @@ def read_archives(files: DataFrame) -> DataFrame:
         )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for uri in (uri for batch in batches for uri in batch.column(0).to_pylist()):
+        for uri, wanted in ((r["path"], r.get("records")) for batch in batches for r in batch.to_pylist()):
             folder, _, name = uri.rpartition("/")
             system, path = _open(folder)
-            rows, size = [], 0
+            rows, size, met = [], 0, 0
             with system.open_input_stream(f"{path}/{name}", compression=None) as file:
                 for x in salvage(file.read):
                     if isinstance(x, Gap):
                         rows.append((uri, x.start, *[None] * 7, x.end, x.reason))
                         continue
+                    met += 1
                     h, revisit = x.headers, x.headers.get("warc-type") == "revisit"
                     digest = h.get("warc-payload-digest", "").removeprefix("sha1:")
                     rows.append(
@@ -394,8 +409,10 @@ def read_archives(files: DataFrame) -> DataFrame:
                     if size > 4 * CHUNK or len(rows) >= 1000:
                         yield batch_of(rows)
                         rows, size = [], 0
+            if wanted is not None and met != wanted:
+                raise RuntimeError(f"{uri}: {met} records read of {wanted} written")
             if rows:
                 yield batch_of(rows)
 
-    each = files.select("path").repartition(partitions(files), "path")
+    each = files.select("path", *["records"] * complete).repartition(partitions(files), "path")
     return each.mapInArrow(read, schema)

@@ -42,6 +42,22 @@ def test_round_trip(spark):
     assert all(r.payload is None for r in got if r.record_type == "revisit")
 
 
+def test_long_headers(spark):
+    rows = [(1, "http://h/" + "\x01" * 100_000, "same"), (2, "http://h/" + "y" * 2_000_000, "same"), (3, "u", "other")]
+    got = {r.page_id: (r.gap_reason, r.refers_to, len(r.url or "")) for r in round_trip(spark, rows)}
+    assert got == {1: (None, None, 300_009), 2: (None, 1, 2_000_009), 3: (None, None, 1)}
+
+
+def test_records_read_are_counted(spark):
+    df = spark.createDataFrame([(i, "u", f"page {i}", "x", 1, 2) for i in range(6)], SCHEMA).coalesce(1)
+    files = warc.write_archives(df)
+    assert warc.read_archives(files, complete=True).count() == 6
+    more = files.withColumn("records", files.records + 1)
+    assert warc.read_archives(more).count() == 6
+    with pytest.raises(Exception, match="6 records read of 7 written"):
+        warc.read_archives(more.coalesce(1), complete=True).collect()
+
+
 def test_small_payloads_are_never_revisits(spark):
     got = round_trip(spark, [(1, "a", "xy"), (2, "b", "xy"), (3, "c", "xyz"), (4, "d", "xyz")], least_bytes=3)
     assert {r.page_id: r.refers_to for r in got} == {1: None, 2: None, 3: None, 4: 3}
