@@ -111,6 +111,29 @@ def test_counts_and_verdicts(spark):
         assert not kept[want > 12].any() and kept[want < 4].all()
 
 
+def test_each_statistic_rejects_alone(spark):
+    r = random.Random(6)
+    line = lambda: prose(r, 12)
+    rows = [(i, "\n".join(line() for _ in range(12)), "en", "a") for i in range(300)]
+    rows.append((1000, "\n".join(["one short line"] * 10 + [line() for _ in range(10)]), "en", "a"))
+    words = prose(r, 300).split()
+    rows.append((1001, " ".join(words + words[:50]), "en", "a"))
+    text = prose(r, 300)
+    rows.append((1002, text + " " + "#" * (len(text) // 28), "en", "a"))
+    got = {x.doc_id: x for x in outliers.quality_rules(frame(spark, rows)).collect()}
+    assert not any(got[i].base_failed or got[i].kept for i in (1000, 1001, 1002))
+    assert sum(got[i].kept for i in range(300)) >= 297
+
+
+def test_few_rows_left_over_are_judged_by_the_whole_table(spark):
+    r = random.Random(8)
+    rows = [(i, prose(r, 60), "en", "a") for i in range(250)]
+    rows += [(1000, prose(r, 60), "xx", "b"), (1001, prose(r, 60) + " " + "#" * 100, "xx", "b"), (1002, "few", "xx", "c")]
+    got = {x.doc_id: x for x in outliers.quality_rules(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[1000].kept and not got[1001].kept and not got[1002].kept
+    assert got[1000].distance is not None and not got[1001].base_failed
+
+
 def test_edges(spark):
     long = prose(random.Random(3), 30_000)
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, " \n\t ", "en", None), (4, "a b\x0bc\x85d\xa0e\n\n a", "en", "a")]
