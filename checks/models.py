@@ -15,9 +15,6 @@ from riskloom.operators.ordering import time_split
 from riskloom.plans import enrich, features
 from riskloom.plans.risk import RiskEstimator, RiskModel, RiskSettings, forest_features
 
-# few rounds and shallow trees keep the check short; rows and columns are whole
-BOOST = {"max_rounds": 12, "first_rounds": 12, "patience": 4, "depth": 4, "bins": 64}
-
 
 def enriched(spark, sf_dir):
     overall, _, core = enrich.fit_stage1(txn(spark, sf_dir), COLS)
@@ -33,7 +30,7 @@ def prepared(spark, sf_dir):
     table = features.feature_table(txn(spark, sf_dir), COLS)
     split = time_split(table, COLS.time, COLS.key)
     names = features.feature_names(table, COLS)
-    return split, BoostSettings(tuple(names), COLS.label, **BOOST)
+    return split, BoostSettings(tuple(names), COLS.label)
 
 
 @query("iforest_fit")
@@ -96,7 +93,7 @@ def model_store(spark, sf_dir):
 
 
 def risk_model(rows) -> RiskModel:
-    return RiskEstimator(RiskSettings(COLS, boost=BOOST)).fit(rows)
+    return RiskEstimator(RiskSettings(COLS)).fit(rows)
 
 
 @query("fit_pipeline")

@@ -220,3 +220,11 @@ def test_unseen_cards_in_known_history(rows):
     scored = enrich.entity_scores(rows, COLS, entities)
     unseen = scored.join(entities, "cc_num", "left_anti")
     assert unseen.count() > 0 and unseen.where("user_amt_zscore <> amt").count() == 0
+
+
+def test_registered_queries_fit_by_the_defaults(spark, sf_dir):
+    from checks import models
+
+    _, settings = models.prepared(spark, sf_dir)
+    assert settings == BoostSettings(settings.features, settings.label)
+    assert (settings.max_rounds, settings.depth, settings.bins, settings.patience) == (500, 8, 256, 30)
