@@ -123,7 +123,7 @@ def held_out(doc_id):
 def _sample(
     docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str, fit_rows: int
 ) -> DataFrame:
-    """Features of at most ``fit_rows`` labelled documents, stored: ``place, toxic, slots``."""
+    """Features of at most ``fit_rows`` labelled documents, stored: ``toxic, slots``."""
     key = F.col(id_column)
     known = labels.filter(key.isNotNull() & F.col(label_column).isNotNull() & ~held_out(key))
     known = known.groupBy(key.alias("id")).agg(F.max((F.col(label_column) > 0).cast("int")).alias("toxic"))
@@ -138,13 +138,18 @@ def _sample(
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            texts = _lowered(batch, 2)
-            for i in range(batch.num_rows):  # one text's features at a time
-                slots = pa.array([features(texts[i].as_py(), hashes)], pa.list_(pa.int64()))
-                columns = [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), slots]
-                yield pa.RecordBatch.from_arrays(columns, ["place", "toxic", "slots"])
-
-    described = single.select("place", "toxic", "text").mapInArrow(describe, "place long, toxic int, slots array<long>")
+            found, first, held = [], 0, 0
+            for i, text in enumerate(_lowered(batch, 1)):
+                found.append(features(text.as_py(), hashes).astype(np.int32))
+                held += len(found[-1])
+                if held < SLOTS and i + 1 < batch.num_rows:
+                    continue
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                slots = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(found)), slots], ["toxic", "slots"])
+                found, first, held = [], i + 1, 0
+
+    described = single.select("toxic", "text").mapInArrow(describe, "toxic int, slots array<int>")
     return stage(described, "toxicity-features")
 
 
@@ -158,23 +163,24 @@ def fit(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Slots with a weight, their weights, and the bias.
 
-    Each pass streams the sample, in an order by hash, through one task; ``fit_rows`` bounds it.
+    Each pass streams the stored sample through one task, in the order of its files, which hashes
+    dealt; ``fit_rows`` bounds it.
     Without usable labels there are no weights and the bias is 0.
     """
     sample = _sample(docs, labels, id_column, text_column, label_column, fit_rows)
-    ordered = sample.repartition(1).sortWithinPartitions("place")
+    whole = sample.coalesce(1)
     state = None
     for _ in range(EPOCHS):
 
         def learn(batches: Iterator[pa.RecordBatch], start: bytes | None = state) -> Iterator[pa.RecordBatch]:
             learner = Learner(start)
             for batch in batches:
-                for toxic, slots in zip(batch.column(1).to_pylist(), batch.column(2)):
+                for toxic, slots in zip(batch.column(0).to_pylist(), batch.column(1)):
                     learner.learn(slots.values.to_numpy(), toxic)
             yield pa.RecordBatch.from_arrays([pa.array([learner.sums.tobytes()])], ["state"])
 
         # a single row, of a size set by SLOTS; none without a sample
-        found = ordered.mapInArrow(learn, "state binary").collect()
+        found = whole.mapInArrow(learn, "state binary").collect()
         state = bytes(found[0]["state"]) if found else None
     if state is None:
         return np.zeros(0, np.int64), np.zeros(0), 0.0
