@@ -3,13 +3,14 @@ rows per tree, differences after a reload, the statistics and the report of the
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks import txn as b
+from checks.preparation import SPLIT_SQL
 from checks.registry import query, rounded
 from checks.statistics import STAGE1, scratch, stage1_sql
 from checks.txn import COLS, known, txn
-from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel, BoostSettings
+from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel, BoostSettings, early_stop
 from riskloom.operators.isolation import ForestSettings, IsolationForest, IsolationForestModel
 from riskloom.operators.ordering import time_split
 from riskloom.plans import enrich, features
@@ -92,6 +93,75 @@ def model_store(spark, sf_dir):
     return both.withColumn("nodes", nodes.agg(F.count("*").alias("nodes")).scalar())
 
 
+@query(
+    "boost_rounds",
+    f"""SELECT count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'val') AS val_rows,
+      round(CAST(count(*) FILTER (WHERE is_fraud = 0 AND split = 'train') AS DOUBLE)
+        / count(*) FILTER (WHERE is_fraud = 1 AND split = 'train'), 6) AS weight,
+      0 AS rises, 0 AS missing_rounds, 0 AS weak_splits, 0 AS light_sides, 0 AS late_rounds FROM ({SPLIT_SQL})""",
+)
+def boost_rounds(spark, sf_dir):
+    """What holds of any fit by rounds: the rows and weight it saw, a loss that falls with every tree,
+    a tree per round, no split below its bounds, and no round after the stop."""
+    table, settings = prepared(spark, sf_dir)
+    model = BoostedTrees(settings).fit(table)
+    before = F.lag("objective").over(Window.orderBy("round"))  # a row per round
+    curve = model.curve.withColumn("rise", (F.col("objective") > before).cast("int"))
+    stop = early_stop(model.curve, settings.patience)
+    split, inner = F.col("split"), F.col("feature") >= 0
+    line = table.agg(F.count_if(split == "train").alias("train_rows"), F.count_if(split == "val").alias("val_rows"))
+    trees = model.nodes.agg(F.count_distinct("tree")).scalar()
+    return rounded(
+        line.withColumns(
+            {
+                "weight": F.lit(model.weight),
+                "rises": curve.agg(F.coalesce(F.sum("rise"), F.lit(0))).scalar(),
+                "missing_rounds": F.lit(model.rounds) - trees,
+                "weak_splits": model.nodes.agg(F.count_if(inner & (F.col("gain") < settings.min_gain))).scalar(),
+                "light_sides": model.nodes.agg(
+                    F.count_if((F.col("node") > 0) & (F.col("hessian") < settings.min_weight))
+                ).scalar(),
+                "late_rounds": model.curve.agg(F.max("round")).scalar() - stop.select("stop_round").scalar(),
+            }
+        )
+    )
+
+
+def difference(one, other, name: str):
+    """One row: rows met on both sides, the largest difference of their scores, and rows in range."""
+    both = one.select(COLS.key, name).join(other.withColumnRenamed(name, "_again"), COLS.key)
+    gap = F.round(F.max(F.abs(F.col(name) - F.col("_again"))), 9) + F.lit(0.0)
+    return both.agg(
+        F.count("*").alias("rows"), gap.alias("largest_difference"), F.count_if(F.col(name).between(-1, 1)).alias("within")
+    )
+
+
+@query("iforest_walk", "SELECT count(*) AS rows, 0.0 AS largest_difference, count(*) AS within FROM events")
+def iforest_walk(spark, sf_dir):
+    """Every score by the packed walk and by the node table walked in joins, some features null."""
+    rows = enriched(spark, sf_dir)
+    fitted = forest(rows)
+    some = rows.withColumn("amt", F.when(F.col("pos") % 10 != 3, F.col("amt")))
+    output = fitted.settings.output
+    return difference(fitted.transform(some), fitted.transform_by_joins(some, [COLS.key]), output)
+
+
+@query(
+    "boost_walk",
+    """SELECT count(*) AS rows, 0.0 AS largest_difference, count(*) AS within,
+      count(*) FILTER (WHERE event_id % 10 = 3) AS with_nulls FROM events""",
+)
+def boost_walk(spark, sf_dir):
+    """Every probability by the packed walk and by the node table walked in joins, some features null."""
+    table, settings = prepared(spark, sf_dir)
+    model = BoostedTrees(settings).fit(table)
+    known_ = F.col(COLS.key).cast("long") % 10 != 3
+    some = table.withColumns({f: F.when(known_, F.col(f)) for f in settings.features[:4]})
+    line = difference(model.transform(some), model.transform_by_joins(some, [COLS.key]), settings.output)
+    nulls = some.agg(F.count_if(F.col(settings.features[0]).isNull())).scalar()
+    return line.withColumn("with_nulls", nulls)
+
+
 def risk_model(rows) -> RiskModel:
     return RiskEstimator(RiskSettings(COLS)).fit(rows)
 
@@ -161,3 +231,29 @@ def score_report(spark, sf_dir):
     whole = ["rows", "frauds", "others"]
     line = line.withColumns({n: F.col(n).cast("long") for n in whole})
     return rounded(line, "prevalence_pct").withColumn("summary_rows", summary.select("rows").scalar())
+
+
+@query(
+    "score_report_twice",
+    """SELECT unnest(['auc_roc', 'avg_precision', 'f1', 'precision', 'recall']) AS metric, 0.0 AS difference""",
+)
+def score_report_twice(spark, sf_dir):
+    """The report's metrics of the scored batch less the same metrics in plain SQL over its rows."""
+    rows = txn(spark, sf_dir)
+    scored, _, report = risk_model(known(rows)).score_and_report(rows)
+    scored.createOrReplaceTempView("_scored")
+    plain = spark.sql("""WITH at AS (
+        SELECT fraud_probability AS p, sum(is_fraud) AS pos, count(*) - sum(is_fraud) AS neg
+        FROM _scored GROUP BY fraud_probability),
+      upto AS (
+        SELECT *, sum(pos) OVER w AS tp, sum(pos + neg) OVER w AS called, (sum(neg) OVER w) - neg / 2 AS above
+        FROM at WINDOW w AS (ORDER BY p DESC)),
+      flagged AS (
+        SELECT sum(is_fraud * fraud_prediction) AS tp, sum(fraud_prediction) AS called, sum(is_fraud) AS pos FROM _scored)
+      SELECT stack(5,
+        'auc_roc', 1 - (SELECT sum(pos * above) / (sum(pos) * sum(neg)) FROM upto),
+        'avg_precision', (SELECT sum(pos * tp / called) / sum(pos) FROM upto),
+        'f1', 2D * tp / (called + pos), 'precision', tp / called, 'recall', tp / pos) AS (metric, plain)
+      FROM flagged""")
+    both = report.where("section = 'metrics'").join(plain, "metric")
+    return rounded(both.select("metric", (F.col("value") - F.col("plain")).alias("difference")))

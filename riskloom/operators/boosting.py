@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskloom.operators.evaluation import roc_auc, score_curve
-from riskloom.operators.quality import class_weight, medians
-from riskloom.session import shared_folder, stage
+from riskloom.operators.quality import class_weight
+from riskloom.operators.trees import (
+    NODE_SCHEMA,
+    Gradients,
+    PackedTrees,
+    TreeSettings,
+    bin_ends,
+    binned,
+    grow,
+    node_rows,
+    stored_bins,
+    walk_by_joins,
+)
+from riskloom.session import stage
 
 SLIGHT_GAP = 0.02
 WIDE_GAP = 0.05
@@ -24,26 +33,38 @@ WIDE_GAP = 0.05
 
 @dataclass(frozen=True)
 class BoostSettings:
+    """``key`` names single rows for the draw of each round; without it a row's values do.
+
+    ``min_gain`` is the least gain of a split (gamma), ``min_weight`` the least hessian of a side.
+    ``feature_share`` of the features is drawn per tree.
+    """
+
     features: tuple[str, ...]
     label: str
     split: str = "split"
     train: str = "train"
     valid: str = "val"
     output: str = "fraud_probability"
+    key: str | None = None
     max_rounds: int = 500
     patience: int = 30
-    first_rounds: int = 64
     depth: int = 8
     step: float = 0.05
     row_share: float = 0.8
     feature_share: float = 0.8
-    min_rows: int = 5
-    min_gain: float = 0.0
+    min_weight: float = 5.0
+    min_gain: float = 0.1
+    l2: float = 1.0
     bins: int = 256
     seed: int = 42
     rounds: str = "last"
 
 
+#: Rounds after which margins are stored anew; until then tasks add the trees since.
+STORE_EVERY = 16
+CURVE_SCHEMA = "round int, train_auc double, val_auc double, train_loss double, val_loss double, objective double"
+
+
 # --- curves ----------------------------------------------------------------------------------
 
 
@@ -114,104 +135,197 @@ def overfit_gap(curve: DataFrame, stop: DataFrame) -> DataFrame:
     )
 
 
-# --- staged margins --------------------------------------------------------------------------
+# --- one pass per round ----------------------------------------------------------------------
 
 
-def leaf_values(model: GBTClassificationModel, path: str, spark: SparkSession) -> np.ndarray:
-    """Weighted value of every (tree, leaf) of a saved model, padded to a rectangle.
+def _ranked(rows: DataFrame, gradients: Gradients) -> DataFrame:
+    """Rows per (split, margin) in a task's batches: ``split, margin, pos, neg``."""
 
-    The size is bounded by ``trees * 2**depth``.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margin = gradients.margin(batch.column("_margin").to_numpy(), stored_bins(batch.column("_bins")))
+            train, label = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_train", "_label"))
+            for part in (True, False):
+                at = train == part
+                values, place = np.unique(margin[at], return_inverse=True)
+                pos = np.bincount(place, label[at], len(values)).astype(np.int64)
+                neg = np.bincount(place, 1 - label[at], len(values)).astype(np.int64)
+                columns = [pa.array(np.full(len(values), part)), *map(pa.array, (values, pos, neg))]
+                yield pa.RecordBatch.from_arrays(columns, ["train", "margin", "pos", "neg"])
+
+    return rows.select("_train", "_label", "_margin", "_bins").mapInArrow(
+        count, "train boolean, margin double, pos long, neg long"
+    )
+
+
+def _won(pos: np.ndarray, neg: np.ndarray, below: int) -> int:
+    """Twice the pairs won, a tie counting one half, among rows in order with so many below."""
+    before = np.cumsum(neg) - neg + below
+    top = float(pos.sum()) * 2.0 * float(before[-1] + neg[-1] if len(neg) else 0)
+    if top < 2.0**62:
+        return int((pos * (2 * before + neg)).sum())
+    return sum(int(p) * (2 * int(b) + int(n)) for p, b, n in zip(pos, before, neg))
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split of a sorted range: first margin, rows, pairs won inside it, and summed loss."""
+    open_: dict[bool, list] = {}
+    held = None  # the last margin's rows, which the next batch may go on with
+    for batch in batches:
+        frame = batch.to_pandas()
+        frame = pd.concat([held, frame]) if held is not None else frame
+        frame = frame.groupby(["train", "margin"], sort=True, as_index=False)[["pos", "neg"]].sum()
+        held, frame = frame.iloc[-1:], frame.iloc[:-1]
+        _tally(frame, open_)
+    if held is not None:
+        _tally(held, open_)
+    rows = [
+        {"train": k, "first": v[0], "pos": v[1], "neg": v[2], "won": str(v[3]), "loss": v[4], "weighted": v[5]}
+        for k, v in open_.items()
+    ]
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows)
+
+
+def _tally(frame: pd.DataFrame, open_: dict[bool, list]) -> None:
+    for train, part in frame.groupby("train"):
+        state = open_.setdefault(bool(train), [float(part["margin"].iloc[0]), 0, 0, 0, 0.0, 0.0])
+        margin, pos, neg = (part[c].to_numpy() for c in ("margin", "pos", "neg"))
+        state[3] += _won(pos, neg, state[2])
+        state[1] += int(pos.sum())
+        state[2] += int(neg.sum())
+        # -log p of the positives and of the negatives, without passing through p
+        state[4] += float((neg * np.logaddexp(0, margin)).sum())
+        state[5] += float((pos * np.logaddexp(0, -margin)).sum())
+
+
+def round_scores(rows: DataFrame, gradients: Gradients) -> dict[str, float]:
+    """AUC and log-loss of both splits at the margins of one round, exactly, in one pass.
+
+    Distinct margins are dealt by ranges; a range counts the pairs won inside it, and the driver
+    adds those between ranges from a row per range and split.
     """
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-    leaves = nodes.where("leftChild < 0").select("treeID", "id", "prediction").toPandas()
-    weights = model.treeWeights
-    widest = int(leaves.groupby("treeID").size().max())
-    table = np.zeros((len(weights), widest))
-    for tree, part in leaves.sort_values("id").groupby("treeID"):
-        table[tree, : len(part)] = part["prediction"].to_numpy() * weights[tree]
-    return table
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = _ranked(rows, gradients).repartitionByRange(parts, "train", "margin").sortWithinPartitions("train", "margin")
+    schema = "train boolean, first double, pos long, neg long, won string, loss double, weighted double"
+    found = ranked.mapInArrow(_tallied, schema).collect()
+    out = {}
+    for train, name in ((True, "train"), (False, "val")):
+        pos = neg = won = 0
+        loss = [0.0, 0.0]
+        for r in sorted((r for r in found if r["train"] == train), key=lambda r: r["first"]):
+            won += int(r["won"]) + 2 * r["pos"] * neg
+            pos, neg = pos + r["pos"], neg + r["neg"]
+            loss = [loss[0] + r["loss"], loss[1] + r["weighted"]]
+        out[f"{name}_auc"] = won / (2 * pos * neg) if pos and neg else None
+        out[f"{name}_loss"] = sum(loss) / (pos + neg) if pos + neg else None
+        if train:
+            total = neg + gradients.weight * pos
+            out["objective"] = (loss[0] + gradients.weight * loss[1]) / total if total else None
+    return out
+
+
+# --- the estimator ---------------------------------------------------------------------------
 
 
 class BoostedTrees(Estimator):
     """Fits on the rows of the train split and stops by AUC on the validation split.
 
-    Spark's trainer cannot stop on AUC, so rounds are trained in doubling runs: with the same
-    seed a longer run starts with the same trees, and the last run at most doubles the work.
+    Every tree is grown once, on the gradients of the margins so far.  A row's margin is a stored
+    column; one pass per round takes AUC and log-loss of both splits, and the loop ends with the
+    round that is ``patience`` rounds past the last improvement.  Rows and features are drawn per
+    tree by hashes, sums are whole numbers, so the same rows give the same trees in any layout.
+    Nulls and NaN are values of their own, with a direction learnt per split.  Rows of the two
+    splits without a label take no part.
     """
 
     def __init__(self, settings: BoostSettings):
         super().__init__()
         self.settings = settings
 
-    def _trainer(self, rounds: int) -> GBTClassifier:
-        s = self.settings
-        return GBTClassifier(
-            featuresCol="_features",
-            labelCol="_label",
-            weightCol="_weight",
-            maxIter=rounds,
-            maxDepth=s.depth,
-            stepSize=s.step,
-            subsamplingRate=s.row_share,
-            featureSubsetStrategy=str(s.feature_share),
-            minInstancesPerNode=s.min_rows,
-            minInfoGain=s.min_gain,
-            maxBins=s.bins,
-            seed=s.seed,
-            leafCol="_leaf",
-        )
-
-    def _fit(self, df: DataFrame) -> BoostedTreesModel:
+    def _prepared(self, df: DataFrame) -> tuple[DataFrame, list[np.ndarray], float]:
+        """Stored ``_key, _train, _label, _bins, _margin``; the bins' ends; the positives' weight."""
         s = self.settings
         parts = df.where(F.col(s.split).isin(s.train, s.valid) & F.col(s.label).isNotNull())
-        split = F.when(F.col(s.split) == s.train, "train").otherwise("val").alias("_split")
-        columns = [F.col(f).cast("double").alias(f) for f in s.features]
-        data = stage(
-            parts.select(*columns, F.col(s.label).cast("double").alias("_label"), split), "boost"
-        )
-        train = data.where(F.col("_split") == "train")
-        weight = class_weight(train, "_label").first()["value"]
+        values = [F.nanvl(F.col(f).cast("double"), F.lit(None)).alias(f"_x{i}") for i, f in enumerate(s.features)]
+        names = [f"_x{i}" for i in range(len(values))]
+        label = (F.col(s.label).cast("double") == 1).cast("int").alias("_label")
+        train = (F.col(s.split) == s.train).alias("_train")
+        key = F.xxhash64(s.key) if s.key else F.xxhash64(*s.features, s.label)
+        data = stage(parts.select(key.alias("_key"), train, label, *values), "boost-values")
+        fitted = data.where("_train")
+        weight = class_weight(fitted, "_label").first()["value"]
         if not weight:
             raise ValueError("the train split needs rows of both classes")
-        fill = medians(train, list(s.features))
-        data = _assembled(data, s.features, fill).withColumn(
-            "_weight", F.when(F.col("_label") == 1, weight).otherwise(1.0)
-        )
-        train = data.where(F.col("_split") == "train")
-        rounds, scored, curve = min(s.first_rounds, s.max_rounds), 0, None
-        while True:
-            booster = self._trainer(rounds).fit(train)
-            model = BoostedTreesModel(s, booster, fill, weight, rounds, rounds - 1, None)
-            # earlier rounds are the same trees, already scored
-            more = stage(model.training_curve(data, "_label", "_split", scored), "curve")
-            curve, scored = more if curve is None else curve.unionByName(more), rounds
-            stop = early_stop(curve, s.patience).first()
-            if stop["stopped"] or rounds >= s.max_rounds:
+        ends = bin_ends(fitted.select(*names), names, s.bins)
+        missing = s.bins
+
+        def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                flat = pa.array(binned(batch, names, ends, missing).ravel())
+                at = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(names))
+                kept = [batch.column(c) for c in ("_key", "_train", "_label")]
+                lists, margin = pa.ListArray.from_arrays(at, flat), pa.array(np.zeros(batch.num_rows))
+                yield pa.RecordBatch.from_arrays([*kept, lists, margin], _STORED)
+
+        return stage(data.mapInArrow(to_bins, _STORED_SCHEMA), "boost"), ends, weight
+
+    def _fit(self, df: DataFrame) -> BoostedTreesModel:
+        s = self.settings
+        data, ends, weight = self._prepared(df)
+        shape = TreeSettings(s.depth, s.step, s.l2, s.min_gain, s.min_weight)
+        drawn_features = max(1, int(s.feature_share * len(s.features)))
+        since, nodes, curve = [], [], []
+        best_round, best_score = 0, None
+        for number in range(s.max_rounds):
+            rng = np.random.default_rng([s.seed, number])
+            features = sorted(int(i) for i in rng.choice(len(s.features), drawn_features, replace=False))
+            before = Gradients(since, weight, s.bins)
+            tree = grow(data.where("_train"), before, features, (number, s.seed, s.row_share), shape)
+            since = [*since, tree]
+            nodes += node_rows(tree, number, ends)
+            after = Gradients(since, weight, s.bins)
+            scores = round_scores(data, after)
+            curve.append({"round": number, **scores})
+            # a missing score, as of a validation split without one of the classes, never improves
+            if best_score is None or (scores["val_auc"] or 0.0) > best_score:
+                best_round, best_score = number, scores["val_auc"] or 0.0
+            if number - best_round >= s.patience:
                 break
-            rounds = min(2 * rounds, s.max_rounds)
-        model.best_round = stop["best_round"]
-        model.rounds = stop["stop_round"] + 1 if s.rounds == "last" else stop["best_round"] + 1
-        model.curve = curve.where(F.col("round") <= stop["stop_round"])
-        return model
-
-
-def _assembled(df: DataFrame, features: Sequence[str], fill: dict[str, float]) -> DataFrame:
-    """Feature vector with nulls filled by the training medians."""
-    filled = [
-        F.coalesce(F.col(f).cast("double"), F.lit(fill.get(f, 0.0))).alias(f"_f{i}")
-        for i, f in enumerate(features)
-    ]
-    names = [f"_f{i}" for i in range(len(features))]
-    wide = df.select("*", *filled)
-    return VectorAssembler(inputCols=names, outputCol="_features").transform(wide).drop(*names)
+            if len(since) == STORE_EVERY:
+                data, since = stage(_with_margins(data, after), "boost"), []
+        rounds = len(curve) if s.rounds == "last" else best_round + 1
+        spark = df.sparkSession
+        # a row per round and per node: both bounded by the settings
+        names = [f.split()[0] for f in CURVE_SCHEMA.split(", ")]
+        rows = spark.createDataFrame([tuple(r[n] for n in names) for r in curve], CURVE_SCHEMA)
+        table = spark.createDataFrame([n for n in nodes if n[0] < rounds], NODE_SCHEMA)
+        return BoostedTreesModel(s, stage(table, "boost-nodes"), weight, rounds, best_round, stage(rows, "curve"))
+
+
+_STORED = ["_key", "_train", "_label", "_bins", "_margin"]
+_STORED_SCHEMA = "_key long, _train boolean, _label int, _bins array<short>, _margin double"
+
+
+def _with_margins(rows: DataFrame, gradients: Gradients) -> DataFrame:
+    """The stored rows with the trees since added to their margins."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margin = gradients.margin(batch.column("_margin").to_numpy(), stored_bins(batch.column("_bins")))
+            kept = [batch.column(c) for c in _STORED[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(margin)], _STORED)
+
+    return rows.select(*_STORED).mapInArrow(add, _STORED_SCHEMA)
 
 
 class BoostedTreesModel(Model):
+    """Scores rows by the node table; a null or NaN feature goes where its split sends them."""
+
     def __init__(
         self,
         settings: BoostSettings,
-        booster: GBTClassificationModel,
-        fill: dict[str, float],
+        nodes: DataFrame,
         weight: float,
         rounds: int,
         best_round: int,
@@ -219,76 +333,45 @@ class BoostedTreesModel(Model):
     ):
         super().__init__()
         self.settings = settings
-        self.booster = booster
-        self.fill = fill
+        self.nodes = nodes
         self.weight = weight
         self.rounds = rounds
         self.best_round = best_round
         self.curve = curve
-        self._values = None
-
-    def _leaf_values(self):
-        if self._values is None:
-            spark = SparkSession.active()
-            path = f"{shared_folder(spark).rstrip('/')}/riskloom/booster-{uuid.uuid4().hex}"
-            self.booster.write().save(path)
-            table = leaf_values(self.booster, path, spark)
-            self._values = spark.sparkContext.broadcast(table)
-        return self._values
-
-    def _leaves(self, assembled: DataFrame) -> DataFrame:
-        out = self.booster.setLeafCol("_leaf").transform(assembled)
-        return out.withColumn("_leaf", vector_to_array("_leaf")).drop(
-            "rawPrediction", "probability", "prediction"
-        )
-
-    def staged_margins(self, assembled: DataFrame, first: int = 0) -> DataFrame:
-        """Add ``_margins``: the margin after each round from ``first`` on, one array per row."""
-        values = self._leaf_values()
-
-        @F.pandas_udf("array<double>")
-        def cumulate(leaves: pd.Series) -> pd.Series:
-            index = np.stack(leaves.to_numpy()).astype(np.int64)
-            table = values.value
-            steps = table[np.arange(table.shape[0]), index]
-            return pd.Series(list(np.cumsum(steps, axis=1)[:, first:]))
-
-        return self._leaves(assembled).withColumn("_margins", cumulate("_leaf"))
-
-    def training_curve(
-        self, assembled: DataFrame, label: str, split: str, first: int = 0
-    ) -> DataFrame:
-        """AUC and log-loss of both splits for every round from ``first`` on."""
-        margins = self.staged_margins(assembled, first).select(
-            label, split, F.posexplode("_margins").alias("_place", "_margin")
-        )
-        margins = margins.withColumn("round", F.col("_place") + first)
-        return grouped_curve(margins, label, "_margin", split, "round")
+        self._packed = None
 
-    def _transform(self, df: DataFrame) -> DataFrame:
-        s = self.settings
-        assembled = _assembled(df, s.features, self.fill)
-        kept = [c for c in df.columns if c != s.output]
-        if self.rounds == self.booster.getNumTrees:
-            scored = self.booster.setLeafCol("").transform(assembled)
-            return scored.select(*kept, vector_to_array("probability")[1].alias(s.output))
-        values, rounds = self._leaf_values(), self.rounds
+    def packed(self):
+        """The trees as a broadcast; their node count is bounded by the settings."""
+        if self._packed is None:
+            trees = PackedTrees(self.nodes.toPandas(), self.rounds)
+            self._packed = self.nodes.sparkSession.sparkContext.broadcast(trees)
+        return self._packed
+
+    def margin(self) -> Column:
+        trees = self.packed()
 
         @F.pandas_udf("double")
-        def prefix(leaves: pd.Series) -> pd.Series:
-            index = np.stack(leaves.to_numpy())[:, :rounds].astype(np.int64)
-            margin = values.value[np.arange(rounds), index].sum(axis=1)
-            return pd.Series(1 / (1 + np.exp(-2 * margin)))
+        def walked(rows: pd.DataFrame) -> pd.Series:
+            return pd.Series(trees.value.margin(rows.to_numpy(dtype=float)))
+
+        return walked(F.struct(*[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(self.settings.features)]))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        kept = [c for c in df.columns if c != self.settings.output]
+        probability = 1 / (1 + F.exp(-self.margin()))
+        return df.select(*kept, probability.alias(self.settings.output))
 
-        return self._leaves(assembled).select(*kept, prefix("_leaf").alias(s.output))
+    def transform_by_joins(self, df: DataFrame, key: Sequence[str]) -> DataFrame:
+        """``key`` and the probability by walking the node table in joins, level by level."""
+        walked = walk_by_joins(df, self.nodes, key, self.settings.features, self.settings.depth, F.col("value"))
+        return walked.select(*key, (1 / (1 + F.exp(-F.col("total")))).alias(self.settings.output))
 
     def save(self, path: str) -> None:
-        spark = SparkSession.active()
-        self.booster.write().overwrite().save(f"{path}/booster")
+        spark = self.nodes.sparkSession
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
         about = {**asdict(self.settings), "features": list(self.settings.features)}
+        about = {k: v for k, v in about.items() if v is not None}
         about |= {
-            "fill_names": list(self.fill),
-            "fill_values": list(self.fill.values()),
             "weight": self.weight,
             "rounds_used": self.rounds,
             "best_round": self.best_round,
@@ -301,11 +384,9 @@ class BoostedTreesModel(Model):
     @staticmethod
     def load(spark: SparkSession, path: str) -> BoostedTreesModel:
         about = spark.read.json(f"{path}/about").first().asDict()
-        fill = dict(zip(about.pop("fill_names"), about.pop("fill_values")))
         weight, rounds, best = (about.pop(k) for k in ("weight", "rounds_used", "best_round"))
-        booster = GBTClassificationModel.load(f"{path}/booster")
         # a model without a curve is stored without one
-        curve = spark.read.parquet(f"{path}/curve") if about.pop("has_curve") else None
-        about["features"] = tuple(about["features"])
-        settings = BoostSettings(**about)
-        return BoostedTreesModel(settings, booster, fill, weight, rounds, best, curve)
+        curve = spark.read.schema(CURVE_SCHEMA).parquet(f"{path}/curve") if about.pop("has_curve") else None
+        settings = BoostSettings(**{**about, "features": tuple(about["features"])})
+        nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes")
+        return BoostedTreesModel(settings, nodes, weight, rounds, best, curve)

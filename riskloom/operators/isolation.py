@@ -17,6 +17,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskloom.operators.ordering import exact_quantiles, sample_n
+from riskloom.operators.trees import walk_by_joins
 from riskloom.session import stage
 
 NODE_SCHEMA = (
@@ -202,6 +203,18 @@ class IsolationForestModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.settings.output, self.score())
 
+    def transform_by_joins(self, df: DataFrame, key: Sequence[str]) -> DataFrame:
+        """``key`` and the score by walking the node table in joins, level by level."""
+        n = F.col("size")
+        search = 2 * (F.ln(n - 1) + float(np.euler_gamma)) - 2 * (n - 1) / n
+        length = F.col("depth") + F.when(n > 2, search).when(n == 2, 1.0).otherwise(0.0)
+        value = F.when(F.col("feature") == LEAF, length)
+        walked = walk_by_joins(df, self.nodes, key, self.settings.features, self.depth, value, missing=0.0)
+        full = float(mean_search_depth(self.tree_rows))
+        mean = F.col("total") / self.settings.trees
+        raw = -F.pow(F.lit(2.0), -mean / full) if full > 0 else F.lit(-0.5)
+        return walked.select(*key, (raw - F.lit(self.offset)).alias(self.settings.output))
+
     def save(self, path: str) -> None:
         spark = self.nodes.sparkSession
         self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")

@@ -78,7 +78,7 @@ class RiskEstimator(Estimator):
         codes = stage(fit_codes(fitted_on(core), cols, [cols.entity]), "code-map")
         built = build_features(enriched, cols, codes)
         features = tuple(feature_names(built, cols, ["split"]))
-        booster = BoostedTrees(BoostSettings(features, cols.label, **self.settings.boost)).fit(built)
+        booster = BoostedTrees(BoostSettings(features, cols.label, **{"key": cols.key, **self.settings.boost})).fit(built)
         valid = booster.transform(built.where("split = 'val'"))
         curve = score_curve(valid, cols.label, booster.settings.output)
         threshold = best_f1_threshold(curve).first()["threshold"]

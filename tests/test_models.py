@@ -2,12 +2,11 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.txn import COLS, known, txn
 from riskloom.operators import evaluation as ev
-from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel, BoostSettings, _assembled
+from riskloom.operators.boosting import BoostedTrees, BoostedTreesModel, BoostSettings, early_stop
 from riskloom.operators.isolation import ForestSettings, IsolationForest, IsolationForestModel
 from riskloom.operators.ordering import time_split
 from riskloom.plans import enrich, features
@@ -96,7 +95,7 @@ def prepared(spark, sf_dir):
 
 def settings(prepared, **changes):
     names = tuple(features.feature_names(prepared, COLS, ["split"]))
-    base = {"max_rounds": 8, "first_rounds": 4, "depth": 4, "bins": 64, "patience": 30, "step": 0.3}
+    base = {"max_rounds": 8, "depth": 4, "bins": 64, "patience": 30, "step": 0.3}
     return BoostSettings(names, COLS.label, **{**base, **changes})
 
 
@@ -112,20 +111,6 @@ def test_feature_table_is_numeric(prepared):
     assert prepared.select([F.count_if(F.col(n).isNull()) for n in names]).first() == tuple([0] * len(names))
 
 
-def test_longer_runs_start_with_the_same_trees(prepared, boosted):
-    whole = BoostedTrees(settings(prepared, first_rounds=8)).fit(prepared)
-    one = [(r["round"], r["val_auc"]) for r in boosted.curve.orderBy("round").collect()]
-    two = [(r["round"], r["val_auc"]) for r in whole.curve.orderBy("round").collect()]
-    assert len(one) == 8 and np.allclose(one, two)
-
-
-def test_margins_add_up_to_the_model(prepared, boosted):
-    assembled = _assembled(prepared, boosted.settings.features, boosted.fill)
-    margins = boosted.staged_margins(assembled).select("trans_num", F.col("_margins")[7].alias("m"))
-    raw = boosted.booster.transform(assembled).select("trans_num", vector_to_array("rawPrediction")[1].alias("r"))
-    assert margins.join(raw, "trans_num").where("abs(m - r) > 1e-9").count() == 0
-
-
 def test_booster_beats_the_amount(prepared, boosted):
     test = boosted.transform(prepared.where("split = 'test'"))
     ours = ev.roc_auc(ev.score_curve(test, COLS.label, "fraud_probability")).first()[0]
@@ -140,11 +125,13 @@ def test_curve_ends_at_the_predictions(prepared, boosted):
     assert ev.log_loss(val, COLS.label, "fraud_probability").first()[0] == pytest.approx(last["val_loss"])
 
 
-def test_stopping_early_uses_the_first_rounds_only(prepared):
-    model = BoostedTrees(settings(prepared, patience=1, max_rounds=16, first_rounds=16)).fit(prepared)
-    best = BoostedTrees(settings(prepared, patience=1, max_rounds=16, first_rounds=16, rounds="best")).fit(prepared)
-    assert best.rounds == best.best_round + 1
-    assert model.curve.count() == model.rounds
+def test_training_ends_with_the_stop(prepared):
+    model = BoostedTrees(settings(prepared, patience=1, max_rounds=16)).fit(prepared)
+    best = BoostedTrees(settings(prepared, patience=1, max_rounds=16, rounds="best")).fit(prepared)
+    assert best.rounds == best.best_round + 1 == best.nodes.select("tree").distinct().count()
+    stop = early_stop(model.curve, 1).first()
+    assert stop["stopped"] and model.rounds == model.curve.count() == stop["stop_round"] + 1 < 16
+    assert model.best_round == stop["best_round"]
     val = model.transform(prepared.where("split = 'val'"))
     last = model.curve.where(F.col("round") == model.rounds - 1).first()
     assert ev.roc_auc(ev.score_curve(val, COLS.label, "fraud_probability")).first()[0] == pytest.approx(last["val_auc"])
@@ -157,16 +144,9 @@ def test_booster_store(spark, prepared, boosted, tmp_path):
     assert boosted.transform(prepared).exceptAll(back.transform(prepared)).count() == 0
 
 
-def test_missing_values_get_the_training_median(prepared, boosted):
-    blank = prepared.limit(20).withColumn("amt_log", F.lit(None).cast("double"))
-    median = prepared.limit(20).withColumn("amt_log", F.lit(boosted.fill["amt_log"]))
-    one, two = boosted.transform(blank), boosted.transform(median)
-    assert one.select("fraud_probability").exceptAll(two.select("fraud_probability")).count() == 0
-
-
 # --- the whole flow --------------------------------------------------------------------------
 
-BOOST = {"max_rounds": 4, "first_rounds": 4, "depth": 3, "bins": 32}
+BOOST = {"max_rounds": 4, "depth": 3, "bins": 32}
 
 
 @pytest.fixture(scope="module")
