@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -94,8 +95,8 @@ def _lowered(batch: pa.RecordBatch, at: int) -> pa.Array:
 class Learner:
     """Weights of the slots and of the bias, the last entry, from sums of gradients per coordinate."""
 
-    def __init__(self, state: bytes | None = None):
-        self.sums = np.zeros((2, SLOTS + 1)) if state is None else np.frombuffer(state).reshape(2, -1).copy()
+    def __init__(self):
+        self.sums = np.zeros((2, SLOTS + 1))
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z, n = self.sums[0, at], self.sums[1, at]
@@ -163,30 +164,27 @@ def fit(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Slots with a weight, their weights, and the bias.
 
-    Each pass streams the stored sample through one task, in the order of its files, which hashes
-    dealt; ``fit_rows`` bounds it.
+    The stored sample streams through one task, pass after pass, in the order of its files, which
+    hashes dealt; ``fit_rows`` bounds it.
     Without usable labels there are no weights and the bias is 0.
     """
     sample = _sample(docs, labels, id_column, text_column, label_column, fit_rows)
-    whole = sample.coalesce(1)
-    state = None
-    for _ in range(EPOCHS):
-
-        def learn(batches: Iterator[pa.RecordBatch], start: bytes | None = state) -> Iterator[pa.RecordBatch]:
-            learner = Learner(start)
-            for batch in batches:
-                for toxic, slots in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    learner.learn(slots.values.to_numpy(), toxic)
-            yield pa.RecordBatch.from_arrays([pa.array([learner.sums.tobytes()])], ["state"])
-
-        # a single row, of a size set by SLOTS; none without a sample
-        found = whole.mapInArrow(learn, "state binary").collect()
-        state = bytes(found[0]["state"]) if found else None
-    if state is None:
-        return np.zeros(0, np.int64), np.zeros(0), 0.0
-    weights = Learner(state).weights(np.arange(SLOTS + 1))
-    used = np.flatnonzero(weights[:SLOTS])
-    return used, weights[used], float(weights[SLOTS])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = Learner()
+        for batch in batches:
+            for toxic, slots in zip(batch.column(0).to_pylist(), batch.column(1)):
+                learner.learn(slots.values.to_numpy(), toxic)
+        weights = learner.weights(np.arange(SLOTS + 1))
+        used = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["slot", "weight"])
+
+    passes = functools.reduce(DataFrame.union, [sample] * EPOCHS).coalesce(1)
+    # as many rows as slots have a weight
+    found = passes.mapInArrow(learn, "slot long, weight double").toPandas()
+    bias = found.loc[found["slot"] == SLOTS, "weight"].sum()
+    found = found[found["slot"] < SLOTS]
+    return found["slot"].to_numpy(), found["weight"].to_numpy(), float(bias)
 
 
 def classify(
