@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.operators.ordering import exact_quantiles
 from riskloom.schema import numeric_columns, string_columns
 
 IQR_REACH = 3.0
+#: Bits of the map of repeated keys that dedup_key sends to all tasks, 64 to a row.
+KEY_BITS = 1 << 26
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -184,13 +186,51 @@ def dedup_rows(df: DataFrame, position: str) -> DataFrame:
 
 
 def dedup_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keep the first row of each key.  Map tasks keep one row per key before the shuffle."""
-    rest = [c for c in df.columns if c not in key]
-    # the order columns lead the struct, so the smallest struct is the first row
-    ordered = [*order_by, *[c for c in rest if c not in order_by]]
-    ordered = [c for c in ordered if c not in key]
-    first = df.groupBy(*key).agg(F.min(F.struct(*ordered)).alias("_first"))
-    return first.select(*key, "_first.*").select(*df.columns)
+    """Keep the first row of each key; a null key is a key, and equal first rows are one.
+
+    First the keys alone are counted by their hash.  Keys met twice set bits in a map of fixed size,
+    which goes to all tasks: rows off the map are unique and stay where they are, in no shuffle and
+    no sort.  Only the others, the repeats and what the map's size confuses with them, are ranked by
+    key; map tasks drop all but their first row of a key, so a key with any number of rows is fine.
+    ``df`` is read three times, of which once for its key only, so store it if it is not a table.
+    """
+    bits = F.broadcast(_repeated(df, key))
+    names = dict(zip(("_word", "_bits", "_place"), _unused(df, 3)))
+    hashed = df.withColumn(names["_word"], _word(key)).join(bits.withColumnsRenamed(names), names["_word"], "left")
+    repeated = F.coalesce(F.getbit(names["_bits"], _bit(key)) == 1, F.lit(False))
+    unique = hashed.where(~repeated).select(*df.columns)
+    sortable = {f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))}
+    # the other columns settle rows that come first together
+    ordered = dict.fromkeys([*order_by, *[c for c in df.columns if c in sortable]])
+    first = Window.partitionBy(*key).orderBy(*[c for c in ordered if c not in key] or [F.lit(0)])
+    ranked = hashed.where(repeated).withColumn(names["_place"], F.row_number().over(first))
+    return unique.unionByName(ranked.where(F.col(names["_place"]) == 1).select(*df.columns))
+
+
+def _unused(df: DataFrame, n: int) -> list[str]:
+    """Names that no column of the table has."""
+    taken, found, i = {c.lower() for c in df.columns}, [], 0
+    while len(found) < n:
+        name, i = f"_dedup_{i}", i + 1
+        if name not in taken:
+            found.append(name)
+    return found
+
+
+def _word(key: Sequence[str]) -> Column:
+    return F.shiftright(F.pmod(F.xxhash64(*key), F.lit(KEY_BITS)), 6)
+
+
+def _bit(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(64)).cast("int")
+
+
+def _repeated(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows ``(_word, _bits)``, at most KEY_BITS / 64: the bits of the hashes of keys met twice."""
+    counted = df.groupBy(F.xxhash64(*key).alias("_hash")).agg(F.count("*").alias("_n")).where("_n > 1")
+    slot = F.pmod("_hash", F.lit(KEY_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_hash", F.lit(64)).cast("int"))
+    return counted.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(one).alias("_bits"))
 
 
 # --- class balance ---------------------------------------------------------------------------

@@ -82,7 +82,8 @@ def entity_profile(
         F.count("*").alias(PROFILE_ROWS),
     )
     counts = daily_count(df, entity, time) if counts is None else counts
-    velocity = velocity_profile(counts, entity)
+    # rows without a time have no daily count
+    velocity = velocity_profile(counts.where(F.col("date").isNotNull()), entity)
     profile = amounts.join(velocity, entity, "left")
     return fill_defaults(profile, dict.fromkeys(PROFILE_STDS, 1.0)).select(
         entity, *PROFILE_COLUMNS, PROFILE_ROWS
@@ -121,15 +122,18 @@ def with_entity_state(
     # a day no row has stands for no day, as a join matches no null
     no_day = F.lit("0001-01-01").cast("date")
     counts = counts.select(entity, F.coalesce("date", no_day).alias("_day"), COUNT)
-    undated = profile.select(entity, no_day.alias("_day"), F.lit(None).cast("long").alias(COUNT))
-    counts = counts.where(F.col("_day") != no_day).unionByName(undated)
+    # such a line weighs as much as its entity, all of whose rows may lack a time
+    undated = profile.select(
+        entity, no_day.alias("_day"), F.lit(None).cast("long").alias(COUNT), F.col(PROFILE_ROWS).alias("_weight")
+    )
+    counts = counts.where(F.col("_day") != no_day).withColumn("_weight", F.col(COUNT)).unionByName(undated)
     counts = counts.join(profile, entity, "left")
     values = [COUNT, *PROFILE_COLUMNS]
     if rows_as:
         counts = counts.withColumn(rows_as, F.col(PROFILE_ROWS))
         values.append(rows_as)
     dated = df.withColumn("_day", F.coalesce(F.to_date(time), no_day))
-    joined = spread_lookup(dated, counts, [entity, "_day"], values, weight=COUNT).drop("_day")
+    joined = spread_lookup(dated, counts, [entity, "_day"], values, weight="_weight").drop("_day")
     # after the join, so that rows whose key found no line are filled as well
     joined = fill_defaults(joined, unseen_defaults() if unseen is None else unseen)
     return fill_defaults(joined, {rows_as: 0}) if rows_as else joined
