@@ -16,6 +16,10 @@ MOST_BINS = 32_768
 FEW_RANGES = 8
 PIVOTS = 32
 ROW_BITS = 33
+#: Size of the quantile sketches, tasks' groups in which they first meet, and most values to read.
+SKETCH_K = 16_384
+SKETCH_GROUPS = 64
+SKETCH_VALUES = 200_000
 
 
 # --- positions -------------------------------------------------------------------------------
@@ -215,16 +219,178 @@ def extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
     return {**found, "*": (row["all"], None, None)}
 
 
+def sketched_extents(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, tuple], DataFrame]:
+    """Extents of the columns and a stored row of their sketches, from one pass."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    group, parts, wholes, known = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"), [], [], {}
+    for i, c in enumerate(columns):
+        parts += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
+        wholes += [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"l{i}").alias(f"l{i}"), F.max(f"h{i}").alias(f"h{i}")]
+        number = _number(F.col(c), kinds[c])
+        if number is not None:
+            parts.append(F.kll_sketch_agg_double(number, F.lit(SKETCH_K)).alias(f"s{i}"))
+            wholes.append(F.kll_merge_agg_double(f"s{i}", F.lit(SKETCH_K)).alias(f"s{i}"))
+    every = df.groupBy(group).agg(*parts, F.count("*").alias("all"))
+    row = stage(every.agg(*wholes, F.sum("all").alias("all")), "extents")
+    found = row.select(*[x for x in row.columns if x[0] != "s"]).first()
+    for i, c in enumerate(columns):
+        known[c] = (found[f"n{i}"] or 0, found[f"l{i}"], found[f"h{i}"])
+    known["*"] = (found["all"] or 0, None, None)
+    return known, row.select(*[F.col(f"s{i}").alias(c) for i, c in enumerate(columns) if f"s{i}" in row.columns])
+
+
+# --- sketches that seed the selection --------------------------------------------------------
+
+
+def rank_error() -> float:
+    """Share of the rows by which a sketch's rank may be off, with a margin of three."""
+    return 3 * 2.296 / SKETCH_K**0.9021
+
+
+@dataclass
+class _Bracket:
+    """A range of numbers that should hold the ranks of some targets of one column."""
+
+    targets: list[_Target]
+    low: float
+    high: float
+    share: float = 1.0
+    below: int = 0
+
+    def number(self) -> Column:
+        return _number(F.col(self.targets[0].column), self.targets[0].kind)
+
+    def inside(self) -> Column:
+        return self.number().between(F.lit(self.low), F.lit(self.high))
+
+
+def _quantiles(sketch: DataFrame, wanted: Sequence[tuple[str, Sequence[float]]]) -> list[list[float]]:
+    """Values of sketched columns at shares of their rows; reads no table."""
+    found = sketch.select(
+        *[
+            F.kll_sketch_get_quantile_double(c, F.array(*[F.lit(float(x)) for x in at])).alias(f"q{i}")
+            for i, (c, at) in enumerate(wanted)
+        ]
+    )
+    return [list(x) for x in found.first()]
+
+
+def _around(targets: list[_Target], rows: int, error: float) -> list[float]:
+    """Shares that enclose the targets' ranks among so many rows."""
+    ranks = [t.rank for t in targets]
+    return [min(max((min(ranks) - 1) / rows - error, 0.0), 1.0), min(max((max(ranks) + 2) / rows + error, 0.0), 1.0)]
+
+
+def _bracketed(targets: list[_Target], sketch: DataFrame, error: float) -> list[_Bracket]:
+    """A bracket per run of targets of a column whose ranks lie within the sketch's error."""
+    runs: list[list[_Target]] = []
+    for target in sorted(targets, key=lambda t: (t.column, t.rank)):
+        last = runs[-1] if runs else None
+        if last and last[-1].column == target.column and target.rank - last[-1].rank <= 2 * error * target.rows:
+            last.append(target)
+        else:
+            runs.append([target])
+    shares = [_around(run, run[0].rows, error) for run in runs]
+    ends = _quantiles(sketch, [(run[0].column, x) for run, x in zip(runs, shares)])
+    # an end that stands for no rows outside must also hold the smallest and largest value
+    return [
+        _Bracket(run, -math.inf if x[0] == 0.0 else low, math.inf if x[1] == 1.0 else high, x[1] - x[0])
+        for run, x, (low, high) in zip(runs, shares, ends)
+    ]
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket], error: float) -> list[_Bracket]:
+    """Brackets of brackets: one pass counts the rows below each and sketches those inside."""
+    names = [f"b{i}" for i in range(len(brackets))]
+    inside = df.select(
+        *[F.when(b.inside(), b.number()).alias(n) for n, b in zip(names, brackets)],
+        *[(b.number() < b.low).alias(f"{n}_below") for n, b in zip(names, brackets)],
+    )
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    parts = inside.groupBy(group).agg(
+        *[F.kll_sketch_agg_double(n, F.lit(SKETCH_K)).alias(n) for n in names],
+        *[F.count(n).alias(f"{n}_rows") for n in names],
+        *[F.count_if(f"{n}_below").alias(f"{n}_below") for n in names],
+    )
+    merged = stage(
+        parts.agg(
+            *[F.kll_merge_agg_double(n, F.lit(SKETCH_K)).alias(n) for n in names],
+            *[F.sum(f"{n}_{x}").alias(f"{n}_{x}") for n in names for x in ("rows", "below")],
+        ),
+        "sketches",
+    )
+    row = merged.first()
+    out = []
+    for n, b in zip(names, brackets):
+        rows, below = row[f"{n}_rows"] or 0, row[f"{n}_below"] or 0
+        ranks = [t.rank - below for t in b.targets]
+        if rows == 0 or min(ranks) < 0 or max(ranks) >= rows:
+            out.append(b)  # the sketch was off; the values read will show it
+            continue
+        shares = [max((min(ranks) - 1) / rows - error, 0.0), min((max(ranks) + 2) / rows + error, 1.0)]
+        low, high = _quantiles(merged, [(n, shares)])[0]
+        low, high = b.low if shares[0] == 0.0 else low, b.high if shares[1] == 1.0 else high
+        out.append(_Bracket(b.targets, low, high, b.share * (shares[1] - shares[0])))
+    return out
+
+
+def _read_brackets(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Settle targets from one pass over the table: rows below each bracket, and its values' counts."""
+    cells = F.array(
+        *[
+            F.when(
+                b.number() <= b.high,
+                F.struct(F.lit(i).alias("b"), F.when(b.number() >= b.low, F.col(b.targets[0].column)).alias("x")),
+            )
+            for i, b in enumerate(brackets)
+        ]
+    )
+    counted = df.select(F.explode(cells).alias("_cell")).where(F.col("_cell").isNotNull()).groupBy("_cell.b", "_cell.x")
+    found: list[list[tuple]] = [[] for _ in brackets]
+    # a row per distinct value inside, of which there are few, and one for all rows below
+    for row in counted.agg(F.count("*").alias("rows")).collect():
+        found[row["b"]].append((row["x"], row["rows"]))
+    for bracket, values in zip(brackets, found):
+        below = sum(n for x, n in values if x is None)
+        inside = sorted((x, n) for x, n in values if x is not None)
+        for target in bracket.targets:
+            seen = below
+            for x, n in inside:
+                if seen <= target.rank < seen + n:
+                    target.value, target.done = x, True
+                seen += n
+
+
+def _seeded(df: DataFrame, targets: list[_Target], sketch: DataFrame) -> None:
+    """Find targets from sketched brackets: one pass, or two if a bracket holds many rows.
+
+    A target whose bracket turns out not to hold its rank stays open.
+    """
+    error = rank_error()
+    for kind in {t.kind for t in targets}:
+        brackets = _bracketed([t for t in targets if t.kind == kind], sketch, error)
+        rows = sum(b.share * b.targets[0].rows for b in brackets)
+        while rows > SKETCH_VALUES:
+            brackets = _narrowed(df, brackets, error)
+            before, rows = rows, sum(b.share * b.targets[0].rows for b in brackets)
+            if rows > before / 2:
+                break
+        _read_brackets(df, brackets)
+
+
 def select_ranks(
     df: DataFrame,
     wanted: Sequence[tuple[str, int]],
     direct_rows: int = DIRECT_ROWS,
     known: dict[str, tuple] | None = None,
+    sketch: DataFrame | None = None,
 ) -> list[object]:
     """Values at given 0-based ranks: ``wanted`` lists (column, rank), nulls not ranked.
 
-    Each round counts the open ranges by bins and keeps the bin that holds the rank, until the
-    bin has one value or few rows.  Rows are never shuffled or collected, only bin counts are.
+    With sketches of the columns, each rank is looked for in the narrow range of values that they
+    give.  Without, or where a sketch was off, each round counts the open ranges by bins and keeps
+    the bin that holds the rank, until the bin has one value or few rows.  Rows are never shuffled
+    or collected, only counts are.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     known = extents(df, list(dict.fromkeys(c for c, _ in wanted))) if known is None else known
@@ -232,6 +398,9 @@ def select_ranks(
     for target in targets:
         target.by_bins = _number(F.col(target.column), target.kind) is not None
         target.done, target.value = target.low == target.high, target.low
+    open_ = [t for t in targets if t.by_bins and not t.done]
+    if sketch is not None and open_:
+        _seeded(df, open_, sketch)
     while True:
         _read_few(df, [t for t in targets if not t.done and t.rows <= direct_rows])
         waiting = [t for t in targets if not t.done]
@@ -254,7 +423,7 @@ def exact_quantiles(
     doubles = [F.col(c).cast("double") for c in columns]
     names = [f"x{i}" for i in range(len(columns))]
     numbers = df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in zip(names, doubles)])
-    known = extents(numbers, names)
+    known, sketch = sketched_extents(numbers, names)
     wanted, places = [], []
     for x, column in zip(names, columns):
         rows = known[x][0]
@@ -262,7 +431,7 @@ def exact_quantiles(
             at = p * (rows - 1)
             places.append((column, at - math.floor(at)))
             wanted += [(x, math.floor(at)), (x, math.ceil(at))]
-    values = select_ranks(numbers, wanted, known=known)
+    values = select_ranks(numbers, wanted, known=known, sketch=sketch)
     result: dict[str, list[float | None]] = {c: [] for c in columns}
     for k, (column, share) in enumerate(places):
         below, above = values[2 * k], values[2 * k + 1]
@@ -285,13 +454,13 @@ def split_cuts(
 ) -> list[tuple[object, object] | None]:
     """The (time, key) found at position ``int(n * f)`` for every fraction; None past the end."""
     kind = df.schema[time].dataType
-    known = extents(df, [time])
+    known, sketch = sketched_extents(df, [time])
     total, timed = known["*"][0], known[time][0]
     ranks = [int(total * f) for f in fractions]
     inner = [r for r in ranks if r < timed]
     cuts: list[tuple[object, object] | None] = []
     if inner:
-        times = select_ranks(df, [(time, r) for r in inner], direct_rows, known)
+        times = select_ranks(df, [(time, r) for r in inner], direct_rows, known, sketch)
         moments = [_literal(found, kind) for found in times]
         around = []
         for moment in moments:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -153,3 +154,70 @@ def test_head_puts_nulls_last(spark):
 
 def test_head(tied):
     assert [r["n"] for r in ordering.head_n(tied, ["n"], 3).collect()] == [0, 1, 2]
+
+
+# --- sketches --------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def passes(monkeypatch):
+    """Names of the passes over the table that follow the sketch."""
+    made = []
+    for name in ("_read_brackets", "_narrowed", "_histograms", "_read_few"):
+        plain = getattr(ordering, name)
+
+        def counted(df, targets, *rest, plain=plain, name=name):
+            if targets:
+                made.append(name)
+            return plain(df, targets, *rest)
+
+        monkeypatch.setattr(ordering, name, counted)
+    return made
+
+
+@pytest.mark.parametrize("values, bound", [(200_000, 1), (5_000, 2)])
+def test_sketched_quantiles_take_two_passes(spark, monkeypatch, passes, values, bound):
+    """Smooth, tied, bunched and infinite values, nulls and NaN; the same values as by NumPy."""
+    monkeypatch.setattr(ordering, "SKETCH_K", 512)
+    monkeypatch.setattr(ordering, "SKETCH_VALUES", values)
+    rng = np.random.default_rng(9)
+    n = 40_000
+    columns = {
+        "smooth": rng.normal(size=n),
+        "tied": rng.integers(0, 5, n).astype(float),
+        "bunched": np.where(rng.random(n) < 0.5, 1e12, rng.random(n)),
+        "ends": np.where(rng.random(n) < 0.1, -np.inf, np.where(rng.random(n) < 0.1, np.inf, rng.random(n))),
+        "holes": np.where(rng.random(n) < 0.4, np.nan, rng.random(n)),
+    }
+    df = spark.createDataFrame(pd.DataFrame(columns)).repartition(6)
+    shares = {c: [0.0, 0.01, 0.25, 0.5, 0.99, 1.0] for c in columns}
+    shares["ends"] = [0.25, 0.5, 0.75]
+    found = ordering.exact_quantiles(df, shares)
+    for c, values_ in columns.items():
+        known = values_[~np.isnan(values_)]
+        assert np.allclose(found[c], np.quantile(known, shares[c]), rtol=1e-12, atol=0), c
+    assert len(passes) <= bound and "_histograms" not in passes
+
+
+def test_a_sketch_that_is_off(spark, monkeypatch, passes):
+    """Brackets without the rank are found out, and the ranks are looked for by bins."""
+    monkeypatch.setattr(ordering, "_quantiles", lambda sketch, wanted: [[0.5, 0.5 + 1e-9] for _ in wanted])
+    df = spark.range(20_000).select((F.col("id") / 20_000.0).alias("x"))
+    found = ordering.exact_quantiles(df, {"x": [0.1, 0.9]})["x"]
+    assert found == pytest.approx(np.quantile(np.arange(20_000) / 20_000, [0.1, 0.9]).tolist())
+    assert "_histograms" in passes
+
+
+def test_ranks_of_whole_numbers_and_times(spark):
+    """Numbers that doubles cannot tell apart, and times within one second."""
+    rows = [(2**60 + i, dt.datetime(2024, 1, 1, 0, 0, i // 400, i % 400)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "v long, t timestamp_ntz").repartition(3)
+    known, sketch = ordering.sketched_extents(df, ["v", "t"])
+    found = ordering.select_ranks(df, [("v", 777), ("t", 1234), ("v", 0), ("t", 1999)], 5, known, sketch)
+    assert found == [2**60 + 777, rows[1234][1], 2**60, rows[1999][1]]
+
+
+def test_sketches_of_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert ordering.exact_quantiles(df, {"a": [0.5], "b": [0.5]}) == {"a": [None], "b": [1.5]}
+    assert ordering.exact_quantiles(df.limit(0), {"b": [0.5]}) == {"b": [None]}
