@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.operators.lookup import BROADCAST_ROWS, spread_lookup
+from riskloom.operators.lookup import BROADCAST_ROWS, frequent_values, spread_lookup
 from riskloom.operators.ordering import global_position
 from riskloom.session import stage
 
@@ -76,9 +76,12 @@ def apply_codes(
     """Add codes (unseen -1) and frequencies (unseen 0); the dicts map column to new name.
 
     Each column's map is broadcast only if it was measured small; a larger one joins by shuffle
-    with hot values spread.
+    with hot values spread: those frequent where the map was fitted, and those frequent in this
+    batch, which the map may not know.  The latter come from one pass over the columns concerned.
     """
     sizes = map_sizes(codes) if sizes is None else sizes
+    large = [c for c in {**label_columns, **freq_columns} if sizes.get(c, 0) > broadcast_rows]
+    frequent = frequent_values(df.select(*[F.col(c).cast("string").alias(c) for c in large]), large)
     jobs = [(c, "code", out, UNSEEN_CODE) for c, out in label_columns.items()]
     jobs += [(c, "freq", out, UNSEEN_FREQ) for c, out in freq_columns.items()]
     for column, kind, out, unseen in jobs:
@@ -96,8 +99,9 @@ def apply_codes(
         else:
             # the map has the counts, so the rows so far are not read to find hot values; null,
             # whose frequency is 0 by definition, is settled as if hot
+            hot = df.sparkSession.createDataFrame([(f"={v}",) for v in frequent[column]], "_value string")
             joined = spread_lookup(
-                marked, dim, ["_value"], ["_found"], weight="_weight", always="_always"
+                marked, dim, ["_value"], ["_found"], weight="_weight", always="_always", also=hot
             )
         found = F.coalesce("_found", F.lit(unseen).cast("long"))
         kept = [c for c in df.columns if c != out]

@@ -38,11 +38,13 @@ def spread_lookup(
     weight: str | None = None,
     share: float = HOT_SHARE,
     always: str | None = None,
+    also: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``values`` of ``dim`` (unique on ``on``) to ``df``.
 
     ``weight`` names a column of ``dim`` that counts the rows of ``df`` per key; without it the
-    keys of ``df`` are counted.  ``always`` names one that marks keys, a handful, to take as hot.
+    keys of ``df`` are counted.  ``always`` names one that marks keys, a handful, to take as hot;
+    ``also`` holds further hot keys, a handful, which ``dim`` may lack.
     """
     on = list(on)
     payload = F.struct(*values)
@@ -52,6 +54,11 @@ def spread_lookup(
         if always:
             over = over | F.col(always)
         hot = dim.where(over).select(*on, payload.alias("_hot"))
+        if also is not None:
+            more = also.select(*on).distinct().join(F.broadcast(hot.select(*on)), on, "left_anti")
+            # a key that the keyed table lacks is settled as well
+            met = dim.join(F.broadcast(more), on, "left_semi").select(*on, payload.alias("_hot"))
+            hot = hot.unionByName(more.join(F.broadcast(met), on, "left"))
     else:
         counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
         keys = hot_keys(counts, on, "_rows", share)
@@ -76,6 +83,24 @@ def spread_lookup(
     return joined.select(*df.columns, *[F.col(f"_value.{name}").alias(name) for name in values])
 
 
+def frequent_values(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
+    """Per column the values that may hold more than a share of the rows, from one small summary.
+
+    A frequent-items sketch counts in fixed space and never too low by more than a small part of
+    the share, so no value above it is missed; at most ``1/share`` values come back per column.
+    Nulls count as no value.
+    """
+    if not columns:
+        return {}
+    most = round(1 / share)
+    tops = [F.call_function("approx_top_k", c, F.lit(most), F.lit(40 * most)).alias(f"t{i}") for i, c in enumerate(columns)]
+    row = df.agg(F.count("*").alias("rows"), *tops).first()
+    least = share * row["rows"] / 2
+    return {
+        c: [x["item"] for x in row[f"t{i}"] or [] if x["item"] is not None and x["count"] > least] for i, c in enumerate(columns)
+    }
+
+
 def is_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a table has at most ``rows`` rows; for a stored table the count is in the footers."""
     return dim.count() <= rows

@@ -187,3 +187,72 @@ def test_class_counts_with_one_class(spark):
     row = quality.class_counts(spark.createDataFrame([(0,), (0,)], "y int"), "y").first()
     assert (row["total"], row["fraud"], row["imbalance_ratio"]) == (2, 0, None)
     assert quality.class_weight(spark.createDataFrame([(0,)], "y int"), "y").first()["value"] is None
+
+
+# --- hot values and entities that the fitted table did not show --------------------------------
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """16 partitions that nothing merges, splits or broadcasts away."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def widest(df):
+    """Share of the rows in the fullest partition."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_new_hot_value_is_spread(spark, plain_shuffles, known):
+    """A merchant with a third of the batch, rare in the fitted table or unseen."""
+    fitted = spark.range(5000).select(F.concat(F.lit("m"), F.col("id")).alias("m"), F.col("id").alias("at"))
+    if known:
+        fitted = fitted.union(spark.createDataFrame([("new", 5000)], "m string, at long"))
+    codes = encoding.code_map(fitted, ["m"], [], "at").cache()
+    batch = spark.range(0, 12_000, 1, 16).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "new").otherwise(F.concat(F.lit("m"), F.col("id") % 6000)).alias("m")
+    )
+    coded = encoding.apply_codes(batch, codes, {"m": "code"}, {}, broadcast_rows=0)
+    want = batch.join(F.broadcast(codes.select(F.col("value").alias("m"), F.col("code").alias("want"))), "m", "left")
+    both = coded.join(want, "id")
+    assert both.count() == 12_000
+    assert both.where("code <> coalesce(want, -1)").count() == 0
+    assert widest(coded) < 0.15
+
+
+def test_frequent_values(spark):
+    df = spark.range(10_000).select(
+        F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), "id")).alias("a"),
+        F.concat(F.lit("x"), F.col("id") % 100).alias("b"),
+    )
+    found = lookup.frequent_values(df, ["a", "b"])
+    assert found["a"] == ["hot"] and sorted(found["b"]) == sorted(f"x{i}" for i in range(100))
+    assert lookup.frequent_values(df.limit(0), ["a"]) == {"a": []} and lookup.frequent_values(df, []) == {}
+
+
+def test_an_entity_without_times_is_spread(spark, plain_shuffles):
+    """Half of all rows are those of one card, none of which has a time."""
+    base = F.lit("2024-03-01").cast("timestamp_ntz")
+    rows = spark.range(0, 9000, 1, 16).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(100 + F.col("id") % 900).alias("card"),
+        F.when(F.col("id") % 2 == 1, base).alias("t"),
+        F.lit(2.0).alias("amt"),
+        (F.col("id") % 10).cast("double").alias("dist"),
+    )
+    profile = velocity.entity_profile(rows, "card", "t", "amt", "dist").cache()
+    joined = velocity.with_entity_state(rows, profile, "card", "t")
+    hot = joined.where("card = 7")
+    assert hot.count() == 4500 and hot.where("daily_txn_count is not null or user_mean_amt <> 2.0").count() == 0
+    assert widest(joined) < 0.2
