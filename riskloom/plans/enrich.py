@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -87,22 +87,30 @@ def fit_global(df: DataFrame, cols: TxnColumns) -> GlobalProfile:
 
 
 def fit_stage1(
-    df: DataFrame, cols: TxnColumns, scope: Column | None = None, rows_as: str | None = None
+    df: DataFrame,
+    cols: TxnColumns,
+    scope: Column | None = None,
+    rows_as: str | None = None,
+    store: Callable[[DataFrame | Callable[[], DataFrame], str], DataFrame] | None = None,
 ) -> tuple[GlobalProfile, DataFrame, DataFrame]:
     """Statistics fitted on the rows in ``scope`` (all by default).
 
     Returns the global profile, the entity profiles, and all rows with their entity scores.
-    Counts, profiles and rows are read several times, so each is written once.  NaN is null.
+    Counts, profiles and rows are read several times, so each is written once, by ``store`` if it
+    is given.  NaN is null.
     """
     df = nan_to_null(df)
-    counts = stage(daily_count(df, cols.entity, cols.time), "counts")
+    store = (lambda table, name: stage(table() if callable(table) else table, name)) if store is None else store
+    counts = store(daily_count(df, cols.entity, cols.time), "counts")
     if scope is None:
         fitted = fit_entities(df, cols, counts)
     else:
         fitted = fit_entities(df.where(scope), cols)
-    entities = stage(fitted, "entities")
-    core = stage(entity_scores(df, cols, entities, None, counts, rows_as), "core")
-    return fit_global(core if scope is None else core.where(scope), cols), entities, core
+    entities = store(fitted, "entities")
+    core = store(entity_scores(df, cols, entities, None, counts, rows_as), "core")
+    within = core if scope is None else core.where(scope)
+    overall = store(lambda: fit_global(within, cols).to_df(df.sparkSession), "overall")
+    return GlobalProfile.from_df(overall), entities, core
 
 
 def global_scores(df: DataFrame, cols: TxnColumns, overall: GlobalProfile) -> DataFrame:

@@ -17,6 +17,7 @@ from riskloom.operators.ordering import time_split
 from riskloom.operators.quality import flag_rate
 from riskloom.plans.enrich import fit_stage1, global_scores, stage1_score
 from riskloom.plans.features import build_features, clean, feature_names, fit_codes, reference_time
+from riskloom.plans.manifest import Stages, fingerprint
 from riskloom.schema import TxnColumns, nan_to_null
 from riskloom.session import stage
 from riskloom.sources.profiles import Profiles
@@ -53,37 +54,55 @@ class RiskSettings:
 
 
 class RiskEstimator(Estimator):
-    def __init__(self, settings: RiskSettings = RiskSettings()):
+    """Fits all statistics and models.
+
+    With ``folder`` every finished stage is kept there with an entry in a manifest: a fit that was
+    cut short and is started again on the same rows and settings goes on after its last stage.
+    ``stages`` tells which were written and which reused.
+    """
+
+    def __init__(self, settings: RiskSettings = RiskSettings(), folder: str | None = None):
         super().__init__()
         self.settings = settings
+        self.folder = folder
+        self.stages: Stages | None = None
 
     def _fit(self, df: DataFrame) -> RiskModel:
-        cols = self.settings.cols
+        cols, spark = self.settings.cols, df.sparkSession
+        inputs = fingerprint(df, self.settings) if self.folder else ""
+        self.stages = stages = Stages(spark, inputs, self.folder)
         # repeated rows and ids are gone before the split, so none stands on both sides of it;
         # stored once, as the cuts, the statistics and the rows are read from it
-        cleaned = stage(clean(nan_to_null(df), cols), "clean")
-        split = time_split(cleaned, cols.time, cols.key)
+        cleaned = stages.table(lambda: clean(nan_to_null(df), cols), "clean")
+        # columns that nothing reads are stored this once and come back with the result
+        unread = [c for c in cols.unused if c in cleaned.columns]
+        split = time_split(cleaned.drop(*unread), cols.time, cols.key)
         scope = None if self.settings.fit_scope == "all" else F.col("split") == "train"
         # the entity's frequency comes with its profile and needs no join of its own
-        overall, entities, core = fit_stage1(split, cols, scope, entity_freq(cols))
+        overall, entities, core = fit_stage1(split, cols, scope, entity_freq(cols), stages.table)
         enriched = global_scores(core, cols, overall)
 
         def fitted_on(rows: DataFrame) -> DataFrame:
             return rows if scope is None else rows.where(scope)
 
         forest_settings = ForestSettings(forest_features(cols), cols.key, **self.settings.forest)
-        forest = IsolationForest(forest_settings).fit(fitted_on(enriched))
-        enriched = stage(forest.transform(enriched), "enriched")
+        forest = stages.model(
+            "forest", lambda: IsolationForest(forest_settings).fit(fitted_on(enriched)), IsolationForestModel.load
+        )
+        enriched = stages.table(lambda: forest.transform(enriched), "enriched")
 
-        codes = stage(fit_codes(fitted_on(core), cols, [cols.entity]), "code-map")
+        codes = stages.table(lambda: fit_codes(fitted_on(core), cols, [cols.entity]), "code-map")
         built = build_features(enriched, cols, codes)
         features = tuple(feature_names(built, cols, ["split"]))
-        booster = BoostedTrees(BoostSettings(features, cols.label, **{"key": cols.key, **self.settings.boost})).fit(built)
+        boost_settings = BoostSettings(features, cols.label, **{"key": cols.key, **self.settings.boost})
+        booster = stages.model("booster", lambda: BoostedTrees(boost_settings).fit(built), BoostedTreesModel.load)
         valid = booster.transform(built.where("split = 'val'"))
         curve = score_curve(valid, cols.label, booster.settings.output)
         threshold = best_f1_threshold(curve).first()["threshold"]
         model = RiskModel(cols, Profiles(overall, entities, codes), forest, booster, threshold)
         model.enriched = enriched
+        if unread:
+            model.enriched = enriched.join(cleaned.select(cols.key, *unread), cols.key, "left")
         model.built = built
         return model
 
