@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskloom.schema import nan_to_null
+from riskloom.sources.layout import with_file_position
 
 QUOTING = {"quote": '"', "escape": '"'}
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -19,11 +20,13 @@ def read_csv(
     drop: Sequence[str] = (),
     time_format: str = TIME_FORMAT,
     multi_line: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
     """CSV with declared types; NaN becomes null.  A value that does not parse raises.
 
     Quotes inside a quoted field are doubled, as in most writers.  ``multi_line`` reads fields
-    with line breaks; such files cannot be split, so each is read by one task.
+    with line breaks; such files cannot be split, so each is read by one task.  ``position`` names
+    a new column that numbers the rows in file order.
     """
     df = (
         spark.read.schema(schema)
@@ -35,7 +38,8 @@ def read_csv(
         .option("timestampNTZFormat", time_format)
         .csv(path)
     )
-    return nan_to_null(df.drop(*drop))
+    df = df.drop(*drop)
+    return nan_to_null(with_file_position(df, position) if position else df)
 
 
 def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
