@@ -3,7 +3,9 @@ rows per tree, differences after a reload, the statistics and the report of the
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+import functools
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from checks import txn as b
 from checks.preparation import SPLIT_SQL
@@ -15,6 +17,23 @@ from riskloom.operators.isolation import ForestSettings, IsolationForest, Isolat
 from riskloom.operators.ordering import time_split
 from riskloom.plans import enrich, features
 from riskloom.plans.risk import RiskEstimator, RiskModel, RiskSettings, forest_features
+from riskloom.session import stage
+
+
+_fitted: dict[tuple, object] = {}
+
+
+def once(fit):
+    """Fit once per application and folder: queries that ask the same model share it."""
+
+    @functools.wraps(fit)
+    def found(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, fit.__name__)
+        if key not in _fitted:
+            _fitted[key] = fit(spark, sf_dir)
+        return _fitted[key]
+
+    return found
 
 
 def enriched(spark, sf_dir):
@@ -34,6 +53,14 @@ def prepared(spark, sf_dir):
     return split, BoostSettings(tuple(names), COLS.label)
 
 
+@once
+def boosted(spark, sf_dir) -> tuple[DataFrame, BoostSettings, BoostedTreesModel]:
+    """The split feature table, the settings, and the booster fitted by them."""
+    split, settings = prepared(spark, sf_dir)
+    split = stage(split, "prepared")
+    return split, settings, BoostedTrees(settings).fit(split)
+
+
 @query("iforest_fit")
 def iforest_fit(spark, sf_dir):
     return forest(enriched(spark, sf_dir)).nodes
@@ -59,30 +86,28 @@ def iforest_score(spark, sf_dir):
 @query("boost_fit")
 def boost_fit(spark, sf_dir):
     """The fitted rounds with their scores, and what the fit decided."""
-    table, settings = prepared(spark, sf_dir)
-    model = BoostedTrees(settings).fit(table)
+    _, _, model = boosted(spark, sf_dir)
     decided = {"weight": model.weight, "rounds": model.rounds, "best_round": model.best_round}
     return rounded(model.curve.withColumns({n: F.lit(v) for n, v in decided.items()}))
 
 
 @query("training_curve")
 def training_curve(spark, sf_dir):
-    table, settings = prepared(spark, sf_dir)
-    return rounded(BoostedTrees(settings).fit(table).curve)
+    return rounded(boosted(spark, sf_dir)[2].curve)
 
 
 @query("boost_predict")
 def boost_predict(spark, sf_dir):
-    table, settings = prepared(spark, sf_dir)
-    scored = BoostedTrees(settings).fit(table).transform(table)
+    table, settings, model = boosted(spark, sf_dir)
+    scored = model.transform(table)
     return scored.select(COLS.key, "split", COLS.label, settings.output)
 
 
 @query("model_store")
 def model_store(spark, sf_dir):
     """Scores by the fitted models and by the same models saved and loaded."""
-    table, settings = prepared(spark, sf_dir)
-    grown, booster = forest(enriched(spark, sf_dir)), BoostedTrees(settings).fit(table)
+    table, settings, booster = boosted(spark, sf_dir)
+    grown = forest(enriched(spark, sf_dir))
     path = scratch(spark, "models")
     grown.save(f"{path}/forest")
     booster.save(f"{path}/booster")
@@ -103,8 +128,7 @@ def model_store(spark, sf_dir):
 def boost_rounds(spark, sf_dir):
     """What holds of any fit by rounds: the rows and weight it saw, a loss that falls with every tree,
     a tree per round, no split below its bounds, and no round after the stop."""
-    table, settings = prepared(spark, sf_dir)
-    model = BoostedTrees(settings).fit(table)
+    table, settings, model = boosted(spark, sf_dir)
     before = F.lag("objective").over(Window.orderBy("round"))  # a row per round
     curve = model.curve.withColumn("rise", (F.col("objective") > before).cast("int"))
     stop = early_stop(model.curve, settings.patience)
@@ -153,8 +177,7 @@ def iforest_walk(spark, sf_dir):
 )
 def boost_walk(spark, sf_dir):
     """Every probability by the packed walk and by the node table walked in joins, some features null."""
-    table, settings = prepared(spark, sf_dir)
-    model = BoostedTrees(settings).fit(table)
+    table, settings, model = boosted(spark, sf_dir)
     known_ = F.col(COLS.key).cast("long") % 10 != 3
     some = table.withColumns({f: F.when(known_, F.col(f)) for f in settings.features[:4]})
     line = difference(model.transform(some), model.transform_by_joins(some, [COLS.key]), settings.output)
@@ -166,10 +189,22 @@ def risk_model(rows) -> RiskModel:
     return RiskEstimator(RiskSettings(COLS)).fit(rows)
 
 
+@once
+def whole_model(spark, sf_dir) -> RiskModel:
+    """The flow fitted on every transaction."""
+    return risk_model(txn(spark, sf_dir))
+
+
+@once
+def past_model(spark, sf_dir) -> RiskModel:
+    """The flow fitted on the past."""
+    return risk_model(known(txn(spark, sf_dir)))
+
+
 @query("fit_pipeline")
 def fit_pipeline(spark, sf_dir):
     """The enriched table that the whole fit leaves behind."""
-    return risk_model(txn(spark, sf_dir)).enriched
+    return whole_model(spark, sf_dir).enriched
 
 
 @query("score_pipeline")
@@ -177,7 +212,7 @@ def score_pipeline(spark, sf_dir):
     """Fit on the past, save, load, and score every transaction."""
     rows = txn(spark, sf_dir)
     path = scratch(spark, "risk")
-    risk_model(known(rows)).save(path)
+    past_model(spark, sf_dir).save(path)
     return RiskModel.load(spark, path).transform(rows)
 
 
@@ -186,7 +221,7 @@ def models_reloaded(spark, sf_dir):
     """Scores of the fitted flow and of the flow saved and loaded, on every transaction."""
     rows = txn(spark, sf_dir)
     path = scratch(spark, "risk")
-    model = risk_model(rows)
+    model = whole_model(spark, sf_dir)
     model.save(path)
     names = ["pos", "if_anomaly_score", "fraud_probability"]
     before, after = (m.transform(rows).select(*names) for m in (model, RiskModel.load(spark, path)))
@@ -202,7 +237,7 @@ def models_reloaded(spark, sf_dir):
 @query("fitted_statistics", stage1_sql("txn"))
 def fitted_statistics(spark, sf_dir):
     """The statistics that the whole fit leaves in its table."""
-    enriched_rows = risk_model(txn(spark, sf_dir)).enriched
+    enriched_rows = whole_model(spark, sf_dir).enriched
     return rounded(enriched_rows.select("pos", "daily_txn_count", *STAGE1, "classical_outlier_flag"))
 
 
@@ -217,7 +252,7 @@ def fitted_statistics(spark, sf_dir):
 def score_report(spark, sf_dir):
     """Score every transaction with a flow fitted on the past, and report, as the label is there."""
     rows = txn(spark, sf_dir)
-    _, summary, report = risk_model(known(rows)).score_and_report(rows)
+    _, summary, report = past_model(spark, sf_dir).score_and_report(rows)
     at = {
         name: F.sum(F.when((F.col("section") == section) & F.col("metric").isin(*metrics), F.col("value")))
         for name, section, metrics in (
@@ -240,7 +275,7 @@ def score_report(spark, sf_dir):
 def score_report_twice(spark, sf_dir):
     """The report's metrics of the scored batch less the same metrics in plain SQL over its rows."""
     rows = txn(spark, sf_dir)
-    scored, _, report = risk_model(known(rows)).score_and_report(rows)
+    scored, _, report = past_model(spark, sf_dir).score_and_report(rows)
     scored.createOrReplaceTempView("_scored")
     plain = spark.sql("""WITH at AS (
         SELECT fraud_probability AS p, sum(is_fraud) AS pos, count(*) - sum(is_fraud) AS neg

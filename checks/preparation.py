@@ -42,21 +42,23 @@ def null_total(spark, sf_dir):
 
 @query(
     "impute_median",
-    b.sql("SELECT pos, coalesce(amt, (SELECT median(amt) FROM txn_nulls)) AS amt FROM txn_nulls"),
+    b.sql("SELECT * REPLACE (coalesce(amt, (SELECT median(amt) FROM txn_nulls)) AS amt) FROM txn_nulls"),
 )
 def impute_median(spark, sf_dir):
-    return quality.impute_median(txn_nulls(spark, sf_dir).select("pos", "amt"))
+    """All numeric columns of the whole table."""
+    return quality.impute_median(txn_nulls(spark, sf_dir))
 
 
 @query(
     "impute_mode",
     b.sql(
-        """SELECT pos, coalesce(state, (SELECT state FROM txn_nulls WHERE state IS NOT NULL
-        GROUP BY state ORDER BY count(*) DESC, state LIMIT 1)) AS state FROM txn_nulls"""
+        """SELECT * REPLACE (coalesce(state, (SELECT state FROM txn_nulls WHERE state IS NOT NULL
+        GROUP BY state ORDER BY count(*) DESC, state LIMIT 1)) AS state) FROM txn_nulls"""
     ),
 )
 def impute_mode(spark, sf_dir):
-    return quality.impute_mode(txn_nulls(spark, sf_dir).select("pos", "state"))
+    """All text columns of the whole table."""
+    return quality.impute_mode(txn_nulls(spark, sf_dir))
 
 
 # --- order -----------------------------------------------------------------------------------

@@ -208,16 +208,24 @@ def best_split(g: np.ndarray, h: np.ndarray, settings: TreeSettings) -> tuple |
 
 
 def _best_of(settings: TreeSettings):
-    def best(table: pa.Table) -> pa.Table:
-        packed = table.column("sums")
-        total = np.frombuffer(packed[0].as_py(), np.int64).copy()
-        for i in range(1, len(packed)):
-            total += np.frombuffer(packed[i].as_py(), np.int64)
-        found = best_split(*total.reshape(2, -1), settings)
-        node, feature = table.column("node")[0].as_py(), table.column("feature")[0].as_py()
-        # without a split the sums come back alone: the root may be a leaf
-        row = found or (None, None, None, *map(int, total.reshape(2, -1).sum(axis=1)), 0, 0)
-        return pa.Table.from_pylist([dict(zip(_NAMES, (node, feature, *row)))], _ARROW)
+    """The best split per (node, feature) of a task's sums, of which it holds its pairs' totals."""
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for pair, packed in zip(zip(*(batch.column(i).to_pylist() for i in (0, 1))), batch.column(2)):
+                sums = np.frombuffer(packed.as_buffer(), np.int64)
+                if pair in totals:
+                    totals[pair] += sums
+                else:
+                    totals[pair] = sums.copy()
+        rows = []
+        for pair, sums in totals.items():
+            both = sums.reshape(2, -1)
+            # without a split the sums come back alone: the root may be a leaf
+            found = best_split(*both, settings) or (None, None, None, *map(int, both.sum(axis=1)), 0, 0)
+            rows.append(dict(zip(_NAMES, (*pair, *found))))
+        yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
     return best
 
@@ -238,6 +246,7 @@ def grow(
     """
     tree = Tree(settings.depth)
     tree.used[0] = True
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def leaf(g: int, h: int) -> float:
         return -settings.step * (g / PARTS) / (h / PARTS + settings.l2)
@@ -249,8 +258,10 @@ def grow(
         def sums(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
             return _summed(batches, gradients, tree, level, features, draw)
 
-        parts = rows.mapInArrow(sums, _SUM_SCHEMA)
-        found = parts.groupBy("node", "feature").applyInArrow(_best_of(settings), _SPLIT_SCHEMA).collect()
+        # pairs meet in as many tasks as there is work for
+        pairs = len(features) * int(np.count_nonzero(tree.used))
+        parts = rows.mapInArrow(sums, _SUM_SCHEMA).repartition(min(tasks, pairs), "node", "feature")
+        found = parts.mapInArrow(_best_of(settings), _SPLIT_SCHEMA).collect()
         if level == 0 and found:
             first = found[0]
             g, h = first["left_g"] + first["right_g"], first["left_h"] + first["right_h"]
