@@ -54,6 +54,19 @@ def write_table(spark, sf_dir):
     )
 
 
+@query(
+    "scan_inferred",
+    """SELECT *, 'int,timestamp,int,string,double,string' AS kinds FROM events""",
+)
+def scan_inferred(spark, sf_dir):
+    """All columns of a table written and read back without a schema, and the types that were found."""
+    events, path = table(spark, sf_dir, "events"), scratch(spark, "inferred")
+    tables.write_table(events, path, "csv")
+    back = tables.read_csv_inferred(spark, path)
+    kinds = ",".join(kind for _, kind in back.dtypes)
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in events.schema.fields], F.lit(kinds).alias("kinds"))
+
+
 @query("csv_round_trip", "SELECT * FROM events")
 def csv_round_trip(spark, sf_dir):
     """All columns of a table with quotes, commas and times in its fields, written and read back."""
