@@ -25,6 +25,9 @@ AT_ONCE = 200_000
 # Fixed value: the pattern that the library's byte-level pre-tokenizer applies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Marks that may end a word; the apostrophe may belong to it.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 #: A space beside other white space; the rest of white space beyond ASCII.
 _PAIRS = ("  ", *(pair for c in "\t\n\v\f\r" for pair in (f" {c}", f"{c} ")))
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -109,6 +112,9 @@ class WordwiseEncoder:
         self.known: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
         self.kind = "H" if self.type.itemsize == 2 else "I"
+        #: Marks that the pre-tokenizer divides, as one run, from the letters before them.
+        divided = self.words is not None and self.words.findall(" a" + MARKS) == [self.lead + "a", MARKS]
+        self.marks = MARKS if divided else ""
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -125,6 +131,12 @@ class WordwiseEncoder:
             ids.byteswap()
         return ids.tobytes()
 
+    def _tail(self, marks: str) -> bytes:
+        ids = self._merged(marks)
+        if len(self.inner) < PARTS:
+            self.inner[marks] = ids
+        return ids
+
     def _learn(self, words: list[str]) -> list[str]:
         """Put the ids of words, each with its space, among the known; returns the passing ones.
 
@@ -133,14 +145,22 @@ class WordwiseEncoder:
         for keeping, as with what stands around them there are too many.
         """
         known, inner, passing, others = self.known, self.inner, [], []
-        lead, lead_shown = self.lead, self.lead.translate(_SHOWN)
+        lead, lead_shown, marks = self.lead, self.lead.translate(_SHOWN), self.marks
         for word in words:
-            if self.words is not None and _LETTERS.fullmatch(word):
-                plain = word.lower() if self.lower else word
-                if plain.isascii():  # letters that stand for themselves
-                    known[word] = self._ids(lead_shown + plain)
-                else:
-                    known[word] = self._merged(lead + plain)
+            letters = word.rstrip(marks)
+            if self.words is not None and _LETTERS.fullmatch(letters):
+                ids = known.get(letters)
+                if ids is None:
+                    plain = letters.lower() if self.lower else letters
+                    if plain.isascii():  # letters that stand for themselves
+                        ids = self._ids(lead_shown + plain)
+                    else:
+                        ids = self._merged(lead + plain)
+                    known[letters] = ids
+                if letters is not word:
+                    tail = word[len(letters) :]
+                    known[word] = ids + (inner.get(tail) or self._tail(tail))
+                    passing.append(word)
                 continue
             if self.words is None or not _LATIN.fullmatch(word):
                 others.append(word)
