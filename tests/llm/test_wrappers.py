@@ -57,13 +57,14 @@ def test_head_and_body_tags_left_out(html):
 
 
 def test_template_texts_inside_the_article(spark):
+    """Text of the article stays, also where all pages of a host have it: being equal is no mark."""
     html = "<article><div><p>{}</p></div><section><p>Thanks for reading our fine pages</p></section></article>"
     rows = [(i, "http://one/", html.format(f"story {i} goes on"), "x", 1, 2) for i in range(5)]
     rows += [(10 + i, "http://two/", html.format("a story that all share"), "x", 1, 2) for i in range(5)]
     got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert all(got[i] == f"story {i} goes on" for i in range(5))
-    # copies of one page tell nothing about its template
-    assert all("a story that all share" in got[10 + i] for i in range(5))
+    thanks = "\n\nThanks for reading our fine pages"
+    assert all(got[i] == f"story {i} goes on{thanks}" for i in range(5))
+    assert all(got[10 + i] == f"a story that all share{thanks}" for i in range(5))
 
 
 @pytest.mark.parametrize("n", [2, 3, 5])
