@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left, bisect_right
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskloom.session import stage
@@ -538,6 +542,19 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, margin: float = 1.
 # --- prefix sums -----------------------------------------------------------------------------
 
 
+def _starts(columns: list[pa.Array], rows: int) -> np.ndarray:
+    """Whether each row but the first differs from the row before in any column; nulls and NaN are equal."""
+    differs = np.zeros(max(rows - 1, 0), bool)
+    for column in columns:
+        now, last = column.slice(1), column.slice(0, max(rows - 1, 0))
+        same = pc.or_(pc.fill_null(pc.equal(now, last), False), pc.and_(pc.is_null(now), pc.is_null(last)))
+        if pa.types.is_floating(column.type):
+            nan = pc.and_(pc.fill_null(pc.is_nan(now), False), pc.fill_null(pc.is_nan(last), False))
+            same = pc.or_(same, nan)
+        differs |= ~same.to_numpy(zero_copy_only=False)
+    return differs
+
+
 def running_totals(
     df: DataFrame,
     key: str,
@@ -547,39 +564,72 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums in ascending order of a key, unique within ``group``.
 
-    ``sums`` and ``wholes`` map new columns to summed ones; wholes are sums of the whole group.
-    Null group values form a group.
+    ``sums`` and ``wholes`` map new columns to summed ones, which hold whole numbers; wholes are
+    sums of the whole group.  Null group values form a group.
 
     Rows are dealt by ranges of (group, key), so a group of any size spans as many ranges as it
-    needs; sums run within a range of a group and start at the total of its ranges before.
+    needs.  A range is summed as its sorted rows are written, the one shuffle of the rows; then
+    each row takes the total of its group's ranges before, from a table with a row per range and
+    group, which is broadcast if it is counted to be small.
     """
     group, wholes = list(group), wholes or {}
-    ranged = stage(_ranges(df, *group, key), "ranges")
+    fields = df.columns
+    schema = T.StructType(
+        [*df.schema.fields, *[T.StructField(out, T.LongType()) for out in sums], T.StructField("_part", T.IntegerType())]
+    )
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        before: pa.RecordBatch | None = None
+        carried = dict.fromkeys(sums, 0)
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            at = [fields.index(c) for c in group]
+            starts = np.flatnonzero(np.r_[True, _starts([batch.column(i) for i in at], rows)])
+            run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, rows]))
+            if before is not None:
+                ends = pa.Table.from_batches([before, batch.slice(0, 1)]).combine_chunks()
+                if _starts([ends.column(i).combine_chunks() for i in at], 2)[0]:
+                    carried = dict.fromkeys(sums, 0)
+            columns = list(batch.columns)
+            for out, name in sums.items():
+                x = batch.column(fields.index(name)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                upto = np.cumsum(x)
+                base = upto[starts] - x[starts]
+                base[0] -= carried[out]
+                total = upto - base[run]
+                carried[out] = int(total[-1])
+                columns.append(pa.array(total))
+            columns.append(pa.array(np.full(rows, part, np.int32)))
+            before = batch.slice(rows - 1, 1)
+            yield pa.RecordBatch.from_arrays(columns, [*fields, *sums, "_part"])
+
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(partitions, *group, key).sortWithinPartitions(*group, key)
+    local = stage(dealt.mapInArrow(accumulate, schema), "ranges")
     # a row per range and group
     names = list(dict.fromkeys([*sums.values(), *wholes.values()]))
-    starts = ranged.groupBy(*group, "_part").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
+    totals = local.groupBy(*group, "_part").agg(*[F.sum(n).alias(f"_in_{n}") for n in names])
     whole = Window.partitionBy(*group)
-    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select(
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
         *[F.col(c).alias(f"_group_{c}") for c in group],
         F.col("_part").alias("_start_part"),
         *[
-            F.coalesce(F.sum(f"_in_{name}").over(before), F.lit(0)).alias(f"_before_{out}")
+            F.coalesce(F.sum(f"_in_{name}").over(earlier), F.lit(0)).alias(f"_before_{out}")
             for out, name in sums.items()
         ],
         *[F.sum(f"_in_{name}").over(whole).alias(f"_whole_{out}") for out, name in wholes.items()],
     )
-    in_order = (
-        Window.partitionBy(*group, "_part")
-        .orderBy(key)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    local = ranged.withColumns({out: F.sum(name).over(in_order) for out, name in sums.items()})
+    totals = stage(totals, "range-totals")
+    totals = F.broadcast(totals) if totals.count() <= MOST_BINS else totals
     same = F.col("_part") == F.col("_start_part")
     for c in group:
         same = same & F.col(c).eqNullSafe(F.col(f"_group_{c}"))
-    return local.join(starts, same).select(
-        *df.columns,
+    return local.join(totals, same).select(
+        *fields,
         *[(F.col(out) + F.col(f"_before_{out}")).alias(out) for out in sums],
         *[F.col(f"_whole_{out}").alias(out) for out in wholes],
     )

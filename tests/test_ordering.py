@@ -221,3 +221,29 @@ def test_sketches_of_empty_columns(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     assert ordering.exact_quantiles(df, {"a": [0.5], "b": [0.5]}) == {"a": [None], "b": [1.5]}
     assert ordering.exact_quantiles(df.limit(0), {"b": [0.5]}) == {"b": [None]}
+
+
+# --- running totals --------------------------------------------------------------------------
+
+
+def test_running_totals_of_odd_groups(spark):
+    """NaN, null and text groups, many groups per batch, a group over all ranges, null summands."""
+    rows = [
+        (float("nan") if i % 5 == 0 else None if i % 5 == 1 else float(i % 700), "b" if i % 2 else None, i, None if i % 9 == 0 else i)
+        for i in range(6000)
+    ]
+    df = spark.createDataFrame(rows, "f double, s string, key long, n long").repartition(5)
+    for group in (["f", "s"], ["s"], []):
+        whole = Window.partitionBy(*group)
+        up = whole.orderBy("key")
+        near = df.withColumns({"total": F.sum(F.coalesce("n", F.lit(0))).over(up), "all": F.sum("n").over(whole)})
+        far = ordering.running_totals(df, "key", {"total": "n"}, group, {"all": "n"})
+        assert far.exceptAll(near).count() == 0 and near.exceptAll(far).count() == 0
+    assert ordering.running_totals(df.limit(0), "key", {"total": "n"}, ["s"]).count() == 0
+
+
+def test_rows_of_running_totals_move_once(spark):
+    """After the sorted rows are written only totals of ranges are exchanged, and none of it is a window of rows."""
+    df = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") % 3).alias("g"), F.lit(1).alias("one"))
+    plan = ordering.running_totals(df, "key", {"t": "one"}, ["g"], {"w": "one"})._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Window" not in plan and "Exchange hashpartitioning" not in plan
