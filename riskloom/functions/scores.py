@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+# The z-score that flags a row, and the anomaly score at which the weight is 1.
 Z_LIMIT = 3.0
 ANOMALY_PIVOT = 0.3
 

@@ -27,6 +27,7 @@ from riskloom.operators.trees import (
 )
 from riskloom.session import stage
 
+# Gaps of AUC between the splits that part the verdicts.
 SLIGHT_GAP = 0.02
 WIDE_GAP = 0.05
 
@@ -46,6 +47,7 @@ class BoostSettings:
     valid: str = "val"
     output: str = "fraud_probability"
     key: str | None = None
+    # The training parameters, from here to ``bins``.
     max_rounds: int = 500
     patience: int = 30
     depth: int = 8

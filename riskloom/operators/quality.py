@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from riskloom.operators.ordering import exact_quantiles
 from riskloom.schema import numeric_columns, string_columns
 
+# Fixed value: quartile distances beyond which a value is an outlier.
 IQR_REACH = 3.0
 #: Bits of the map of repeated keys that dedup_key sends to all tasks, 64 to a row.
 KEY_BITS = 1 << 26

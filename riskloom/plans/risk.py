@@ -27,6 +27,7 @@ PREDICTION = "fraud_prediction"
 
 
 def forest_features(cols: TxnColumns) -> tuple[str, ...]:
+    # What the forest sees, in this order.
     return (
         cols.amount,
         "distance_km",

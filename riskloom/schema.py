@@ -25,6 +25,7 @@ class TxnColumns:
     gender: str = "gender"
     population: str = "city_pop"
     label: str = "is_fraud"
+    # Which columns are coded how, and which no model reads.
     label_coded: tuple[str, ...] = ("category", "state")
     freq_coded: tuple[str, ...] = ("merchant", "job", "cc_num")
     unused: tuple[str, ...] = ("first", "last", "street", "city", "zip", "unix_time")
