@@ -21,6 +21,7 @@ HEADLINE = (
     "freq_lookup",
     "roc_auc",
     "iforest_score",
+    "boost_fit",
 )
 
 
