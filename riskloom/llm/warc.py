@@ -284,6 +284,16 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
 
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """Add the smallest page of each payload digest.
+
+    The smallest pages are stored, so that the join is one of plain exchanges and a frequent
+    payload's rows are split over tasks.
+    """
+    first = stage(rows.groupBy("sha1").agg(F.min("page").alias("first")), "warc-first")
+    return rows.join(first, "sha1")
+
+
 def write_archives(
     pages: DataFrame,
     folder: str | None = None,
@@ -298,7 +308,8 @@ def write_archives(
     ``least_bytes`` bytes, those with the smallest id are responses and the others revisit it;
     null ids come last and revisit too, or are responses where no id is known.  Smaller payloads
     are all responses.  The smallest id per payload digest comes from a sum over tasks, so a
-    payload that a third of all rows share needs no task of its own.  Each task writes files of
+    payload that a third of all rows share needs no task of its own: the sum is stored before the
+    join, in which the payload's rows can so be split.  Each task writes files of
     about ``FILE_BYTES`` under new names and only listed files are read, so tasks may run again.
     Returns ``path, records, bytes``; an empty table gives no files.
     """
@@ -312,9 +323,8 @@ def write_archives(
         html.alias("html"),
         F.sha1(html.cast("binary")).alias("sha1"),
     )
-    first = rows.groupBy("sha1").agg(F.min("page").alias("first"))
     long = F.octet_length("html") >= least_bytes
-    rows = rows.join(first, "sha1").select(
+    rows = _with_first(rows).select(
         "page",
         "url",
         "html",

@@ -7,6 +7,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.llm import warc
 
@@ -126,3 +127,29 @@ def test_damage_inside_a_member():
     a, b = records(plain=True)[:2]
     found = list(warc.salvage(io.BytesIO(warc.compress_member(a[:-30] + b)).read))
     assert [type(x).__name__ for x in found] == ["Gap", "Record"]
+
+
+def test_a_frequent_payload_is_split(spark):
+    """Half of all pages share one payload; their rows are split over tasks in the join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 4000, 1, 8).select(
+            F.col("id").alias("page"),
+            F.sha1(F.when(F.col("id") % 2 == 0, "same").otherwise(F.col("id").cast("string")).cast("binary")).alias("sha1"),
+        )
+        joined = warc._with_first(rows)
+        assert joined.filter("first = 0").count() == 2000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
