@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.session import stage
 
@@ -116,7 +116,6 @@ def features(text: str, words: list[str], s: Statistics) -> np.ndarray:
     shaped = _DIGITS.sub("9", _UPPER.sub("A", _LOWER.sub("a", text)))
     counts: dict[str, int] = {}
     for w in shaped.split():
-        w = w[:24] if len(w) > 24 else w
         counts[w] = counts.get(w, 0) + 1
     if s.repeated:
         counts["<again>"] = round(s.repeated * len(words))
@@ -186,6 +185,15 @@ class LabelModel:
         top = log - log.max(axis=1, keepdims=True)
         return np.exp(top[:, 1]) / np.exp(top).sum(axis=1)
 
+    def posterior_column(self, pattern: Column) -> Column:
+        """The same from a column of votes written as ``-01``: log odds of three votes per rule."""
+        odds = np.log(self.given[:, 1] / self.given[:, 0])
+        margin = F.lit(float(np.log(self.good / (1 - self.good))))
+        for rule, (none, bad, good) in enumerate(odds.tolist()):
+            vote = F.substring(pattern, rule + 1, 1)
+            margin = margin + F.when(vote == "1", good).when(vote == "0", bad).otherwise(none)
+        return 1 / (1 + F.exp(-margin))
+
 
 def fit_labels(patterns: np.ndarray, counts: np.ndarray) -> LabelModel:
     """Expectation-maximisation over the distinct vote patterns and how many texts have each.
@@ -281,11 +289,7 @@ def classify(
         names, counted = ["-" * RULES], [("-" * RULES, 0)]
     patterns = np.array([["-01".index(c) - 1 for c in name] for name in names])
     model = fit_labels(patterns, np.array([r[1] for r in counted], float))
-    labels = model.posterior(patterns)
-    label = F.element_at(
-        F.create_map(*[F.lit(x) for pair in zip(names, map(float, labels), strict=True) for x in pair]), F.col("pattern")
-    )
-    labelled = found.withColumn("weak_label", label)
+    labelled = found.withColumn("weak_label", model.posterior_column(F.col("pattern")))
     weights, intercept = fit_scorer(labelled, fit_rows)
     table = F.lit(weights)
     margin = F.aggregate(

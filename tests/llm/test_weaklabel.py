@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from riskloom.llm import weaklabel
 
@@ -61,3 +62,25 @@ def test_bound_on_the_sample(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = weaklabel.classify(docs, fit_rows=20).collect()
     assert len(got) == docs.count()
+
+
+def test_posterior_in_sql_is_that_of_the_model(spark):
+    """Every pattern of votes that random texts give, by brute force over the two classes."""
+    r = np.random.default_rng(2)
+    patterns = np.unique(r.integers(-1, 2, (300, weaklabel.RULES)), axis=0)
+    model = weaklabel.fit_labels(patterns, np.ones(len(patterns)))
+    rows = [("".join("-01"[v + 1] for v in p),) for p in patterns.tolist()]
+    found = spark.createDataFrame(rows, "pattern string").withColumn("p", model.posterior_column(F.col("pattern")))
+    got = {row.pattern: row.p for row in found.collect()}
+    for (name,), votes in zip(rows, patterns.tolist()):
+        bad, good = (
+            share * np.prod([model.given[rule, kind, v + 1] for rule, v in enumerate(votes)])
+            for kind, share in ((0, 1 - model.good), (1, model.good))
+        )
+        assert abs(got[name] - good / (bad + good)) < 1e-9
+
+
+def test_whole_words_have_shapes():
+    """Long words that differ after many letters differ in their features."""
+    first, second = (weaklabel.features(t, t.split(), weaklabel.statistics(t, t.split())) for t in ("a" + "-b" * 20, "a" + "-b" * 21))
+    assert (first != second).any()
