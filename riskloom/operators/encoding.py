@@ -99,7 +99,9 @@ def apply_codes(
         else:
             # the map has the counts, so the rows so far are not read to find hot values; null,
             # whose frequency is 0 by definition, is settled as if hot
-            hot = df.sparkSession.createDataFrame([(f"={v}",) for v in frequent[column]], "_value string")
+            # a handful of literals, no table of its own
+            values = F.array(*[F.lit(f"={v}") for v in frequent[column]]).cast("array<string>")
+            hot = df.sparkSession.range(1).select(F.explode(values).alias("_value"))
             joined = spread_lookup(
                 marked, dim, ["_value"], ["_found"], weight="_weight", always="_always", also=hot
             )
