@@ -31,6 +31,15 @@ def _map(folder: str, name: str, kind: str, length: int) -> np.ndarray:
         return np.frombuffer(file.read(), kind)
 
 
+def _slices(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The values between starts as bytes, on the values' own buffer.
+
+    ``pa.array`` of a list of memoryviews keeps their memory as long as the process lives.
+    """
+    offsets = pa.py_buffer((starts * values.itemsize).astype("<i4"))
+    return pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, offsets, pa.py_buffer(values)])
+
+
 def write_tokens(
     docs: DataFrame,
     tokenizer: str,
@@ -147,15 +156,13 @@ def read_tokens(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 to = max(at + 1, int(np.searchsorted(offsets, limit, side="right")) - 1)
                 starts = np.array(offsets[at : to + 1])
                 found = np.array(ids[starts[0] - row["base"] : starts[-1] - row["base"]], "<u4")
-                cut = 4 * (starts - starts[0])
-                raw = memoryview(found.tobytes())
                 known = np.array(docs[at:to])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(known, mask=known == np.iinfo(np.int64).min),
                         pa.array(starts[:-1]),
                         pa.array(np.diff(starts)),
-                        pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                        _slices(found, starts - starts[0]),
                     ],
                     names,
                 )

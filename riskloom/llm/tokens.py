@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-import sys
-from array import array
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,24 +15,18 @@ from tokenizers import Tokenizer
 #: Encoded words that a worker remembers; of more, the half first met stays, which are the most
 #: frequent ones.  Forgetting costs time only.
 REMEMBERED = 250_000
-#: Parts of other words that a worker remembers besides.
-PARTS = 30_000
+#: Characters of the longest word that is remembered, so that their number bounds the memory.
+LONGEST = 40
 #: Characters of text that are divided into words at a time.
 AT_ONCE = 200_000
 
 # Fixed value: the pattern that the library's byte-level pre-tokenizer applies.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Marks that may end a word; the apostrophe may belong to it.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
-#: A space beside other white space; the rest of white space beyond ASCII.
-_PAIRS = ("  ", *(pair for c in "\t\n\v\f\r" for pair in (f" {c}", f"{c} ")))
-_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Before a single space between two characters that are no white space.
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Printable Latin characters, on whose classes, case and composition all Unicode versions agree.
 _LATIN = re.compile("[ -~\n\xa1-\xac\xae-\u012f\u0131-\u017f]*")
-_LETTERS = re.compile("[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]+")
 _encoders: dict[str, WordwiseEncoder] = {}
 
 
@@ -48,7 +40,20 @@ def _shown() -> dict[int, str]:
 _SHOWN = _shown()
 
 
-def _pattern(normalizer: dict | None, divider: dict | None) -> tuple[regex.Pattern | None, bool]:
+def _latin_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for Latin text in ``re``, which is faster; None if it needs other classes."""
+    latin = [chr(i) for i in range(0x180) if _LATIN.fullmatch(chr(i))]
+    for name in ("L", "N"):
+        members = "".join(f"\\x{ord(x):02x}" if x < "\x80" else x for x in latin if regex.match(rf"\p{{{name}}}", x))
+        pattern = re.sub(
+            rf"(\[[^\]]*?)?\\p\{{{name}\}}",
+            lambda m, members=members: f"{m[1]}{members}" if m[1] else f"[{members}]",
+            pattern,
+        )
+    return None if "\\p" in pattern.lower() else re.compile(pattern)
+
+
+def _pattern(normalizer: dict | None, divider: dict | None) -> tuple[re.Pattern | None, bool]:
     """How the file's pre-tokenizer divides Latin text, and whether it is lower-cased first.
 
     None for a file that does anything else than normal forms, white space and case to the text,
@@ -62,21 +67,14 @@ def _pattern(normalizer: dict | None, divider: dict | None) -> tuple[regex.Patte
     parts = divider.get("pretokenizers", [divider])
     levels = [x for x in parts if x["type"] == "ByteLevel" and not x["add_prefix_space"]]
     if parts == levels and len(levels) == 1 and levels[0]["use_regex"]:
-        return regex.compile(BYTE_LEVEL), "Lowercase" in kinds
+        return _latin_pattern(BYTE_LEVEL), "Lowercase" in kinds
     if len(parts) == 2 and parts[1:] == levels and not levels[0]["use_regex"]:
         cut = parts[0]
         if cut["type"] == "Split" and cut["behavior"] == "Removed" and cut["invert"]:
-            return regex.compile(cut["pattern"]["Regex"]), "Lowercase" in kinds
+            return _latin_pattern(cut["pattern"]["Regex"]), "Lowercase" in kinds
     return None, False
 
 
-def _uneven(text: str) -> bool:
-    """Whether some space does not stand alone between two characters that are no white space."""
-    if text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _PAIRS):
-        return True
-    return not text.isascii() and _WIDE.search(text) is not None
-
-
 def id_type(path: str) -> np.dtype:
     """The narrowest unsigned type that holds the vocabulary's ids."""
     return _narrowest(Tokenizer.from_file(path))
@@ -87,13 +85,35 @@ def _narrowest(library: Tokenizer) -> np.dtype:
     return np.dtype("<u2" if size <= 65_536 else "<u4")
 
 
+class _Known(dict):
+    """Ids of words; those of a word that is not at hand are found and kept, long words' apart."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.find(word)
+        self.keep(word, ids)
+        return ids
+
+    def keep(self, word: str, ids: bytes) -> None:
+        if len(word) > LONGEST:
+            return
+        if len(self) >= REMEMBERED:
+            kept = list(islice(self.items(), REMEMBERED // 2))
+            self.clear()
+            self.update(kept)
+        self[word] = ids
+
+
 class WordwiseEncoder:
     """The library's ids for whole texts, each distinct word encoded once.
 
-    Texts are cut before a single space between two characters that are not white space.  The
-    pre-tokenizers at hand start a token there and hold no state across it, so the parts' ids, one
-    after another, are the text's; each part but the first keeps its space.  Special tokens'
-    strings in a text are ordinary text.
+    Latin text is divided by the pre-tokenizer's pattern, and its words go to the library's merging
+    directly, which saves most of the library's time.  Other text is cut before a single space
+    between two characters that are not white space.  The pre-tokenizers at hand start a token
+    there and hold no state across it, so the parts' ids, one after another, are the text's; each
+    part but the first keeps its space.  Special tokens' strings in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -107,14 +127,11 @@ class WordwiseEncoder:
             for x in (self.library.normalizer, self.library.pre_tokenizer)
         ]
         self.words, self.lower = _pattern(*parts)
-        #: What stands before a plain word in the pre-tokenizer's word for it: its space, or none.
-        self.lead = self.words.findall(" a")[0][:-1] if self.words else ""
-        self.known: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
-        self.kind = "H" if self.type.itemsize == 2 else "I"
-        #: Marks that the pre-tokenizer divides, as one run, from the letters before them.
-        divided = self.words is not None and self.words.findall(" a" + MARKS) == [self.lead + "a", MARKS]
-        self.marks = MARKS if divided else ""
+        #: By the pre-tokenizer's word for Latin text, by the part between two cuts for other text.
+        self.known = _Known(self._merged)
+        #: Each id as it is stored.
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.raw = [np.array(i, self.type).tobytes() for i in range(size)]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -122,104 +139,46 @@ class WordwiseEncoder:
 
     def _merged(self, word: str) -> bytes:
         """Ids of one word of the pre-tokenizer's, straight from the library's merging."""
-        raw = word.encode("utf-8").decode("latin-1").translate(_SHOWN)
-        return self._ids(raw)
-
-    def _ids(self, raw: str) -> bytes:
-        ids = array(self.kind, [t.id for t in self.model.tokenize(raw)])
-        if sys.byteorder != "little":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def _tail(self, marks: str) -> bytes:
-        ids = self._merged(marks)
-        if len(self.inner) < PARTS:
-            self.inner[marks] = ids
-        return ids
-
-    def _learn(self, words: list[str]) -> list[str]:
-        """Put the ids of words, each with its space, among the known; returns the passing ones.
-
-        Latin words are divided by the pre-tokenizer's pattern and go to the merging directly,
-        which saves most of the library's time; others take the whole way.  Only plain words are
-        for keeping, as with what stands around them there are too many.
-        """
-        known, inner, passing, others = self.known, self.inner, [], []
-        lead, lead_shown, marks = self.lead, self.lead.translate(_SHOWN), self.marks
-        for word in words:
-            letters = word.rstrip(marks)
-            if self.words is not None and _LETTERS.fullmatch(letters):
-                ids = known.get(letters)
-                if ids is None:
-                    plain = letters.lower() if self.lower else letters
-                    if plain.isascii():  # letters that stand for themselves
-                        ids = self._ids(lead_shown + plain)
-                    else:
-                        ids = self._merged(lead + plain)
-                    known[letters] = ids
-                if letters is not word:
-                    tail = word[len(letters) :]
-                    known[word] = ids + (inner.get(tail) or self._tail(tail))
-                    passing.append(word)
-                continue
-            if self.words is None or not _LATIN.fullmatch(word):
-                others.append(word)
-                continue
-            text = " " + (word.lower() if self.lower else word)
-            ids = []
-            for x in self.words.findall(text):
-                plain = x[1:] if x[0] == " " else x if self.lower else ""
-                if plain in known:
-                    ids.append(known[plain])
-                elif x in inner:
-                    ids.append(inner[x])
-                else:
-                    ids.append(self._merged(x))
-                    if _LETTERS.fullmatch(plain):
-                        known[plain] = ids[-1]
-                    elif len(inner) < PARTS:
-                        inner[x] = ids[-1]
-            known[word] = b"".join(ids)
-            passing.append(word)
-        known.update(zip(others, self._encode([" " + x for x in others]), strict=True))
-        return passing + others
-
-    def _head(self, word: str) -> bytes:
-        """Ids of a text's first part, which has no space before it."""
-        if self.words is None or not _LATIN.fullmatch(word):
-            return self._encode([word])[0]
-        found = self.words.findall(word.lower() if self.lower else word)
-        return b"".join([self._merged(x) for x in found])
-
-    def _part(self, texts: list[str]) -> list[bytes]:
-        parts = [[] if not t else _CUT.split(t) if _uneven(t) else t.split(" ") for t in texts]
-        wanted: set[str] = set()
-        for p in parts:
-            wanted.update(p[1:])
-        missing = list(wanted.difference(self.known))
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
-            missing = list(wanted.difference(self.known))
-        passing = self._learn(missing)
-        heads = [self._head(p[0]) if p else b"" for p in parts]
-        known = self.known.__getitem__
-        found = [head + b"".join(map(known, p[1:])) for head, p in zip(heads, parts, strict=True)]
-        for word in passing:
-            del self.known[word]
-        return found
+        if word.isascii() and word.isprintable():  # all but the space stand for themselves
+            shown = word.replace(" ", _SHOWN[0x20])
+        else:
+            shown = word.encode("utf-8").decode("latin-1").translate(_SHOWN)
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(shown)])
+
+    def _plain(self, text: str) -> bool:
+        return self.words is not None and _LATIN.fullmatch(text) is not None
+
+    def _latin(self, text: str) -> bytes:
+        words = self.words.findall(text.lower() if self.lower else text)
+        return b"".join(map(self.known.__getitem__, words))
+
+    def _other(self, text: str) -> bytes:
+        """Ids of a text that is not all Latin; its Latin parts still go the short way."""
+        runs = [(plain, list(run)) for plain, run in groupby(_CUT.split(text), self._plain)]
+        ids = {x: self.known.get(x) for plain, run in runs if not plain for x in run}
+        missing = [x for x, found in ids.items() if found is None]
+        for x, found in zip(missing, self._encode(missing), strict=True):
+            ids[x] = found
+            self.known.keep(x, found)
+        return b"".join(
+            [self._latin("".join(run)) if plain else b"".join([ids[x] for x in run]) for plain, run in runs]
+        )
+
+    def _text(self, text: str) -> bytes:
+        found, start = [], 0
+        while start < len(text):
+            cut = _CUT.search(text, start + AT_ONCE)
+            end = cut.start() if cut else len(text)
+            part = text[start:end]
+            found.append(self._latin(part) if self._plain(part) else self._other(part))
+            start = end
+        return b"".join(found)
 
     def encode(self, texts: Iterable[str | None | pa.StringScalar]) -> Iterator[np.ndarray]:
         """Ids of each text in turn; null gives none.  Arrow's texts are read as they are due."""
-        waiting: list[str] = []
-        size = 0
         for text in texts:
             text = text.as_py() if isinstance(text, pa.Scalar) else text
-            waiting.append(text or "")
-            size += len(waiting[-1])
-            if size >= AT_ONCE:
-                yield from (np.frombuffer(x, self.type) for x in self._part(waiting))
-                waiting, size = [], 0
-        yield from (np.frombuffer(x, self.type) for x in self._part(waiting))
+            yield np.frombuffer(self._text(text or ""), self.type)
 
 
 def encoder(path: str) -> WordwiseEncoder:

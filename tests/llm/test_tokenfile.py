@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from riskloom.llm import tokenfile, tokens
@@ -61,3 +63,40 @@ def test_words_one_by_one(monkeypatch):
         monkeypatch.setattr(tokens, "AT_ONCE", 5)
         assert [x.tolist() for x in own.encode(texts)] == want
         monkeypatch.undo()
+
+
+def own_memory():
+    with open("/proc/self/smaps_rollup") as file:
+        return sum(int(x.split()[1]) for x in file if x.startswith("Pss_Anon")) / 1024
+
+
+def test_ids_read_are_given_back(spark, monkeypatch):
+    # the reading function, in this process
+    found = {}
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, schema: found.setdefault("read", f))
+    folder = tempfile.mkdtemp()
+    docs, each = 2_000, 1_000
+    np.arange(docs * each).astype("<u2").tofile(f"{folder}/a.ids")
+    np.arange(docs).astype("<i8").tofile(f"{folder}/a.docs")
+    (np.arange(docs + 1) * each).astype("<i8").tofile(f"{folder}/a.offsets")
+    row = {"name": "a", "folder": folder, "docs": docs, "tokens": docs * each, "base": 0, "type": "<u2"}
+    tokenfile.read_tokens(spark.createDataFrame([row]))
+    batch = pa.RecordBatch.from_pylist([row])
+    first = next(found["read"](iter([batch])))
+    assert first.column(3)[1].as_py() == np.arange(each, 2 * each).astype("<u4").tobytes()
+    before = own_memory()
+    for _ in range(20):
+        for _ in found["read"](iter([batch])):
+            pass
+    assert own_memory() - before < 60  # of 160 MB read
+
+
+def test_words_remembered():
+    for path in (PATH, public_tokenizers.path("word_bpe_49k.json")):
+        own = tokens.WordwiseEncoder(path)
+        texts = ["a " + "b" * 1000, "c " + "日" * 1000, "one, two.\nThree; “one”, two"]
+        known = Tokenizer.from_file(path)
+        want = [x.ids for x in known.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in own.encode(texts)] == want
+        assert max(map(len, own.known)) <= 40
