@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.components import components
 from riskloom.llm.prefix import partitions
-from riskloom.session import stage
+from riskloom.session import TEXT_BYTES, stage
 
 SHINGLE = 5
 #: Registers per text, a power of two, and how many of them make a band.  At a similarity of 0.75
@@ -149,7 +149,9 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text")
     )
     return stage(
-        rows.mapInArrow(sketch, "doc long, n long, d1 long, d2 long, bands array<long>"), "minhash-sketches"
+        rows.mapInArrow(sketch, "doc long, n long, d1 long, d2 long, bands array<long>"),
+        "minhash-sketches",
+        TEXT_BYTES,
     )
 
 
@@ -307,7 +309,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "block",
         "text",
     )
-    links = stage(_verified(placed).union(repeated), "minhash-links")
+    links = stage(_verified(placed).union(repeated), "minhash-links", TEXT_BYTES)
     joined = components(links).withColumnRenamed("node", "doc")
     ids = named.select("doc", "rep").join(joined.withColumnRenamed("doc", "rep"), "rep", "left")
     ids = ids.groupBy("doc").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.prefix import PART, part_bases
 from riskloom.llm.tokens import encoder, id_type
-from riskloom.session import stage
+from riskloom.session import TEXT_BYTES, stage
 
 #: Ids of padding that are left rather than cut a document for them.
 TOLERATED = 16
@@ -188,6 +188,7 @@ def encode_documents(
             f"`{id_column}` long, ids binary, n long, class int, rank long, full_rank long, {PART} int",
         ),
         "packing-ids",
+        TEXT_BYTES,
     )
 
 

@@ -13,8 +13,8 @@ import regex
 from tokenizers import Tokenizer
 
 #: Encoded words that a worker remembers; of more, the half first met stays, which are the most
-#: frequent ones.  Forgetting costs time only.
-REMEMBERED = 750_000
+#: frequent ones.  Forgetting costs time only; a word takes some 160 bytes, as long as the worker lives.
+REMEMBERED = 250_000
 #: Characters of the longest word that is remembered, so that their number bounds the memory.
 LONGEST = 40
 #: Characters of text that are divided into words at a time.

@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.session import stage
+from riskloom.session import TEXT_BYTES, stage
 
 #: Buckets of the hashed features.
 BUCKETS = 384
@@ -167,6 +167,7 @@ def described(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
             describe, "_row long, pattern string, blank boolean, at array<int>, value array<double>"
         ),
         "weak-features",
+        TEXT_BYTES,
     )
 
 

@@ -8,9 +8,12 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from riskloom import session
 from riskloom.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -108,3 +111,37 @@ def test_repeated_rows_and_empty(spark):
     got = check(spark, [(1, "a b c"), (1, "a b c"), (1, None)])
     assert sum(r.length for r in got) == 9
     assert check(spark, []) == []
+
+
+def test_batches_of_texts_are_bounded(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def rows_of(texts, **bound):
+        def count(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        got = session.stage(texts.mapInArrow(count, "n long"), "test-batches", **bound)
+        return [r.n for r in got.collect()]
+
+    texts = spark.range(0, 9_000, 1, 1).select(F.repeat(F.lit("x"), 2_000).alias("text"))
+    bounded = rows_of(texts, batch_bytes=packing.TEXT_BYTES)
+    assert sum(bounded) == 9_000 and max(bounded) * 2_000 < 1.5 * packing.TEXT_BYTES
+    assert spark.conf.get(setting, None) is None
+    assert rows_of(texts) == [9_000]
+    long = texts.limit(2).select(F.repeat("text", 4_000).alias("text"))
+    assert sum(rows_of(long, batch_bytes=packing.TEXT_BYTES)) == 2
+    spark.conf.set(setting, "16m")
+    try:
+        assert sum(rows_of(texts, batch_bytes=packing.TEXT_BYTES)) == 9_000
+        assert spark.conf.get(setting) == "16m"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_texts_go_to_the_encoder_in_small_batches(spark, monkeypatch):
+    asked = []
+    real = packing.stage
+    monkeypatch.setattr(packing, "stage", lambda df, name, *bound: asked.append((name, *bound)) or real(df, name, *bound))
+    check(spark, [(1, "a b c")])
+    assert ("packing-ids", packing.TEXT_BYTES) in asked

@@ -100,3 +100,13 @@ def test_words_remembered():
         want = [x.ids for x in known.encode_batch(texts, add_special_tokens=False)]
         assert [x.tolist() for x in own.encode(texts)] == want
         assert max(map(len, own.known)) <= 40
+
+
+def test_memory_of_words():
+    """A worker keeps its words while it lives, beside whatever other stages leave in it."""
+    before = own_memory()
+    known = tokens._Known(lambda word: word.encode()[-6:])
+    for i in range(760_000):
+        known[f"word{i:020d}"]
+    assert known["word00000000000000000000"] == b"000000"
+    assert own_memory() - before < 90
