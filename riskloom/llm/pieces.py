@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -20,12 +20,39 @@ PAIRS = 150_000
 OUT_ROWS = 2_000
 #: Characters of text that are divided into words at a time.
 AT_ONCE = 2_000_000
+#: Alphabets of the model that are told apart; characters of smaller ones count as one alphabet.
+ALPHABETS = 4
 
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_PLAIN = re.compile(f"{MARK}|  |^ | $")
 _models: dict[str, PieceModel] = {}
 
 
+def _parts(pieces: Iterable[str]) -> re.Pattern[str]:
+    """Pattern of the parts that merging never joins, in texts that have spaces for marks.
+
+    Characters that stand beside each other in a piece belong to one alphabet.  No piece crosses
+    from one alphabet to the next, so spaces and the run of one alphabet after them are merged
+    alone; so is a character that is in no longer piece.
+    """
+    root: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            c = root[c]
+        return c
+
+    bodies = (piece.lstrip(MARK) for piece in pieces)
+    for a, b in {pair for body in bodies for pair in zip(body, body[1:], strict=False)}:
+        root[find(a)] = find(b)
+    alphabets: dict[str, str] = {}
+    for c in sorted(root.keys() - {" "}):
+        alphabets[find(c)] = alphabets.get(find(c), "") + c
+    ordered = sorted(alphabets.values(), key=len, reverse=True)
+    runs = [*ordered[:ALPHABETS], "".join(ordered[ALPHABETS:])]
+    kinds = [f"[{re.escape(run)}]+" for run in runs if run]
+    kinds.append(f"[^ {re.escape(''.join(root))}]")
+    return re.compile(f" *(?:{'|'.join(kinds)})| +")
+
+
 class PieceModel:
     """A SentencePiece BPE vocabulary as a forward pass over a trie of words.
 
@@ -50,16 +77,28 @@ class PieceModel:
         self.rank = {library.id_to_piece(i): r for r, i in enumerate(normal)}
         if any(MARK in x.lstrip(MARK) for x in self.id):
             raise ValueError("a piece goes on past the end of a word")
+        self.parts = _parts(self.id)
         self.byte = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.coded = {piece: i.to_bytes(4, "little") for piece, i in self.id.items()}
         self.edges: dict[str, tuple] = {}
         for piece in sorted(self.id, key=len):
             self._derive(piece)
-        #: Lengths, longest first, of the pieces that end with the same two or three characters.
+        #: Pieces that merging can make and all characters of pieces, and their numbers.
+        self.names = sorted({*self.edges, *"".join(self.id)})
+        self.numbers = {piece: i for i, piece in enumerate(self.names)}
+        #: By two and three last characters, lengths and numbers of the pieces that can end with them,
+        #: shortest first; longer pieces have no number here, as these characters do not tell them.
         ends: dict[str, set[int]] = {}
         for piece in self.edges:
             if len(piece) > 1:
                 ends.setdefault(piece[-3:], set()).add(len(piece))
-        self.ends = {tail: sorted(n, reverse=True) for tail, n in ends.items()}
+        self.ends = {
+            tail: tuple(
+                (n, self.numbers[tail[-n:]] if n <= 3 else None)
+                for n in sorted(lengths | ({2} if tail[-2:] in self.edges else set()))
+            )
+            for tail, lengths in ends.items()
+        }
         table = [library.id_to_piece(i).replace(MARK, " ").encode() for i in range(size)]
         for b, i in enumerate(self.byte):
             table[i] = bytes([b])
@@ -70,7 +109,7 @@ class PieceModel:
                 table[i] = " ⁇ ".encode()
         self.bytes = table
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def _derive(self, piece: str) -> None:
         """Note the pieces on both edges of a piece, innermost first, if merging can make it."""
@@ -120,16 +159,21 @@ class PieceModel:
             else:
                 j += 1
 
-    def encode_words(self, words: list[str]) -> dict[str, list[str]]:
-        """Pieces of distinct words, which are sorted and traversed as a trie, depth first.
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
+        """Pieces of distinct words."""
+        return dict(self._passed(words))
+
+    def _passed(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        """Words and their pieces; the words are sorted and traversed as a trie, depth first.
 
-        ``last[i]`` is the last piece of the present word's first i characters; a word keeps the
-        states of the prefix that it shares with the word before.
+        ``last[i]`` is the number of the last piece of the present word's first i characters, -1 for
+        the start and for characters that no piece holds; a word keeps the states of the prefix that
+        it shares with the word before.  Only one of the pieces that end at i can be the last one,
+        so the short ones, which are found more often, are tried first.
         """
-        found: dict[str, list[str]] = {}
-        last: list[str] = [""]
+        last = [-1]
         before = ""
-        edges, ends, beside, pairs = self.edges, self.ends, self.beside, self.pairs
+        ends, numbers, pairs, base = self.ends, self.numbers, self.pairs, len(self.names)
         for word in sorted(words):
             shared = 0
             for a, b in zip(before, word, strict=False):
@@ -138,51 +182,49 @@ class PieceModel:
                 shared += 1
             del last[shared + 1 :]
             for i in range(shared + 1, len(word) + 1):
-                chosen = word[i - 1]
-                lengths = ends.get(word[i - 3 : i], ()) if i > 2 else ()
-                for n in (*lengths, 2) if i > 1 else ():
-                    if n > i:
-                        continue
-                    piece = word[i - n : i]
-                    if piece not in edges:
-                        continue
-                    if n == i:
-                        chosen = piece
+                tail = ends.get(word[i - 3 : i]) if i > 2 else None
+                for n, right in tail or ends.get(word[i - 2 : i] if i > 2 else word[:i], ()):
+                    if right is None:
+                        if n > i:
+                            continue
+                        right = numbers.get(word[i - n : i])
+                        if right is None:
+                            continue
+                    left = last[i - n]
+                    if left < 0:
                         break
-                    pair = (last[i - n], piece)
+                    pair = left * base + right
                     apart = pairs.get(pair)
                     if apart is None:
                         if len(pairs) >= PAIRS:
                             pairs.clear()
-                        apart = pairs[pair] = beside(*pair)
+                        apart = pairs[pair] = self.beside(self.names[left], self.names[right])
                     if apart:
-                        chosen = piece
                         break
-                last.append(chosen)
+                else:
+                    right = numbers.get(word[i - 1], -1)
+                last.append(right)
             pieces, at = [], len(word)
             while at:
-                pieces.append(last[at])
-                at -= len(last[at])
-            found[word] = pieces[::-1]
+                start = at - (len(self.names[last[at]]) if last[at] >= 0 else 1)
+                pieces.append(word[start:at])
+                at = start
+            yield word, pieces[::-1]
             before = word
-        return found
 
     def _ids(self, pieces: list[str]) -> bytes:
-        ids: list[int] = []
-        for piece in pieces:
-            if piece in self.id:
-                ids.append(self.id[piece])
-            else:
-                ids += [self.byte[b] for b in piece.encode("utf-8")]
-        return np.array(ids, "<u4").tobytes()
+        coded = self.coded
+        try:
+            return b"".join([coded[piece] for piece in pieces])
+        except KeyError:
+            return b"".join([coded.get(piece) or self._spelt(piece) for piece in pieces])
+
+    def _spelt(self, piece: str) -> bytes:
+        return np.array([self.byte[b] for b in piece.encode("utf-8")], "<u4").tobytes()
 
     def _part(self, texts: list[str]) -> Iterator[bytes]:
-        words = []
-        for text in texts:
-            if _PLAIN.search(text):
-                words.append(_WORD.findall(MARK + text.replace(" ", MARK)))
-            else:
-                words.append([MARK + w for w in text.split(" ")] if text else [])
+        divide = self.parts.findall
+        words = [divide(" " + text.replace(MARK, " ")) if text else [] for text in texts]
         wanted: set[str] = set()
         for w in words:
             wanted.update(w)
@@ -190,8 +232,8 @@ class PieceModel:
         if len(self.known) + len(missing) > REMEMBERED:
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
             missing = wanted.difference(self.known)
-        for word, pieces in self.encode_words(list(missing)).items():
-            self.known[word] = self._ids(pieces)
+        for word, pieces in self._passed(word.replace(" ", MARK) for word in missing):
+            self.known[word.replace(MARK, " ")] = self._ids(pieces)
         known = self.known.__getitem__
         for w in words:
             yield b"".join(map(known, w))
@@ -226,8 +268,9 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     """Ids of whole texts under a SentencePiece BPE model with byte fallback and no normalisation.
 
     A text is a leading mark and its characters, spaces as marks; it falls into marked words (marks
-    and what follows up to the next mark), which no piece crosses.  Batches are encoded where
-    they lie: their distinct words, as far as the worker does not remember them, form a trie.
+    and what follows up to the next mark), which no piece crosses, and words fall where an alphabet
+    of the model ends.  Batches are encoded where they lie: their distinct words, as far as the
+    worker does not remember them, form a trie.
 
     Returns ``id_column, n_pieces, ids`` (little-endian unsigned 32-bit numbers), one row per input
     row.  Null and empty texts have no ids.  Other columns are left out, whatever their names.

@@ -37,6 +37,30 @@ def test_words_share_their_prefixes(library):
     assert model.encode_words(words) == {w: library.encode(w[1:], out_type=str) for w in words}
 
 
+MIXED = ["end.\nNext", "a,b;c", "x1y22", "(слово)word!!", "naïve—так?!", "...\n\n  ---", "日本a語.b", "▁.▁", "Ünïcödé's 'q'\t\r\n"]
+
+
+def test_words_are_divided_where_no_piece_crosses(library):
+    model = pieces.PieceModel(PATH)
+    assert model.parts.findall(" end.\nNext it,  she") == [" end", ".", "\n", "Next", " it", ",", "  she"]
+    r = random.Random(2)
+    made = ["".join(r.choice("abeinoÉßжстия.,!?'\"-—…12\n\t ▁日数据─👍\x00") for _ in range(r.randrange(60))) for _ in range(3000)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in model.encode(MIXED + made)]
+    assert got == library.encode(MIXED + made)
+    # the endings of lines and sentences make no words of their own
+    assert {"end", " end", "Next"} & set(model.known) == {" end", "Next"}
+    assert not any("\n" in word and word.strip(" ") != "\n" for word in model.known)
+
+
+def test_every_piece_and_border(library):
+    model = pieces.PieceModel(PATH)
+    r = random.Random(3)
+    names = [x.replace(pieces.MARK, " ") for x in model.id]
+    texts = names + ["".join(r.choices(names, k=r.randrange(2, 7))) for _ in range(20_000)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)]
+    assert got == library.encode(texts)
+
+
 def test_forgetting_changes_nothing(monkeypatch, library):
     monkeypatch.setattr(pieces, "REMEMBERED", 3)
     monkeypatch.setattr(pieces, "AT_ONCE", 10)
