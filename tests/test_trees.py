@@ -182,6 +182,92 @@ def test_margins_stored_between_rounds_change_nothing(points, fitted, monkeypatc
     pd.testing.assert_frame_equal(one, two, check_exact=False)
 
 
+def test_a_level_is_one_job_and_a_round_has_few(spark, points):
+    """A fit of more rounds runs a job per level for each, and one for the scores of every four at most."""
+    context, jobs = spark.sparkContext, []
+    for rounds in (2, 10):
+        context.setJobGroup(f"boost-{rounds}", "")
+        model = BoostedTrees(settings(max_rounds=rounds)).fit(points)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert model.rounds == rounds
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"boost-{rounds}")))
+    assert 8 <= jobs[1] - jobs[0] <= 8 * SHAPE["depth"] + 3
+
+
+def test_nothing_stays_persisted(spark, points):
+    held = lambda: set(spark.sparkContext._jsc.getPersistentRDDs())
+    before = held()
+    BoostedTrees(settings()).fit(points)
+    assert held() <= before
+
+
+def test_sums_that_meet_per_feature_give_the_same_trees(points, fitted, monkeypatch):
+    monkeypatch.setattr(trees, "SUMS_AT_ONCE", 0)
+    assert same(fitted, BoostedTrees(settings()).fit(points))
+
+
+def test_scores_do_not_depend_on_ranges_or_blocks(points, fitted, monkeypatch):
+    """Many ranges with cuts of few rows, and rows dealt in small blocks to many tasks."""
+    for name, value in {"RANGE_ROWS": 40, "CUT_ROWS": 10, "DEALT_ROWS": 64, "BLOCK_ROWS": 100, "TASK_ROWS": 150}.items():
+        monkeypatch.setattr(boosting, name, value)
+    again = BoostedTrees(settings()).fit(points)
+    assert same(fitted, again)
+    one, two = (m.curve.orderBy("round").toPandas() for m in (fitted, again))
+    pd.testing.assert_frame_equal(one, two, check_exact=False, rtol=1e-12)
+
+
+@pytest.mark.parametrize("patience", [0, 1, 3, 5])
+def test_the_last_round_is_the_first_past_patience(points, patience):
+    """The rounds scored together end where scoring each round would have ended."""
+    model = BoostedTrees(settings(max_rounds=14, patience=patience, step=0.9)).fit(points)
+    found = [r["val_auc"] for r in model.curve.orderBy("round").collect()]
+    best, last = 0, 13
+    for number, score in enumerate(found):
+        best = number if score > max([-1.0, *found[:number]]) else best
+        if number - best >= patience:
+            last = number
+            break
+    assert len(found) == last + 1 and model.best_round == best and model.rounds == len(found)
+
+
+def test_children_summed_as_the_rest_of_their_parent():
+    """A tree by a job per level, its larger children by subtraction, against sums of all rows of each node."""
+    r = np.random.default_rng(8)
+    bins, width = r.integers(0, 9, (3, 400)).astype(np.int16), 9
+    g, h = (r.integers(-5, 6, 400) * trees.PARTS).astype(float), (r.integers(1, 3, 400) * trees.PARTS).astype(float)
+
+    class Rows:
+        def __init__(self, made):
+            self.made = made
+
+        def getNumPartitions(self):
+            return len(self.made)
+
+        def mapPartitions(self, f):
+            return Rows([list(f(iter(x))) for x in self.made])
+
+        def collect(self):
+            return [x for part in self.made for x in part]
+
+    shape = trees.TreeSettings(depth=4, min_gain=0.01, min_hessian=1.0)
+    tree = trees.grow(Rows([[(bins[:, :250], g[:250], h[:250])], [], [(bins[:, 250:], g[250:], h[250:])]]), (0, 2, 5), width - 1, shape)
+    slots = {0: 0, 2: 1, 5: 2}
+    split = 0
+    for level in range(4):
+        at = tree.route(bins, width - 1, level, (0, 2, 5))
+        for node in range(2**level - 1, 2 ** (level + 1) - 1):
+            here = at == node
+            if not here.any():
+                continue
+            sums = [np.stack([np.bincount(b[here], x[here], width) for b in bins]).astype(np.int64) for x in (g, h)]
+            best = trees.best_splits(*sums, shape)
+            assert (best is None) == (tree.feature[node] == trees.LEAF)
+            if best:
+                split += 1
+                assert best[0] == slots[int(tree.feature[node])] and best[1:4] == (tree.gain[node], tree.bin[node], tree.missing_left[node])
+    assert split > 8
+
+
 def test_curve_is_exact(points, fitted):
     """AUC and loss of every round against the evaluation operators."""
     nodes = fitted.nodes.toPandas()
