@@ -67,6 +67,33 @@ def test_walks_agree_with_following_the_nodes(points, fitted):
         assert joined[row["id"]] == pytest.approx(plain, abs=1e-12)
 
 
+def test_joined_walk_computes_no_more_than_a_step_per_level(points, fitted):
+    """Joins look for no nulls in computed nodes, and the values stand in one row before the trees multiply it."""
+    walked = fitted.transform_by_joins(points, ["id"])
+    plan = walked._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(CASE" not in plan
+    assert plan.count("nanvl(") and plan.index("Generate explode") < plan.index("nanvl(")
+
+
+def test_joined_walk_of_infinite_and_missing_values(spark):
+    """Infinite values pass infinite thresholds; null and NaN go where the split sends them, or are replaced."""
+    inf, nan = math.inf, math.nan
+    leaf = lambda node, value: (0, node, 1, -1, None, None, -1, -1, None, 1.0, value)
+    values = [inf, -inf, 3.0, 1.0, None, nan]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "id int, a double")
+    for threshold in (inf, -inf, 2.0):
+        for missing_left in (True, False):
+            table = [(0, 0, 0, 0, threshold, missing_left, 1, 2, 1.0, 1.0, 0.0), leaf(1, 1.0), leaf(2, 2.0)]
+            nodes = spark.createDataFrame(table, trees.NODE_SCHEMA)
+            plain = [missing_left if x is None or math.isnan(x) else x <= threshold for x in values]
+            replaced = [(0.0 if x is None or math.isnan(x) else x) <= threshold for x in values]
+            for made, missing, sides in ((nodes, None, plain), (nodes.drop("missing_left"), 0.0, replaced), (nodes, 0.0, replaced)):
+                walked = trees.walk_by_joins(rows, made, ["id"], ["a"], 1, F.col("value"), missing)
+                assert {r["id"]: r["total"] for r in walked.collect()} == {i: 1.0 if x else 2.0 for i, x in enumerate(sides)}
+            packed = trees.PackedTrees(nodes.toPandas(), 1).margin(np.array([[nan if x is None else x] for x in values]))
+            assert list(packed) == [1.0 if x else 2.0 for x in plain]
+
+
 def test_nulls_follow_a_learnt_direction(points, fitted):
     nodes = fitted.nodes.where("feature = 2").collect()
     assert nodes, "a feature that is null for the positives is used"
