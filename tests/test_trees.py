@@ -295,6 +295,32 @@ def test_children_summed_as_the_rest_of_their_parent():
     assert split > 8
 
 
+def test_bin_ends_are_the_percentiles_of_the_known_values(spark, points):
+    """Features are cut in tasks of their own; nulls, NaN, repeated, infinite and no values."""
+    names = ["a", "b", "c", "d", "void", "far"]
+    far = F.when(F.col("id") % 3 == 0, math.inf).when(F.col("id") % 3 == 1, -math.inf)
+    known = points.withColumn("far", far).select(*[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names])
+    for bins, rows in ((2, 5000), (16, 5000), (256, 5000), (16, 500)):
+        drawn = known
+        if rows < 1500:
+            drawn = known.where(F.pmod(F.xxhash64(*names), F.lit(1 << 32)) < int(rows / 1500 * (1 << 32)))
+        shares = [*[i / bins for i in range(1, bins)], 1.0]
+        plain = drawn.agg(*[F.percentile(F.col(n), shares).alias(n) for n in names]).first()
+        for name, ends in zip(names, trees.bin_ends(known, names, bins, rows)):
+            expected = np.unique(np.array(plain[name] or [math.inf], float))
+            assert list(ends[:-1]) == list(expected[:-1]) and ends[-1] == math.inf
+
+
+def test_bin_ends_meet_per_feature(spark, points, monkeypatch):
+    """No task gets the values of all features."""
+    frame = points.select(F.col("a"), F.col("b"), F.col("d"))
+    plans, kept = [], type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: plans.append(self._jdf.queryExecution().toString()) or kept(self))
+    trees.bin_ends(frame, ["a", "b", "d"], 8)
+    assert any("feature" in p and "RepartitionByExpression [feature" in p for p in plans)
+    assert not any("percentile" in p for p in plans)
+
+
 def test_curve_is_exact(points, fitted):
     """AUC and loss of every round against the evaluation operators."""
     nodes = fitted.nodes.toPandas()
